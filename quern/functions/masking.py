@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern.functions.expressions import as_col
 
@@ -29,16 +30,16 @@ def mask_name(value: Column | str) -> Column:
     )
 
 
-def _mask_one(name: str | None) -> str:
+def _mask_one(name):
     first, space, rest = (name or "").partition(" ")
     return f"{first} {rest.partition(' ')[0][:1]}." if space else first
 
 
 # Row-at-a-time form, kept to check the built-in one against.
-mask_name_udf = F.udf(_mask_one, "string")
+mask_name_udf = F.udf(_mask_one, T.StringType())
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def add_tax(amount: pd.Series) -> pd.Series:
     """Amount with sales tax, one Arrow batch at a time."""
     return amount * TAX_FACTOR

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.operators.joins import salt_pair
+from quern.operators.skew import GROUP_LIMIT
 from quern.session import new_folder
 
 # The four save modes.
@@ -57,6 +60,22 @@ def write_bucketed(
     return df.sparkSession.table(table)
 
 
+def write_bucketed_pair(
+    fact: DataFrame, dim: DataFrame, key: str, buckets: int, row_key: Sequence[str], limit: int = GROUP_LIMIT
+) -> tuple[DataFrame, DataFrame]:
+    """Two tables bucketed alike on (key, salt), to be joined on both without a shuffle.
+
+    AQE cannot split a bucket that is read in place, so fact keys over the limit get several salts, and their
+    dimension rows one copy per salt. All other keys have salt 0.
+    """
+    pair = salt_pair(fact, dim, [key], buckets, row_key, limit)
+    run = uuid.uuid4().hex
+    return tuple(
+        write_bucketed(side, f"bucketed_{name}_{run}", buckets, [key, "__salt"])
+        for name, side in zip(("fact", "dim"), pair)
+    )
+
+
 def write_compact(
     df: DataFrame, path: str, files: int, codec: str = "snappy", spread: Column | None = None
 ) -> DataFrame:
@@ -70,10 +89,14 @@ def write_compact(
     return df.sparkSession.read.parquet(path)
 
 
-def export_all(spark: SparkSession, path: str, db: str | None = None) -> list[str]:
-    """Dump every table and view of a database to Parquet, one folder each."""
+def export_all(
+    spark: SparkSession, path: str, db: str | None = None, only: Sequence[str] | None = None
+) -> list[str]:
+    """Dump every table and view of a database (or those named) to Parquet, one folder each."""
     names = []
     for table in spark.catalog.listTables(db):
+        if only is not None and table.name not in only:
+            continue
         spark.table(table.name if table.isTemporary or not db else f"{db}.{table.name}").write.mode(
             "overwrite"
         ).parquet(f"{path}/{table.name}")
