@@ -42,7 +42,7 @@ def skew_report(df: DataFrame, key: str, factor: float) -> DataFrame:
     """
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows_per_key"))
     frequency = per_key.groupBy("rows_per_key").agg(F.count(F.lit(1)).alias("__keys"))
-    median = frequency.agg(F.percentile("rows_per_key", F.lit(0.5), "__keys")).first()[0]
+    median = frequency.agg(F.percentile("rows_per_key", F.lit(0.5), F.col("__keys"))).first()[0]
     return per_key.select(
         key,
         "rows_per_key",

@@ -48,8 +48,12 @@ def hot_keys(df: DataFrame, by: Sequence[str], limit: int = GROUP_LIMIT) -> Data
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > limit)
 
 
-def split_hot(df: DataFrame, by: Sequence[str], limit: int = GROUP_LIMIT) -> tuple[DataFrame, DataFrame | None, int]:
+def split_hot(
+    df: DataFrame, by: Sequence[str], limit: int | None = GROUP_LIMIT
+) -> tuple[DataFrame, DataFrame | None, int]:
     """(rows of ordinary groups, rows of hot groups or None, number of hot rows)."""
+    if limit is None:
+        return df, None, 0
     hot = cut_lineage(hot_keys(df, by, limit))
     total = hot.agg(F.sum("__rows")).first()[0]
     if not total:

@@ -3,6 +3,9 @@
 Ordinary groups use Spark's window functions as they are. A group over `limit` rows is cut into consecutive
 ranges of its sort order. Each range is one group for a local window; what the earlier ranges add up to is a
 small table (one row per range) joined back on. All results equal the plain window.
+
+Looking for large groups costs one pass that reads the group columns only. `limit=None` leaves it out, for groups whose
+size is bounded by what they are (one row per day, say).
 """
 
 from __future__ import annotations
@@ -50,7 +53,7 @@ def _with_carry(blocks: DataFrame, by: Sequence[str], totals: dict[str, Column],
 
 
 def add_row_number(
-    df: DataFrame, by: Sequence[str], order: Order, name: str = "row_number", limit: int = GROUP_LIMIT
+    df: DataFrame, by: Sequence[str], order: Order, name: str = "row_number", limit: int | None = GROUP_LIMIT
 ) -> DataFrame:
     """1, 2, 3 … inside each group. Let the order end with a unique column."""
     plain = Window.partitionBy(*by).orderBy(*sort_columns(order))
@@ -66,7 +69,7 @@ def add_row_number(
 
 
 def add_running_sum(
-    df: DataFrame, by: Sequence[str], order: Order, col: str, name: str = "running_total", limit: int = GROUP_LIMIT
+    df: DataFrame, by: Sequence[str], order: Order, col: str, name: str = "running_total", limit: int | None = GROUP_LIMIT
 ) -> DataFrame:
     """Cumulative sum from the first row of the group to the current one."""
     plain = Window.partitionBy(*by).orderBy(*sort_columns(order)).rowsBetween(*RUNNING)
@@ -91,7 +94,7 @@ def add_neighbours(
     col: str,
     n: int = 1,
     names: tuple[str, str] = ("previous", "next"),
-    limit: int = GROUP_LIMIT,
+    limit: int | None = GROUP_LIMIT,
 ) -> DataFrame:
     """Value n rows before and n rows after; null past either end.
 
@@ -121,7 +124,7 @@ def add_ranks(
     by: Sequence[str],
     order: Order,
     names: tuple[str, str] = ("rank", "dense_rank"),
-    limit: int = GROUP_LIMIT,
+    limit: int | None = GROUP_LIMIT,
 ) -> DataFrame:
     """Rank with gaps and without.
 
@@ -135,7 +138,6 @@ def add_ranks(
     )
     if hot is None:
         return out
-    hot = cut_lineage(hot)
     values = [item if isinstance(item, str) else item[0] for item in order]
     distinct = hot.groupBy(*by, *values).agg(F.count(F.lit(1)).alias("__n"))
     ranked = add_row_number(distinct, by, order, "__dense", limit)
@@ -152,7 +154,7 @@ def add_ranks(
 
 
 def carry_forward(
-    df: DataFrame, by: Sequence[str], order: Order, col: str, name: str, limit: int = GROUP_LIMIT
+    df: DataFrame, by: Sequence[str], order: Order, col: str, name: str, limit: int | None = GROUP_LIMIT
 ) -> DataFrame:
     """The latest non-null value at or before each row of the group."""
     plain = Window.partitionBy(*by).orderBy(*sort_columns(order)).rowsBetween(*RUNNING)
@@ -174,10 +176,11 @@ def carry_forward(
 
 
 def rank_totals(
-    df: DataFrame, by: str, within: str, col: str, limit: int = GROUP_LIMIT
+    df: DataFrame, by: str, within: str, col: str, limit: int | None = GROUP_LIMIT
 ) -> DataFrame:
     """Sum per (within, by), then rank the sums inside `within`, largest first; ties go by name."""
     totals = df.groupBy(within, by).agg(F.sum(col).alias("total_revenue"), F.count(F.lit(1)).alias("order_count"))
+    totals = cut_lineage(totals)  # summed once, though looked at twice
     return add_row_number(totals, [within], [("total_revenue", "desc"), by], f"{by}_rank", limit)
 
 

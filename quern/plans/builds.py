@@ -147,6 +147,7 @@ def build_incremental(
     append, merge or delete-and-insert them.
     """
     spark = batch.sparkSession
+    versions.create(spark, root)
     if full_refresh or not versions.commits(spark, root):
         versions.commit(batch, root, "overwrite", now)
         return versions.as_of_version(spark, root)

@@ -11,7 +11,6 @@ import datetime as dt
 import json
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,12 +30,14 @@ def _folder(root: str, version: int) -> str:
     return f"{root}/data/version-{version:09d}"
 
 
+def create(spark: SparkSession, root: str) -> None:
+    """Make an empty history, unless there is one."""
+    spark.createDataFrame([], HISTORY).write.mode("ignore").json(f"{root}/history/start")
+
+
 def history(spark: SparkSession, root: str) -> DataFrame:
     """One row per commit: version, time, operation, rows."""
-    try:
-        return spark.read.schema(HISTORY).json(f"{root}/history/*")
-    except AnalysisException:
-        return spark.createDataFrame([], HISTORY)
+    return spark.read.schema(HISTORY).json(f"{root}/history/*")
 
 
 def commits(spark: SparkSession, root: str) -> list:
@@ -81,6 +82,7 @@ def commit(
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode {mode!r} is neither append nor overwrite")
     spark = df.sparkSession
+    create(spark, root)
     past = commits(spark, root)
     version = past[-1].version + 1 if past else 0
     if mode == "append" and past:
@@ -185,6 +187,7 @@ def commit_batch(root: str, mode: str = "append", now: Callable[[int], dt.dateti
     history was committed before a restart, and is skipped."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        create(batch.sparkSession, root)
         if any(r.batch_id == batch_id for r in commits(batch.sparkSession, root)):
             return
         commit(batch, root, mode, now(batch_id) if now else None, batch_id=batch_id)

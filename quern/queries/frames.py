@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from quern.functions.expressions import MONEY, money
 from quern.operators.windows import add_neighbours
-from quern.sources.tables import table
+from quern.sources.tables import SCHEMAS, table
+from quern.streaming.streams import read_stream
 
 # Tables in use at the shop: orders, customers, payments, items
 
@@ -151,6 +152,11 @@ WEB_LOGS = """(SELECT event_id AS log_id, user_id, CASE event_type WHEN 'error'
     CAST(value AS DECIMAL(18,2)) AS response_ms FROM events)"""
 
 
+def event_feed(spark: SparkSession, sf: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The events table as a stream. The pattern fits one file as well as a folder of files."""
+    return read_stream(spark, f"{sf}/events*.parquet", SCHEMAS["events"], files_per_trigger=files_per_trigger)
+
+
 # Subscriptions in two states: every 7th changes plan, every 11th is new, every 13th is gone
 
 

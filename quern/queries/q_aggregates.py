@@ -127,7 +127,7 @@ def semantic_metric(spark, sf):
     return plain(metric(model, ["total_revenue", "order_count"], ["status"], "month"))
 
 
-# Window functions
+# Window functions. A store has one row per day, so its group is bounded by the calendar.
 
 
 @query(
@@ -136,7 +136,7 @@ def semantic_metric(spark, sf):
     row_number() OVER (PARTITION BY store_id ORDER BY date) AS rank_by_date FROM {frames.DAILY_SALES}""",
 )
 def win_row_number(spark, sf):
-    return plain(W.add_row_number(frames.daily_sales(spark, sf), ["store_id"], ["date"], "rank_by_date"))
+    return plain(W.add_row_number(frames.daily_sales(spark, sf), ["store_id"], ["date"], "rank_by_date", None))
 
 
 @query(
@@ -158,7 +158,7 @@ def win_rank_dense(spark, sf):
 def win_lag_lead(spark, sf):
     names = ("prev_day_sales", "next_day_sales")
     sales = frames.daily_sales(spark, sf)
-    return plain(W.add_neighbours(sales, ["store_id"], ["date"], "sales_amount", names=names).drop("sales_amount"))
+    return plain(W.add_neighbours(sales, ["store_id"], ["date"], "sales_amount", 1, names, None).drop("sales_amount"))
 
 
 @query(
@@ -168,7 +168,7 @@ def win_lag_lead(spark, sf):
 )
 def win_running_total(spark, sf):
     sales = frames.daily_sales(spark, sf)
-    return plain(W.add_running_sum(sales, ["store_id"], ["date"], "sales_amount").drop("sales_amount"))
+    return plain(W.add_running_sum(sales, ["store_id"], ["date"], "sales_amount", limit=None).drop("sales_amount"))
 
 
 @query(

@@ -30,7 +30,7 @@ BLOCKED, REVIEW, APPROVED = "BLOCKED_CRITICAL", "FLAGGED_REVIEW", "APPROVED"
 def read_stream(
     spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet", files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Files of a folder as a stream, with a stated schema. The number of files per micro-batch is for the caller:
+    """Files of a folder (or matching a pattern) as a stream, with a stated schema. The number of files per micro-batch is for the caller:
     one keeps batches small, none reads all that has arrived."""
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
@@ -190,6 +190,7 @@ def stream_upsert(stream: DataFrame, keys: Sequence[str], root: str, checkpoint:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        versions.create(spark, root)
         past = versions.commits(spark, root)
         if any(r.batch_id == batch_id for r in past):
             return
