@@ -117,7 +117,7 @@ def join_point_in_time(
     """
     fields = [c for c in hist.columns if c not in keys]
     fact_fields = [F.col(c).alias(f"__f_{i}") for i, c in enumerate(fact.columns)]
-    key_names = [f"__k_{i}" for i in range(len(keys))]
+    key_names = [f"__key_{i}" for i in range(len(keys))]
     usable = hist.where(F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(end) > F.col(start))))
     versions = usable.dropna(subset=list(keys)).select(
         *[F.col(k).alias(n) for k, n in zip(keys, key_names)],

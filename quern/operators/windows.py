@@ -42,7 +42,7 @@ def _with_carry(blocks: DataFrame, by: Sequence[str], totals: dict[str, Column],
     """
     before = Window.partitionBy(*by).orderBy("__block").rowsBetween(*BEFORE)
     per_block = blocks.groupBy(*by, "__block").agg(*[v.alias(k) for k, v in totals.items()])
-    names = [f"__k_{i}" for i in range(len(by))]
+    names = [f"__by_{i}" for i in range(len(by))]
     carried = per_block.select(
         *[F.col(c).alias(n) for c, n in zip(by, names)],
         F.col("__block").alias("__b"),
@@ -106,7 +106,7 @@ def add_neighbours(
     if hot is None:
         return out
     numbered = cut_lineage(add_row_number(hot, by, order, "__pos", limit))
-    keys = [f"__k_{i}" for i in range(len(by))]
+    keys = [f"__by_{i}" for i in range(len(by))]
     near = numbered
     for name, step in zip(names, (n, -n)):
         side = numbered.select(
@@ -143,7 +143,7 @@ def add_ranks(
     ranked = add_row_number(distinct, by, order, "__dense", limit)
     ranked = add_running_sum(ranked, by, order, "__n", "__upto", limit)
     cols = [*by, *values]
-    keys = [f"__k_{i}" for i in range(len(cols))]
+    keys = [f"__by_{i}" for i in range(len(cols))]
     side = ranked.select(
         *[F.col(c).alias(k) for c, k in zip(cols, keys)],
         (F.col("__upto") - F.col("__n") + 1).alias(names[0]),

@@ -102,7 +102,10 @@ def commit(
 
 def as_of_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     """Rows as of a version; of the latest without one."""
-    past = commits(spark, root)
+    return _rows_at(spark, root, commits(spark, root), version)
+
+
+def _rows_at(spark: SparkSession, root: str, past: list, version: int | None) -> DataFrame:
     if not past:
         raise LookupError(f"{root} has no versions")
     number = past[-1].version if version is None else version
@@ -113,10 +116,11 @@ def as_of_version(spark: SparkSession, root: str, version: int | None = None) ->
 
 def as_of_time(spark: SparkSession, root: str, at: dt.datetime) -> DataFrame:
     """Rows as of the last commit at or before a time."""
-    known = [r.version for r in commits(spark, root) if r.committed_at <= at]
+    past = commits(spark, root)
+    known = [r.version for r in past if r.committed_at <= at]
     if not known:
         raise LookupError(f"{root} has no version at {at}")
-    return as_of_version(spark, root, known[-1])
+    return _rows_at(spark, root, past, known[-1])
 
 
 def compare(before: DataFrame, after: DataFrame, key: list[str]) -> DataFrame:
@@ -150,7 +154,7 @@ def change_feed(spark: SparkSession, root: str, key: list[str], start: int = 0,
     """
     past = commits(spark, root)
     last = past[-1].version if end is None else end
-    cols = as_of_version(spark, root, last).columns
+    cols = _rows_at(spark, root, past, last).columns
     out = None
     for entry in past:
         if not start <= entry.version <= last:
@@ -159,9 +163,8 @@ def change_feed(spark: SparkSession, root: str, key: list[str], start: int = 0,
             rows = spark.read.schema(_schema(entry)).parquet(_folder(root, entry.version))
             part = rows.withColumn(CHANGE_TYPE, F.lit("insert"))
         else:
-            part = compare(
-                as_of_version(spark, root, entry.version - 1), as_of_version(spark, root, entry.version), key
-            )
+            before = _rows_at(spark, root, past, entry.version - 1)
+            part = compare(before, _rows_at(spark, root, past, entry.version), key)
         part = part.withColumn(CHANGE_VERSION, F.lit(entry.version).cast("bigint")).withColumn(
             CHANGE_TIME, F.lit(entry.committed_at).cast("timestamp_ntz")
         )

@@ -191,8 +191,19 @@ def warehouse_export_import(spark, sf):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
-@query("catalog_columns")
+LISTED = ", ".join(f"'{name}'" for name in SCHEMAS)
+
+
+@query(
+    "catalog_columns",
+    f"""SELECT DISTINCT table_name, column_name, CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+    WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE data_type END
+    AS data_type, CAST(ordinal_position AS INTEGER) AS position FROM information_schema.columns
+    WHERE table_name IN ({LISTED})""",
+)
 def catalog_columns(spark, sf):
     for name in SCHEMAS:
-        table(spark, sf, name).createOrReplaceTempView(f"listed_{name}")
-    return writers.catalog_columns(spark).where(F.col("table_name").startswith("listed_"))
+        spark.read.parquet(f"{sf}/{name}.parquet").createOrReplaceTempView(f"listed_{name}")
+    listed = writers.catalog_columns(spark).where(F.col("table_name").startswith("listed_"))
+    name = F.regexp_replace("table_name", "^listed_", "").alias("table_name")
+    return listed.select(name, "column_name", "data_type", "position")
