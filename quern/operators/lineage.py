@@ -6,7 +6,7 @@ lost executor costs one round at most. Only newly reached nodes are expanded in
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quern.session import cut_lineage
 
-HOPS = 4
+HOPS = 8
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -26,30 +26,46 @@ def reverse(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("target").alias("source"), F.col("source").alias("target"))
 
 
-def _next_layer(edges: DataFrame, layer: DataFrame) -> DataFrame:
-    """Distinct targets of the layer's nodes."""
-    return edges.join(layer, edges["source"] == layer["node"]).select(F.col("target").alias("node")).distinct()
+def _ends(edges: DataFrame) -> DataFrame:
+    """Every node with whether an edge enters and leaves it. Tasks combine their nodes first, so a node with very many
+    edges is one row per task."""
+    source = F.struct(F.col("source").alias("node"), F.lit(0).alias("enters"), F.lit(1).alias("leaves"))
+    target = F.struct(F.col("target").alias("node"), F.lit(1).alias("enters"), F.lit(0).alias("leaves"))
+    both = edges.select(F.explode(F.array(source, target)).alias("end")).select("end.*")
+    return both.groupBy("node").agg(F.max("enters").alias("enters"), F.max("leaves").alias("leaves"))
+
+
+def _with_self(edges: DataFrame) -> DataFrame:
+    """Edges as steps of length 1, and each node to itself with length 0, so that one join both moves on and keeps
+    what is there."""
+    nodes = _ends(edges).select(F.col("node").alias("source"), F.col("node").alias("target"))
+    one, none = F.lit(1).cast("bigint").alias("step"), F.lit(0).cast("bigint").alias("step")
+    return cut_lineage(edges.select("source", "target", one).unionByName(nodes.select("source", "target", none)))
+
+
+def _walk(links: DataFrame, layer: DataFrame, value: str, best: Callable, hops: int) -> DataFrame:
+    """Follow the edges `hops` times from (node, value): the best value + steps per node reached. An inner join, so
+    that AQE can split a node with very many edges on either side."""
+    for _ in range(hops):
+        moved = links.join(layer, links["source"] == layer["node"])
+        layer = moved.select(F.col("target").alias("node"), (F.col(value) + F.col("step")).alias(value))
+        layer = layer.groupBy("node").agg(best(value).alias(value))
+    return layer
 
 
 def downstream(edges: DataFrame, start: DataFrame, hops: int = HOPS) -> DataFrame:
     """The start nodes and everything reachable from them: (node, distance)."""
-    links = cut_lineage(edges.select("source", "target").dropna().distinct())
-    frontier = cut_lineage(start.select("node").distinct())
-    reached = [frontier.withColumn("distance", F.lit(0).cast("bigint"))]
-    depth = 0
-    while True:
-        layer, found = frontier, []
-        for hop in range(1, hops + 1):
-            layer = _next_layer(links, layer)
-            found.append(layer.withColumn("distance", F.lit(depth + hop).cast("bigint")))
-        nearest = _union(found).groupBy("node").agg(F.min("distance").alias("distance"))
-        fresh = cut_lineage(nearest.join(_union(reached).select("node"), "node", "left_anti"))
-        if fresh.isEmpty():
-            return _union(reached)
+    links = _with_self(edges.select("source", "target").dropna().distinct())
+    frontier = cut_lineage(start.select("node").distinct().withColumn("distance", F.lit(0).cast("bigint")))
+    reached, depth = [frontier], 0
+    while not frontier.isEmpty():
+        near = _walk(links, frontier, "distance", F.min, hops)
+        fresh = cut_lineage(near.join(_union(reached).select("node"), "node", "left_anti"))
         reached.append(fresh)
         depth += hops
-        # Nodes found earlier in this round were expanded in it already.
-        frontier = fresh.where(F.col("distance") == depth).select("node")
+        # Nodes found nearer than that were expanded in this round already.
+        frontier = fresh.where(F.col("distance") == depth)
+    return _union(reached)
 
 
 def upstream(edges: DataFrame, start: DataFrame, hops: int = HOPS) -> DataFrame:
@@ -57,35 +73,33 @@ def upstream(edges: DataFrame, start: DataFrame, hops: int = HOPS) -> DataFrame:
     return downstream(reverse(edges), start, hops)
 
 
-def _trim(edges: DataFrame) -> tuple[DataFrame, int]:
-    """Drop edges that cannot lie on a cycle: the source has no edge in, or the target none out. Repeated until
-    nothing is dropped."""
-    edges = cut_lineage(edges)
-    size = edges.count()
-    while size:
-        step = edges
-        for _ in range(2):
-            with_in = step.select(F.col("target").alias("source")).distinct()
-            step = step.join(with_in, "source", "left_semi")
-            with_out = step.select(F.col("source").alias("target")).distinct()
-            step = step.join(with_out, "target", "left_semi")
-        step = cut_lineage(step.select("source", "target"))
-        left = step.count()
-        if left == size:
-            break
-        edges, size = step, left
-    return edges, size
+def _without(edges: DataFrame, gone: DataFrame) -> DataFrame:
+    """Edges that touch none of the nodes."""
+    kept = edges.join(gone.select(F.col("node").alias("source")), "source", "left_anti")
+    return kept.join(gone.select(F.col("node").alias("target")), "target", "left_anti").select("source", "target")
+
+
+def _trim(edges: DataFrame, every: int = 4) -> DataFrame:
+    """Drop nodes that no edge enters or none leaves, until there are none: they cannot lie on a cycle."""
+    edges, step = cut_lineage(edges), 0
+    while True:
+        gone = cut_lineage(_ends(edges).where("enters + leaves < 2").select("node"))
+        if gone.isEmpty():
+            return cut_lineage(edges)
+        edges, step = _without(edges, gone), step + 1
+        if step % every == 0:
+            edges = cut_lineage(edges)
 
 
 def _spread_largest(edges: DataFrame, hops: int) -> DataFrame:
     """Every node with the largest node that reaches it (itself included)."""
-    ends = edges.select(F.col("source").alias("node")).union(edges.select("target")).distinct()
-    labels = cut_lineage(ends.withColumn("label", F.col("node")))
+    links = _with_self(edges)
+    labels = links.where("step = 0").select(F.col("source").alias("node"), F.col("source").alias("label"))
     while True:
         step = labels
         for _ in range(hops):
-            sent = edges.join(step, edges["source"] == step["node"]).select(F.col("target").alias("node"), "label")
-            step = step.unionByName(sent).groupBy("node").agg(F.max("label").alias("label"))
+            sent = links.join(step, links["source"] == step["node"]).select(F.col("target").alias("node"), "label")
+            step = sent.groupBy("node").agg(F.max("label").alias("label"))
         step = cut_lineage(step)
         before = labels.withColumnRenamed("label", "__before")
         if step.join(before, "node").where("label <> __before").isEmpty():
@@ -93,18 +107,22 @@ def _spread_largest(edges: DataFrame, hops: int) -> DataFrame:
         labels = step
 
 
-def cycle_members(edges: DataFrame, hops: int = 2) -> DataFrame:
+def cycle_members(edges: DataFrame, hops: int = HOPS) -> DataFrame:
     """Nodes that lie on a cycle.
 
-    Ends are trimmed first. In what is left, every node learns the largest node that reaches it; a node that kept its
-    own name, together with the nodes of that name which reach it back, is one strongly connected part. Those parts
-    are taken out and the rest is treated again. No list of pairs is ever built.
+    Ends are trimmed first. If what is left has as many edges as nodes, every node has one edge in and one out, and
+    all of it is cycles. Otherwise every node learns the largest node that reaches it; a node that kept its own name,
+    together with the nodes of that name which reach it back, is one strongly connected part. Those parts are taken
+    out and the rest is treated again. No list of pairs is ever built.
     """
     links = edges.select("source", "target").dropna().distinct()
-    loops = links.where("source = target").select(F.col("source").alias("node"))
-    core, size = _trim(links.where("source <> target"))
-    members = [cut_lineage(loops)]
-    while size:
+    members = [cut_lineage(links.where("source = target").select(F.col("source").alias("node")))]
+    core = _trim(links.where("source <> target"))
+    while not core.isEmpty():
+        nodes = cut_lineage(_ends(core).select("node"))
+        if nodes.count() == core.count():
+            members.append(nodes)
+            break
         labels = _spread_largest(core, hops)
         src = labels.select(F.col("node").alias("source"), F.col("label").alias("__s"))
         dst = labels.select(F.col("node").alias("target"), F.col("label").alias("__t"))
@@ -114,34 +132,25 @@ def cycle_members(edges: DataFrame, hops: int = 2) -> DataFrame:
         part = cut_lineage(upstream(same, roots).select("node").join(labels, "node"))
         sizes = part.groupBy("label").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
         members.append(part.join(sizes, "label", "left_semi").select("node"))
-        rest = core.join(part.select(F.col("node").alias("source")), "source", "left_anti").join(
-            part.select(F.col("node").alias("target")), "target", "left_anti"
-        )
-        core, size = _trim(rest.select("source", "target"))
+        core = _trim(_without(core, part))
     return _union(members).distinct()
 
 
 def layers(nodes: DataFrame, edges: DataFrame, hops: int = HOPS, max_depth: int = 10_000) -> DataFrame:
     """Every node with its layer by name (`stg_` staging, `int_` intermediate, otherwise mart) and its level: the
     longest way from a node without parents. A graph with a cycle has no levels and is an error."""
-    links = cut_lineage(edges.select("source", "target").dropna().distinct())
-    parents = links.select(F.col("target").alias("node"))
-    frontier = cut_lineage(nodes.select("node").distinct().join(parents, "node", "left_anti"))
-    found = [frontier.withColumn("level", F.lit(0).cast("bigint"))]
-    depth = 0
-    while True:
-        layer, steps = frontier, []
-        for hop in range(1, hops + 1):
-            layer = _next_layer(links, layer)
-            steps.append(layer.withColumn("level", F.lit(depth + hop).cast("bigint")))
-        step = cut_lineage(_union(steps))
-        if step.isEmpty():
-            break
+    links = _with_self(edges.select("source", "target").dropna().distinct())
+    children = links.where("step = 1").select(F.col("target").alias("node"))
+    roots = nodes.select("node").distinct().join(children, "node", "left_anti")
+    frontier = cut_lineage(roots.withColumn("level", F.lit(0).cast("bigint")))
+    found, depth = [frontier], 0
+    while not frontier.isEmpty():
+        step = cut_lineage(_walk(links, frontier, "level", F.max, hops))
         found.append(step)
         depth += hops
         if depth > max_depth:
             raise ValueError("the graph has a cycle; cycle_members finds it")
-        frontier = step.where(F.col("level") == depth).select("node")
+        frontier = step.where(F.col("level") == depth)
     level = _union(found).groupBy("node").agg(F.max("level").alias("level"))
     name = F.col("node").cast("string")
     layer = (
