@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.operators.joins import join_on
-from quern.operators.rows import drop_null_keys
+from quern.operators.rows import drop_null_keys, where_equal
 
 
 def count_by(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -62,12 +62,12 @@ def latency_summary(df: DataFrame, by: Sequence[str], col: str) -> DataFrame:
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("hits"), mean(col).alias("avg_response"))
 
 
-def country_revenue(orders: DataFrame, users: DataFrame) -> DataFrame:
+def country_revenue(orders: DataFrame, users: DataFrame, completed: str = "COMPLETED") -> DataFrame:
     """Completed orders per country: count, revenue, average.
 
     Orders are summed per user before the join, so a user with very many orders joins as one row.
     """
-    clean = drop_null_keys(orders, ["order_id", "user_id"]).where("status = 'COMPLETED'")
+    clean = where_equal(drop_null_keys(orders, ["order_id", "user_id"]), "status", completed)
     per_user = clean.groupBy("user_id").agg(
         F.count("order_id").alias("__n"), F.sum("amount").alias("__sum"), F.count("amount").alias("__filled")
     )

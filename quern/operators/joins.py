@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quern.operators.skew import GROUP_LIMIT, broadcast_if_small, hot_keys, salt_of
 from quern.operators.windows import carry_forward
+from quern.session import cut_lineage
 
 Keys = Sequence[str | tuple[str, str]]
 
@@ -70,33 +71,36 @@ def orphans(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str
 
 
 def salt_pair(
-    fact: DataFrame, dim: DataFrame, keys: Sequence[str], n: int, row_key: Sequence[str], limit: int | None = None
+    fact: DataFrame,
+    dim: DataFrame,
+    keys: Sequence[str],
+    row_key: Sequence[str],
+    n: int | None = None,
+    limit: int = GROUP_LIMIT,
 ) -> tuple[DataFrame, DataFrame]:
     """Give both sides a `__salt` so that (keys, salt) joins like keys alone.
 
-    With a limit, only fact keys over it are spread and only their dimension rows are copied n times. Without one
-    every key is.
+    With `n` every key is spread over n salts and every dimension row copied n times. Without it only fact keys with
+    more than `limit` rows are, over as many salts as they hold limits: that is at most rows / limit keys, and twice
+    as many copies.
     """
-    copies = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    if limit is None:
-        return fact.withColumn("__salt", salt_of(row_key, n)), dim.withColumn("__salt", copies)
-    hot = hot_keys(fact.dropna(subset=list(keys)), keys, limit).select(*keys, F.lit(True).alias("__hot"))
-    hot = F.broadcast(hot)  # at most rows / limit keys
-    marked_fact = fact.join(hot, list(keys), "left")
-    marked_dim = dim.join(hot, list(keys), "left")
-    spread = F.when(F.col("__hot"), salt_of(row_key, n)).otherwise(F.lit(0))
-    copied = F.explode(F.sequence(F.lit(0), F.when(F.col("__hot"), F.lit(n - 1)).otherwise(F.lit(0))))
-    return (
-        marked_fact.withColumn("__salt", spread).drop("__hot"),
-        marked_dim.withColumn("__salt", copied).drop("__hot"),
-    )
+    if n is not None:
+        copies = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        return fact.withColumn("__salt", salt_of(row_key, F.lit(n))), dim.withColumn("__salt", copies)
+    hot = cut_lineage(hot_keys(fact.dropna(subset=list(keys)), keys, limit))
+    salts = F.ceil(F.col("__rows") / F.lit(limit)).cast("int").alias("__salts")
+    hot = F.broadcast(hot.select(*keys, salts))
+    salts = F.coalesce("__salts", F.lit(1))
+    spread = fact.join(hot, list(keys), "left").withColumn("__salt", salt_of(row_key, salts))
+    copied = dim.join(hot, list(keys), "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    return spread.drop("__salts"), copied.drop("__salts")
 
 
 def join_salted(
-    fact: DataFrame, dim: DataFrame, key: str, n: int, row_key: Sequence[str], limit: int | None = None
+    fact: DataFrame, dim: DataFrame, key: str, row_key: Sequence[str], n: int | None = None, limit: int = GROUP_LIMIT
 ) -> DataFrame:
-    """Inner join with a hot key cut into n parts; the rows equal those of the plain join."""
-    salted, copied = salt_pair(fact, dim, [key], n, row_key, limit)
+    """Inner join with keys cut into parts by `salt_pair`; the rows equal those of the plain join."""
+    salted, copied = salt_pair(fact, dim, [key], row_key, n, limit)
     return salted.join(copied, [key, "__salt"]).drop("__salt")
 
 
@@ -144,7 +148,9 @@ def join_point_in_time(
 
 def time_bucket(ts: str, seconds: int) -> Column:
     """Number of the `seconds`-long interval that a timestamp falls in."""
-    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("bigint")
+    micros, span = f"unix_micros(cast(`{ts}` as timestamp))", f"{seconds * 1_000_000}L"
+    # Whole numbers throughout, and rounded down before 1970 as well.
+    return F.expr(f"({micros} - pmod({micros}, {span})) div {span}")
 
 
 def join_within(left: DataFrame, right: DataFrame, keys: Sequence[str], t1: str, t2: str, seconds: int) -> DataFrame:

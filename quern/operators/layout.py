@@ -63,7 +63,7 @@ def region_buckets(value: Column | str, mapping: Mapping[int, Sequence[str]], de
 def partition_by_bucket(df: DataFrame, bucket: str, buckets: int, per_bucket: int, row_key: Sequence[str]) -> DataFrame:
     """Place rows by bucket number, each bucket over `per_bucket` partitions that no other bucket uses, so a bucket
     with most of the rows is still shared by several tasks."""
-    place = (F.col(bucket) * per_bucket + salt_of(row_key, per_bucket)).cast("int")
+    place = (F.col(bucket) * per_bucket + salt_of(row_key, F.lit(per_bucket))).cast("int")
     return df.repartitionById(buckets * per_bucket, place)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -76,6 +77,11 @@ def split_hot(
     return df.join(marks, same, "left_anti"), df.join(marks, same, "left_semi"), total
 
 
-def salt_of(row_key: Sequence[str], n: int) -> Column:
+def salt_of(row_key: Sequence[str], n: Column) -> Column:
     """A number in 0 … n-1 that a retried task computes again for the same row."""
-    return F.pmod(F.xxhash64(*row_key), F.lit(n)).cast("int")
+    return F.pmod(F.xxhash64(*row_key), n).cast("int")
+
+
+def parts_for(df: DataFrame, rows: int, at_least: int = 1) -> int:
+    """How many parts of about `rows` rows a frame makes. Counting reads no columns."""
+    return max(at_least, math.ceil(df.count() / rows))

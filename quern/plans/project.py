@@ -24,12 +24,12 @@ def stg_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def project(sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def project(sources: Mapping[str, DataFrame], paid: str = "paid") -> dict[str, DataFrame]:
     """Models of a project by name, from the sources it was given: staging, then intermediate, then marts."""
     models = {}
     if "orders" in sources:
         models["stg_orders"] = stg_orders(sources["orders"])
-        models["int_paid_orders"] = where_equal(models["stg_orders"], "status", "paid")
+        models["int_paid_orders"] = where_equal(models["stg_orders"], "status", paid)
         models["fct_revenue_by_customer"] = sum_by(models["int_paid_orders"], ["customer_id"], "amount", "revenue")
     if "customers" in sources:
         models["stg_customers"] = sources["customers"].select("id", "name", "email", "country")
@@ -49,15 +49,23 @@ def project(sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return models
 
 
-def medallion(orders: DataFrame, users: DataFrame, products: DataFrame, root: str, n_products: int, offset: int) -> DataFrame:
+def medallion(
+    orders: DataFrame,
+    users: DataFrame,
+    products: DataFrame,
+    root: str,
+    n_products: int,
+    offset: int,
+    completed: str = "COMPLETED",
+) -> DataFrame:
     """Raw tables stored as they came, completed orders joined and stored by country, then categories ranked by
     revenue inside each country."""
     bronze = {
         name: build_table(frame, f"{root}/bronze/{name}")
         for name, frame in (("orders", orders), ("users", users), ("products", products))
     }
-    completed = bronze["orders"].where("status = 'COMPLETED'")
-    keyed = completed.withColumn("product_id", bucket_key("order_id", n_products, offset))
+    done = where_equal(bronze["orders"], "status", completed)
+    keyed = done.withColumn("product_id", bucket_key("order_id", n_products, offset))
     people = bronze["users"].select(F.col("id").alias("user_id"), F.col("name").alias("user_name"), "country")
     goods = bronze["products"].select("product_id", F.col("name").alias("product_name"), "category")
     joined = join_small(keyed.join(people, "user_id"), goods, ["product_id"], "left")

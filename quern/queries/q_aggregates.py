@@ -25,10 +25,10 @@ def agg_count_by(spark, sf):
     "agg_multi_metric",
     f"""SELECT user_id, count(order_id) AS total_orders, CAST(sum(amount) AS DOUBLE) AS total_spent,
     CAST(sum(amount) AS DOUBLE) / CAST(count(amount) AS DOUBLE) AS avg_order, CAST(min(amount) AS DOUBLE) AS min_order,
-    CAST(max(amount) AS DOUBLE) AS max_order FROM {frames.LAB_ORDERS} WHERE status = 'COMPLETED' GROUP BY user_id""",
+    CAST(max(amount) AS DOUBLE) AS max_order FROM {frames.LAB_ORDERS} WHERE status = 'F' GROUP BY user_id""",
 )
 def agg_multi_metric(spark, sf):
-    completed = where_equal(frames.lab_orders(spark, sf), "status", "COMPLETED")
+    completed = where_equal(frames.lab_orders(spark, sf), "status", frames.DONE)
     aggs = [
         F.count("order_id").alias("total_orders"), F.sum("amount").alias("total_spent"), A.mean("amount").alias("avg_order"),
         F.min("amount").alias("min_order"), F.max("amount").alias("max_order"),
@@ -38,10 +38,10 @@ def agg_multi_metric(spark, sf):
 
 @query(
     "agg_sum_mart",
-    f"SELECT customer_id, CAST(sum(amount) AS DOUBLE) AS revenue FROM {frames.RAW_ORDERS} WHERE status = 'paid' GROUP BY customer_id",
+    f"SELECT customer_id, CAST(sum(amount) AS DOUBLE) AS revenue FROM {frames.RAW_ORDERS} WHERE status = 'F' GROUP BY customer_id",
 )
 def agg_sum_mart(spark, sf):
-    return plain(A.sum_by(where_equal(frames.raw_orders(spark, sf), "status", "paid"), ["customer_id"], "amount", "revenue"))
+    return plain(A.sum_by(where_equal(frames.raw_orders(spark, sf), "status", frames.DONE), ["customer_id"], "amount", "revenue"))
 
 
 @query(
@@ -105,10 +105,10 @@ def agg_latency(spark, sf):
     "agg_country_revenue",
     f"""SELECT country, count(order_id) AS order_count, CAST(sum(amount) AS DOUBLE) AS total_revenue,
     CAST(sum(amount) AS DOUBLE) / CAST(count(amount) AS DOUBLE) AS avg_order_value
-    FROM {frames.LAB_ORDERS} o JOIN {frames.USERS} u ON o.user_id = u.id WHERE status = 'COMPLETED' GROUP BY country""",
+    FROM {frames.LAB_ORDERS} o JOIN {frames.USERS} u ON o.user_id = u.id WHERE status = 'F' GROUP BY country""",
 )
 def agg_country_revenue(spark, sf):
-    return plain(A.country_revenue(frames.lab_orders(spark, sf), frames.users(spark, sf)))
+    return plain(A.country_revenue(frames.lab_orders(spark, sf), frames.users(spark, sf), frames.DONE))
 
 
 @query(

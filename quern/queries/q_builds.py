@@ -231,22 +231,23 @@ def model_versions(spark, sf):
     row_number() OVER (PARTITION BY country ORDER BY total_revenue DESC, category) AS category_rank FROM (
     SELECT u.country, p.category, sum(o.amount) AS total_revenue, count(*) AS order_count FROM {frames.LAB_ORDERS} o
     JOIN {frames.USERS} u ON o.user_id = u.id LEFT JOIN {frames.PRODUCTS} p ON o.order_id % 200 = p.product_id
-    WHERE o.status = 'COMPLETED' GROUP BY 1, 2)""",
+    WHERE o.status = 'F' GROUP BY 1, 2)""",
 )
 def medallion(spark, sf):
     root = new_folder(spark, "medallion")
     ranked = build_medallion(
-        frames.lab_orders(spark, sf), frames.users(spark, sf), frames.products(spark, sf), root, n_products=200, offset=0
+        frames.lab_orders(spark, sf), frames.users(spark, sf), frames.products(spark, sf), root, n_products=200, offset=0,
+        completed=frames.DONE
     )
     return plain(ranked)
 
 
 @query(
     "project_marts",
-    f"SELECT customer_id, CAST(sum(amount) AS DOUBLE) AS revenue FROM {frames.RAW_ORDERS} WHERE status = 'paid' GROUP BY customer_id",
+    f"SELECT customer_id, CAST(sum(amount) AS DOUBLE) AS revenue FROM {frames.RAW_ORDERS} WHERE status = 'F' GROUP BY customer_id",
 )
 def project_marts(spark, sf):
-    return plain(project({"orders": frames.raw_orders(spark, sf)})["fct_revenue_by_customer"])
+    return plain(project({"orders": frames.raw_orders(spark, sf)}, paid=frames.DONE)["fct_revenue_by_customer"])
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quern.functions.expressions import code_labels
 from quern.functions.masking import add_tax, mask_name
 from quern.operators import layout as L
+from quern.operators.skew import parts_for
 from quern.queries import frames
 from quern.queries.registry import plain, query
 from quern.session import new_folder
@@ -17,6 +18,7 @@ CODE_LABELS = {200: "OK_SUCCESS", 404: "NOT_FOUND_ERROR", 500: "INTERNAL_SERVER_
 UNKNOWN = "UNKNOWN"
 REGIONS = {0: [f"NATION_{i}" for i in range(15)], 1: [f"NATION_{i}" for i in range(15, 21)]}
 OTHER = 2
+ROWS_PER_PARTITION = 5_000_000
 
 
 @query(
@@ -71,7 +73,8 @@ def even_squares(spark, sf):
 )
 def custom_partition(spark, sf):
     people = frames.users(spark, sf).select("id", L.region_buckets("country", REGIONS, OTHER).alias("bucket"))
-    placed = L.partition_by_bucket(people, "bucket", 3, 4, ["id"])
+    per_bucket = parts_for(people, ROWS_PER_PARTITION, at_least=4)
+    placed = L.partition_by_bucket(people, "bucket", 3, per_bucket, ["id"])
     sizes = L.partition_sizes(placed, "bucket")
     return sizes.groupBy("bucket").agg(F.sum("row_count").alias("row_count"))
 
@@ -79,7 +82,8 @@ def custom_partition(spark, sf):
 @query("repartition_coalesce", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def repartition_coalesce(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return L.coalesced(L.repartitioned(orders, 16, ["o_orderkey"]), 4)
+    parts = parts_for(orders, ROWS_PER_PARTITION, at_least=4)
+    return L.coalesced(L.repartitioned(orders, 4 * parts, ["o_orderkey"]), parts)
 
 
 @query(

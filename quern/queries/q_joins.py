@@ -142,7 +142,7 @@ def join_star_pruned(spark, sf):
 def join_salted(spark, sf):
     fact = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.col("o_custkey").alias("user_id"))
     dim = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("user_name"), "c_nationkey")
-    return joins.join_salted(fact, dim, "user_id", 4, ["o_orderkey"]).drop("user_id")
+    return joins.join_salted(fact, dim, "user_id", ["o_orderkey"], n=4).drop("user_id")
 
 
 @query("join_anti_orphans", """SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN

@@ -206,13 +206,13 @@ def map_lookup(spark, sf):
     "chain_steps",
     f"""SELECT order_id, user_id, CAST(amount AS DOUBLE) AS amount, CAST(tax AS DOUBLE) AS tax_amount,
     CAST(amount + tax AS DOUBLE) AS total_with_tax, CASE WHEN amount + tax >= 150000 THEN 'VIP' ELSE 'REGULAR' END AS priority
-    FROM (SELECT *, round(amount * CAST(0.07 AS DECIMAL(7,6)), 2) AS tax FROM {frames.LAB_ORDERS} WHERE status <> 'CANCELLED')""",
+    FROM (SELECT *, round(amount * CAST(0.07 AS DECIMAL(7,6)), 2) AS tax FROM {frames.LAB_ORDERS} WHERE status <> 'P')""",
 )
 def chain_steps(spark, sf):
     return plain(
         rows.pipe(
             frames.lab_orders(spark, sf),
-            lambda df: rows.where_equal(df, "status", "CANCELLED", negate=True),
+            lambda df: rows.where_equal(df, "status", frames.CANCELLED, negate=True),
             lambda df: df.withColumn("tax_amount", X.scaled("amount", TAX)),
             lambda df: df.withColumn("total_with_tax", F.col("amount") + F.col("tax_amount")),
             lambda df: df.withColumn("priority", X.tier("total_with_tax", [(150000, "VIP")], "REGULAR")),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.expressions import money
 from quern.operators.rows import flatten
+from quern.operators.skew import parts_for
 from quern.queries.registry import plain, query
 from quern.session import new_folder
 from quern.sources import readers, rows, writers
@@ -19,6 +20,7 @@ EVENT_SEED = [
     ("signup", "growth", 3),
     ("view", "engagement", 1),
 ]
+ROWS_PER_FILE = 10_000_000
 REGION_ROWS = [(0, "south"), (1, "west"), (2, "east"), (3, "north")]
 
 
@@ -118,7 +120,7 @@ def bucketed_join(spark, sf):
         F.col("l_orderkey").alias("order_id"), "l_linenumber", money("l_extendedprice").alias("price")
     )
     orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"), "o_orderpriority")
-    fact, dim = writers.write_bucketed_pair(items, orders, "order_id", 8, ["order_id", "l_linenumber", "price"])
+    fact, dim = writers.write_bucketed_pair(items, orders, "order_id", ["order_id", "l_linenumber", "price"])
     joined = fact.hint("merge").join(dim, ["order_id", "__salt"])
     return plain(
         joined.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("items"), F.sum("price").alias("revenue"))
@@ -128,7 +130,8 @@ def bucketed_join(spark, sf):
 @query("compact_parquet", "SELECT event_id, event_type, value FROM events")
 def compact_parquet(spark, sf):
     events = table(spark, sf, "events").select("event_id", "event_type", "value")
-    return writers.write_compact(events, new_folder(spark, "compact"), 2, "zstd", F.col("event_id"))
+    files = parts_for(events, ROWS_PER_FILE, at_least=2)
+    return writers.write_compact(events, new_folder(spark, "compact"), files, "zstd", F.col("event_id"))
 
 
 @query(

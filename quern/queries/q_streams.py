@@ -37,7 +37,7 @@ def add_feed(spark, sf, feed, predicate):
 
 @query("stream_filter", "SELECT event_id, user_id, event_type, value FROM events WHERE value > 50")
 def stream_filter(spark, sf):
-    kept = S.stream_filter(spark, f"{sf}/events*.parquet", SCHEMAS["events"], F.col("value") > 50)
+    kept = S.stream_filter(spark, f"{sf}/events*.parquet", SCHEMAS["events"], F.col("value") > 50, files_per_trigger=1000)
     return run(kept.select("event_id", "user_id", "event_type", "value"), "stream_filter")
 
 

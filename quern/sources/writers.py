@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.operators.joins import salt_pair
-from quern.operators.skew import GROUP_LIMIT
+from quern.operators.skew import GROUP_LIMIT, parts_for
 from quern.session import new_folder
 
 # The four save modes.
@@ -61,14 +61,15 @@ def write_bucketed(
 
 
 def write_bucketed_pair(
-    fact: DataFrame, dim: DataFrame, key: str, buckets: int, row_key: Sequence[str], limit: int = GROUP_LIMIT
+    fact: DataFrame, dim: DataFrame, key: str, row_key: Sequence[str], limit: int = GROUP_LIMIT
 ) -> tuple[DataFrame, DataFrame]:
     """Two tables bucketed alike on (key, salt), to be joined on both without a shuffle.
 
-    AQE cannot split a bucket that is read in place, so fact keys over the limit get several salts, and their
-    dimension rows one copy per salt. All other keys have salt 0.
+    The number of buckets follows the fact's rows. AQE cannot split a bucket that is read in place, so fact keys over
+    the limit get several salts, and their dimension rows one copy per salt. All other keys have salt 0.
     """
-    pair = salt_pair(fact, dim, [key], buckets, row_key, limit)
+    buckets = parts_for(fact, limit, 4)
+    pair = salt_pair(fact, dim, [key], row_key, None, limit)
     run = uuid.uuid4().hex
     return tuple(
         write_bucketed(side, f"bucketed_{name}_{run}", buckets, [key, "__salt"])

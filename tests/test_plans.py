@@ -47,7 +47,7 @@ def test_sort_merge_hint(spark):
 def test_bucketed_join_has_no_exchange(spark, folder):
     items = table(spark, SF, "lineitem").select(F.col("l_orderkey").alias("k"), "l_linenumber", "l_quantity")
     orders = table(spark, SF, "orders").select(F.col("o_orderkey").alias("k"), "o_custkey")
-    fact, dim = writers.write_bucketed_pair(items, orders, "k", 4, ["k", "l_linenumber"], limit=8)
+    fact, dim = writers.write_bucketed_pair(items, orders, "k", ["k", "l_linenumber"], limit=8)
     joined = fact.hint("merge").join(dim, ["k", "__salt"])
     plan = plan_of(joined)
     assert "SortMergeJoin" in plan and "Exchange" not in plan
