@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.plans import versions
+
 # Fixed names of the four columns a history adds, as existing queries on such tables use them.
 SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO = META = ("dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to")
 
@@ -87,6 +89,36 @@ def snapshot_check(
     return _advance(prev, new, key, differs, F.lit(run_at) if close_deleted else None)
 
 
+# Parts of a stored history.
+OPEN, CLOSED = "open", "closed"
+
+
+def store_history(
+    cur: DataFrame,
+    root: str,
+    key: str,
+    updated_at: str | None = None,
+    cols: Sequence[str] | str | None = None,
+    run_at: dt.datetime | None = None,
+    close_deleted: bool = False,
+) -> DataFrame:
+    """Bring a history kept as a versioned table up to date, by timestamp (`updated_at`) or by compared `cols`.
+
+    Open and closed versions are separate parts. A run reads and replaces the open part and adds what it closed; the
+    closed part, which only grows, is neither read nor written again.
+    """
+    spark = cur.sparkSession
+    versions.create(spark, root)
+    prev = versions.part(spark, root, OPEN) if versions.commits(spark, root) else None
+    if updated_at:
+        moved = snapshot_timestamp(prev, cur, key, updated_at, close_deleted, run_at)
+    else:
+        moved = snapshot_check(prev, cur, key, cols, run_at, close_deleted)
+    state = F.when(F.col(VALID_TO).isNull(), F.lit(OPEN)).otherwise(F.lit(CLOSED))
+    versions.commit_parts(moved, root, state, (OPEN, CLOSED), (OPEN,), run_at)
+    return versions.as_of_version(spark, root)
+
+
 def moved_back(prev: DataFrame, cur: DataFrame, key: str, updated_at: str) -> DataFrame:
     """Current rows older than the open version of their key."""
     starts = current_rows(prev).select(F.col(key).alias("__key"), F.col(VALID_FROM).alias("__from"))

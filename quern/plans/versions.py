@@ -1,17 +1,18 @@
 """Versioned tables on Parquet: numbered commits, time travel, change feed.
 
 A commit writes one immutable data folder and then one history row. Readers go by the history, so a folder whose
-commit did not finish is never seen and is overwritten by the next try. An append writes its own rows only; a version
-is the set of folders since the last overwrite. One writer at a time.
+commit did not finish is never seen and is overwritten by the next try. A version is a set of folders: an append adds
+one, an overwrite leaves only its own, and a commit by parts replaces the parts it names and carries the others over
+without touching them. One writer at a time.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,15 +20,18 @@ from quern.operators.quality import contract
 from quern.operators.skew import null_safe
 
 HISTORY = (
-    "version bigint, committed_at timestamp_ntz, operation string, row_count bigint, schema_json string, batch_id bigint"
+    "version bigint, committed_at timestamp_ntz, operation string, row_count bigint, schema_json string, "
+    "batch_id bigint, parts array<string>, replaces array<string>"
 )
+WHOLE = "*"  # the part of a commit that is not divided
 
 # Column names of the change feed.
 CHANGE_TYPE, CHANGE_VERSION, CHANGE_TIME = "_change_type", "_commit_version", "_commit_timestamp"
 
 
-def _folder(root: str, version: int) -> str:
-    return f"{root}/data/version-{version:09d}"
+def _folder(root: str, version: int, part: str = WHOLE) -> str:
+    folder = f"{root}/data/version-{version:09d}"
+    return folder if part == WHOLE else f"{folder}/part={part}"
 
 
 def create(spark: SparkSession, root: str) -> None:
@@ -49,12 +53,26 @@ def _schema(entry) -> T.StructType:
     return T.StructType.fromJson(json.loads(entry.schema_json))
 
 
-def _folders(root: str, past: list, version: int) -> list[str]:
-    upto = [r for r in past if r.version <= version]
-    if not upto or upto[-1].version != version:
-        raise LookupError(f"{root} has no version {version}")
-    starts = [i for i, r in enumerate(upto) if r.operation == "overwrite"]
-    return [_folder(root, r.version) for r in upto[starts[-1] if starts else 0 :]]
+def _live(past: list, version: int) -> list[tuple[int, str]]:
+    """The (version, part) pairs whose folders make up a version."""
+    live = []
+    for entry in past:
+        if entry.version > version:
+            break
+        if entry.operation == "overwrite":
+            live = []
+        elif entry.operation == "replace":
+            live = [item for item in live if item[1] not in entry.replaces]
+        live = live + [(entry.version, part) for part in entry.parts]
+    return live
+
+
+def _read(spark: SparkSession, root: str, entry, live: list[tuple[int, str]]) -> DataFrame:
+    """Rows of folders under the schema of a commit."""
+    schema = _schema(entry)
+    if not live:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[_folder(root, version, part) for version, part in live])
 
 
 def enforce(df: DataFrame, schema: T.StructType, merge_schema: bool = False) -> T.StructType:
@@ -93,13 +111,50 @@ def commit(
     written = Observation(f"commit-{version}")
     counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
     counted.write.mode("overwrite").parquet(_folder(root, version))
-    when = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    row = (version, when, mode, written.get["rows"], schema.json(), batch_id)
-    entry = spark.createDataFrame([row], HISTORY).coalesce(1)
-    entry.write.mode("overwrite").json(f"{root}/history/version-{version:09d}")
+    _record(spark, root, (version, now or _now(), mode, written.get["rows"], schema.json(), batch_id, [WHOLE], []))
+    return version
+
+
+def commit_parts(
+    df: DataFrame,
+    root: str,
+    label: Column,
+    labels: Sequence[str],
+    replaces: Sequence[str],
+    now: dt.datetime | None = None,
+) -> int:
+    """Write rows divided by a label as the next version, in place of the parts in `replaces`. Parts of earlier
+    versions that are not replaced stay in the table as they are, so a commit costs what it writes."""
+    spark = df.sparkSession
+    create(spark, root)
+    past = commits(spark, root)
+    version = past[-1].version + 1 if past else 0
+    if past:
+        enforce(df, _schema(past[-1]))
+        df = df.select(*_schema(past[-1]).names)
+    written = Observation(f"commit-{version}")
+    counts = [F.count(F.when(F.col("part") == name, F.lit(1))).alias(name) for name in labels]
+    divided = df.withColumn("part", label).observe(written, F.count(F.lit(1)).alias("__rows"), *counts)
+    divided.write.mode("overwrite").partitionBy("part").parquet(_folder(root, version))
+    rows = written.get
+    if sum(rows[name] for name in labels) != rows["__rows"]:
+        raise ValueError(f"rows with a label outside {labels}")
+    parts = [name for name in labels if rows[name]]
+    entry = (version, now or _now(), "replace", rows["__rows"], df.schema.json(), None, parts, list(replaces))
+    _record(spark, root, entry)
     return version
 
 
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
+def _record(spark: SparkSession, root: str, entry: tuple) -> None:
+    """The history row, which makes a commit visible."""
+    row = spark.createDataFrame([entry], HISTORY).coalesce(1)
+    row.write.mode("overwrite").json(f"{root}/history/version-{entry[0]:09d}")
+
+
 def as_of_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     """Rows as of a version; of the latest without one."""
     return _rows_at(spark, root, commits(spark, root), version)
@@ -109,9 +164,17 @@ def _rows_at(spark: SparkSession, root: str, past: list, version: int | None) ->
     if not past:
         raise LookupError(f"{root} has no versions")
     number = past[-1].version if version is None else version
-    folders = _folders(root, past, number)
-    entry = next(r for r in past if r.version == number)
-    return spark.read.schema(_schema(entry)).parquet(*folders)
+    entry = next((r for r in past if r.version == number), None)
+    if entry is None:
+        raise LookupError(f"{root} has no version {number}")
+    return _read(spark, root, entry, _live(past, number))
+
+
+def part(spark: SparkSession, root: str, label: str) -> DataFrame:
+    """Rows of one part of the latest version."""
+    past = commits(spark, root)
+    live = [item for item in _live(past, past[-1].version) if item[1] == label]
+    return _read(spark, root, past[-1], live)
 
 
 def as_of_time(spark: SparkSession, root: str, at: dt.datetime) -> DataFrame:
@@ -150,7 +213,7 @@ def compare(before: DataFrame, after: DataFrame, key: list[str]) -> DataFrame:
 def change_feed(spark: SparkSession, root: str, key: list[str], start: int = 0, end: int | None = None) -> DataFrame:
     """Row changes made by the commits start … end, both included.
 
-    An appended folder is a list of inserts and is not compared with anything; only overwrites are.
+    Only folders that a commit added or dropped are read; an append is a list of inserts and is compared with nothing.
     """
     past = commits(spark, root)
     last = past[-1].version if end is None else end
@@ -159,16 +222,20 @@ def change_feed(spark: SparkSession, root: str, key: list[str], start: int = 0,
     for entry in past:
         if not start <= entry.version <= last:
             continue
-        if entry.operation == "append" or entry.version == 0:
-            rows = spark.read.schema(_schema(entry)).parquet(_folder(root, entry.version))
-            part = rows.withColumn(CHANGE_TYPE, F.lit("insert"))
+        after = set(_live(past, entry.version))
+        before = set(_live(past, entry.version - 1))
+        # Folders in both versions are not read: nothing in them changed.
+        come = _read(spark, root, entry, sorted(after - before))
+        gone = sorted(before - after)
+        if gone:
+            former = next(r for r in past if r.version == entry.version - 1)
+            rows = compare(_read(spark, root, former, gone), come, key)
         else:
-            before = _rows_at(spark, root, past, entry.version - 1)
-            part = compare(before, _rows_at(spark, root, past, entry.version), key)
-        part = part.withColumn(CHANGE_VERSION, F.lit(entry.version).cast("bigint")).withColumn(
+            rows = come.withColumn(CHANGE_TYPE, F.lit("insert"))
+        rows = rows.withColumn(CHANGE_VERSION, F.lit(entry.version).cast("bigint")).withColumn(
             CHANGE_TIME, F.lit(entry.committed_at).cast("timestamp_ntz")
         )
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
     if out is None:
         raise LookupError(f"{root} has no versions from {start} to {end}")
     return out.select(*cols, CHANGE_TYPE, CHANGE_VERSION, CHANGE_TIME)

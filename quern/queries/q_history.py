@@ -7,6 +7,7 @@ import datetime as dt
 from quern.plans import history as H
 from quern.queries import frames
 from quern.queries.registry import query
+from quern.session import new_folder
 
 FIRST_RUN, SECOND_RUN = dt.datetime(2024, 2, 1), dt.datetime(2024, 4, 1)
 
@@ -45,6 +46,13 @@ def scd2_timestamp(spark, sf):
     return by_time(spark, sf)
 
 
+@query("scd2_stored", f"SELECT * FROM {BY_TIME}")
+def scd2_stored(spark, sf):
+    root = new_folder(spark, "history")
+    H.store_history(frames.subscriptions(spark, sf, 1), root, "id", "updated_at")
+    return H.store_history(frames.subscriptions(spark, sf, 2), root, "id", "updated_at")
+
+
 @query("scd2_check_cols", f"SELECT * FROM {BY_CHECK}")
 def scd2_check_cols(spark, sf):
     return by_check(spark, sf, ["plan", "status"])

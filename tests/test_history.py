@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quern.plans import history as H
+from quern.plans import versions as V
 from tests.conftest import rows_of
 
 SCHEMA = "id bigint, plan string, updated_at timestamp_ntz"
@@ -93,3 +94,31 @@ def test_random_runs_keep_one_open_row_and_no_overlap(spark, seed):
         assert [v[1] is None for v in found] == [False] * (len(found) - 1) + [True]
         assert all(a[1] == b[0] for a, b in zip(found, found[1:]))
         assert found[-1][2] == state[key][0]
+
+
+def test_stored_history_touches_closed_versions_once(spark, folder):
+    root = folder()
+    states = [
+        subs(spark, (1, "basic", 0), (2, "pro", 1)),
+        subs(spark, (1, "pro", 60), (2, "pro", 1), (3, "new", 5)),
+        subs(spark, (1, "max", 70), (2, "pro", 1), (3, "new", 5)),
+        subs(spark, (1, "max", 70), (2, "pro", 1), (3, "new", 5)),
+    ]
+    hist = None
+    for state in states:
+        hist = H.snapshot_timestamp(hist, state, "id", "updated_at")
+        stored = H.store_history(state, root, "id", "updated_at")
+        assert rows_of(stored, *hist.columns) == rows_of(hist)
+    closed = [f for f in stored.inputFiles() if "part=closed" in f]
+    assert {f.split("/data/")[1].split("/")[0] for f in closed} == {"version-000000001", "version-000000002"}
+    assert all("version-000000003" in f for f in stored.inputFiles() if "part=open" in f)
+
+
+def test_changes_of_a_stored_history(spark, folder):
+    root = folder()
+    H.store_history(subs(spark, (1, "basic", 0), (2, "pro", 1)), root, "id", "updated_at")
+    H.store_history(subs(spark, (1, "pro", 60), (2, "pro", 1)), root, "id", "updated_at")
+    feed = V.change_feed(spark, root, [H.SCD_ID], 1)
+    assert rows_of(feed, V.CHANGE_TYPE, "id", "plan", H.VALID_TO) == [
+        ("insert", 1, "pro", None), ("update_postimage", 1, "basic", day(60)), ("update_preimage", 1, "basic", None),
+    ]
