@@ -52,39 +52,49 @@ def _with_carry(blocks: DataFrame, by: Sequence[str], totals: dict[str, Column],
     return blocks.join(F.broadcast(carried), same, "left").drop(*names, "__b")
 
 
-def add_row_number(
-    df: DataFrame, by: Sequence[str], order: Order, name: str = "row_number", limit: int | None = GROUP_LIMIT
+def _add_sums(
+    df: DataFrame, by: Sequence[str], order: Order, sums: dict[str, tuple[Column, Column]], limit: int | None
 ) -> DataFrame:
-    """1, 2, 3 … inside each group. Let the order end with a unique column."""
-    plain = Window.partitionBy(*by).orderBy(*sort_columns(order))
+    """Columns that grow along the order: {name: (window function, aggregate over a whole range)}, of the aggregate's
+    type. In hot groups the value is what the earlier ranges add up to plus the local one."""
+    plain = Window.partitionBy(*by).orderBy(*sort_columns(order)).rowsBetween(*RUNNING)
     cold, hot, rows = split_hot(df, by, limit)
-    out = cold.withColumn(name, F.row_number().over(plain).cast("bigint"))
+    types = df.select(*[total.alias(name) for name, (_, total) in sums.items()]).schema
+    out = cold
+    for name, (running, _) in sums.items():
+        out = out.withColumn(name, running.over(plain).cast(types[name].dataType))
     if hot is None:
         return out
     blocks = _ranges(hot, by, order, rows, limit)
-    local = Window.partitionBy(*by, "__block").orderBy(*sort_columns(order))
-    carried = _with_carry(blocks, by, {"__n": F.count(F.lit(1))}, {"__before": F.sum("__n")})
-    numbered = carried.withColumn(name, F.row_number().over(local) + F.coalesce("__before", F.lit(0)))
-    return out.unionByName(numbered.select(*out.columns))
+    local = Window.partitionBy(*by, "__block").orderBy(*sort_columns(order)).rowsBetween(*RUNNING)
+    names = list(sums)
+    totals = {f"__total_{i}": sums[n][1] for i, n in enumerate(names)}
+    carried = _with_carry(blocks, by, totals, {f"__before_{i}": F.sum(f"__total_{i}") for i in range(len(names))})
+    for i, name in enumerate(names):
+        here, before = sums[name][0].over(local), F.col(f"__before_{i}")
+        # Null until the first value, as a plain running sum is.
+        total = F.coalesce(before + here, before, here)
+        carried = carried.withColumn(name, total.cast(types[name].dataType))
+    return out.unionByName(carried.select(*out.columns))
+
+
+def add_row_number(
+    df: DataFrame, by: Sequence[str], order: Order, name: str = "row_number", limit: int | None = GROUP_LIMIT
+) -> DataFrame:
+    """1, 2, 3 … inside each group. Let the order end with a unique column."""
+    return _add_sums(df, by, order, {name: (F.row_number(), F.count(F.lit(1)))}, limit)
 
 
 def add_running_sum(
-    df: DataFrame, by: Sequence[str], order: Order, col: str, name: str = "running_total", limit: int | None = GROUP_LIMIT
+    df: DataFrame,
+    by: Sequence[str],
+    order: Order,
+    col: str,
+    name: str = "running_total",
+    limit: int | None = GROUP_LIMIT,
 ) -> DataFrame:
     """Cumulative sum from the first row of the group to the current one."""
-    plain = Window.partitionBy(*by).orderBy(*sort_columns(order)).rowsBetween(*RUNNING)
-    cold, hot, rows = split_hot(df, by, limit)
-    out = cold.withColumn(name, F.sum(col).over(plain))
-    if hot is None:
-        return out
-    blocks = _ranges(hot, by, order, rows, limit)
-    local = Window.partitionBy(*by, "__block").orderBy(*sort_columns(order)).rowsBetween(*RUNNING)
-    carried = _with_carry(blocks, by, {"__s": F.sum(col)}, {"__before": F.sum("__s")})
-    here = F.sum(col).over(local)
-    # Null until the first value, as a plain running sum is.
-    total = F.coalesce(F.col("__before") + here, F.col("__before"), here)
-    summed = carried.withColumn(name, total.cast(out.schema[name].dataType))
-    return out.unionByName(summed.select(*out.columns))
+    return _add_sums(df, by, order, {name: (F.sum(col), F.sum(col))}, limit)
 
 
 def add_neighbours(
@@ -139,9 +149,10 @@ def add_ranks(
     if hot is None:
         return out
     values = [item if isinstance(item, str) else item[0] for item in order]
-    distinct = hot.groupBy(*by, *values).agg(F.count(F.lit(1)).alias("__n"))
-    ranked = add_row_number(distinct, by, order, "__dense", limit)
-    ranked = add_running_sum(ranked, by, order, "__n", "__upto", limit)
+    one = F.count(F.lit(1))
+    distinct = cut_lineage(hot.groupBy(*by, *values).agg(one.alias("__n")))
+    counted = {"__dense": (F.row_number(), one), "__upto": (F.sum("__n"), F.sum("__n"))}
+    ranked = _add_sums(distinct, by, order, counted, limit)
     cols = [*by, *values]
     keys = [f"__by_{i}" for i in range(len(cols))]
     side = ranked.select(
