@@ -158,7 +158,7 @@ def layers(nodes: DataFrame, edges: DataFrame, hops: int = HOPS, max_depth: int
         .when(name.startswith("int_"), F.lit("intermediate"))
         .otherwise(F.lit("mart"))
     )
-    out = nodes.select("node").distinct().join(level, "node", "left").withColumn("layer", layer)
+    out = cut_lineage(nodes.select("node").distinct().join(level, "node", "left").withColumn("layer", layer))
     if not out.where("level is null").isEmpty():
         raise ValueError("the graph has a cycle; cycle_members finds it")
     return out
@@ -205,7 +205,7 @@ def select_nodes(
         return _union(each).distinct()
 
     chosen = either(groups) if groups else nodes.select("node").distinct()
-    return chosen.exceptAll(either(exclude).intersect(chosen)) if exclude else chosen
+    return chosen.subtract(either(exclude)) if exclude else chosen
 
 
 def changed_downstream(old: DataFrame, new: DataFrame, edges: DataFrame) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -191,11 +190,11 @@ def gated_publish(df: DataFrame, checks: Mapping[str, tuple], write_fn: Callable
 def publish(df: DataFrame, checks: Mapping[str, tuple], root: str, now: dt.datetime | None = None) -> DataFrame:
     """Build aside, check what was built, then switch readers to it.
 
-    The build is a folder no reader knows; it becomes the next version only if no check ends in an error. Readers of
-    `versions.as_of_version(spark, root)` see the former version until then.
+    The rows are written once, where no reader looks yet. They become the next version only if no check ends in an
+    error; readers of `versions.as_of_version(spark, root)` see the former one until then.
     """
-    aside = build_table(df, f"{root}/aside/{uuid.uuid4().hex}")
-    return gated_publish(aside, checks, lambda built: versions.commit(built, root, "overwrite", now))
+    staged = versions.stage(df, root, "overwrite", now)
+    return gated_publish(staged.rows(), checks, lambda _: staged.finish())
 
 
 # Audit

@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -88,15 +89,33 @@ def enforce(df: DataFrame, schema: T.StructType, merge_schema: bool = False) ->
     return T.StructType(schema.fields + [f for f in df.schema if f.name not in schema.names])
 
 
-def commit(
+@dataclass(frozen=True)
+class Staged:
+    """Rows written for the next version that no reader sees yet."""
+
+    spark: SparkSession
+    root: str
+    entry: tuple
+
+    def rows(self) -> DataFrame:
+        version, schema = self.entry[0], T.StructType.fromJson(json.loads(self.entry[4]))
+        return self.spark.read.schema(schema).parquet(_folder(self.root, version))
+
+    def finish(self) -> int:
+        """Make the rows the latest version and return its number."""
+        _record(self.spark, self.root, self.entry)
+        return self.entry[0]
+
+
+def stage(
     df: DataFrame,
     root: str,
     mode: str = "append",
     now: dt.datetime | None = None,
     merge_schema: bool = False,
     batch_id: int | None = None,
-) -> int:
-    """Write the rows as the next version and return its number."""
+) -> Staged:
+    """Write the rows of the next version. Staging again before `finish` replaces what was staged."""
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode {mode!r} is neither append nor overwrite")
     spark = df.sparkSession
@@ -111,8 +130,20 @@ def commit(
     written = Observation(f"commit-{version}")
     counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
     counted.write.mode("overwrite").parquet(_folder(root, version))
-    _record(spark, root, (version, now or _now(), mode, written.get["rows"], schema.json(), batch_id, [WHOLE], []))
-    return version
+    entry = (version, now or _now(), mode, written.get["rows"], schema.json(), batch_id, [WHOLE], [])
+    return Staged(spark, root, entry)
+
+
+def commit(
+    df: DataFrame,
+    root: str,
+    mode: str = "append",
+    now: dt.datetime | None = None,
+    merge_schema: bool = False,
+    batch_id: int | None = None,
+) -> int:
+    """Write the rows as the next version and return its number."""
+    return stage(df, root, mode, now, merge_schema, batch_id).finish()
 
 
 def commit_parts(

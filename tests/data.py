@@ -1,4 +1,4 @@
-"""Small tables with answers that can be worked out by hand."""
+"""Small tables with answers that can be worked out by hand. All of them are fixed values."""
 
 from __future__ import annotations
 

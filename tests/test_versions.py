@@ -17,9 +17,7 @@ def day(n):
     return dt.datetime(2024, 1, n)
 
 
-@pytest.fixture
-def root(spark, folder):
-    path = folder("versioned")
+def four_commits(spark, path):
     V.commit(df(spark, (1, "a"), (2, "b"), (3, None)), path, "overwrite", day(1))
     V.commit(df(spark, (4, "d")), path, "append", day(2))
     V.commit(df(spark, (1, "a"), (2, "B"), (3, "c"), (5, "e")), path, "overwrite", day(3))
@@ -27,6 +25,17 @@ def root(spark, folder):
     return path
 
 
+@pytest.fixture(scope="module")
+def root(spark, tmp_path_factory):
+    """For tests that only read."""
+    return four_commits(spark, str(tmp_path_factory.mktemp("versioned")))
+
+
+@pytest.fixture
+def own_root(spark, folder):
+    return four_commits(spark, folder("versioned"))
+
+
 def test_every_version_can_be_read(spark, root):
     ids = [[r[0] for r in rows_of(V.as_of_version(spark, root, n), "id")] for n in range(4)]
     assert ids == [[1, 2, 3], [1, 2, 3, 4], [1, 2, 3, 5], [1, 2, 3, 5, 6]]
@@ -68,11 +77,11 @@ def test_feed_applied_to_a_version_gives_the_next(spark, root):
         assert rows_of(state) == rows_of(V.as_of_version(spark, root, n))
 
 
-def test_unfinished_commit_is_not_seen(spark, root):
-    df(spark, (9, "half")).write.parquet(f"{root}/data/version-000000004")
-    assert V.as_of_version(spark, root).count() == 5
-    V.commit(df(spark, (7, "g")), root, "append", day(5))
-    assert rows_of(V.as_of_version(spark, root), "id")[-1] == (7,)
+def test_unfinished_commit_is_not_seen(spark, own_root):
+    df(spark, (9, "half")).write.parquet(f"{own_root}/data/version-000000004")
+    assert V.as_of_version(spark, own_root).count() == 5
+    V.commit(df(spark, (7, "g")), own_root, "append", day(5))
+    assert rows_of(V.as_of_version(spark, own_root), "id")[-1] == (7,)
 
 
 def test_schema_is_enforced(spark, root):
@@ -84,13 +93,13 @@ def test_schema_is_enforced(spark, root):
     assert len(V.commits(spark, root)) == before
 
 
-def test_schema_widens_on_request(spark, root):
+def test_schema_widens_on_request(spark, own_root):
     wide = df(spark, (8, 1.5), schema="id bigint, price double")
-    V.commit(wide, root, "append", merge_schema=True)
-    out = V.as_of_version(spark, root)
+    V.commit(wide, own_root, "append", merge_schema=True)
+    out = V.as_of_version(spark, own_root)
     assert out.columns == ["id", "v", "price"]
     assert rows_of(out.where("id in (6, 8)")) == [(6, "f", None), (8, None, 1.5)]
-    assert V.as_of_version(spark, root, 3).columns == ["id", "v"]
+    assert V.as_of_version(spark, own_root, 3).columns == ["id", "v"]
 
 
 def test_batch_is_committed_once(spark, folder):
@@ -119,3 +128,11 @@ def test_compare_with_composite_and_null_keys(spark):
     new = df(spark, (1, None, 5), (2, "x", 2), schema=schema)
     out = V.compare(old, new, ["a", "b"]).groupBy(V.CHANGE_TYPE).agg(F.count(F.lit(1)))
     assert dict(rows_of(out)) == {"update_preimage": 1, "update_postimage": 1, "insert": 1, "delete": 1}
+
+
+def test_staged_rows_are_not_seen(spark, folder):
+    path = folder()
+    V.commit(df(spark, (1, "a")), path, "overwrite")
+    staged = V.stage(df(spark, (2, "b")), path, "overwrite")
+    assert rows_of(staged.rows(), "id") == [(2,)] and rows_of(V.as_of_version(spark, path), "id") == [(1,)]
+    assert staged.finish() == 1 and rows_of(V.as_of_version(spark, path), "id") == [(2,)]
