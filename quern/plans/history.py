@@ -109,7 +109,7 @@ def store_history(
     """
     spark = cur.sparkSession
     versions.create(spark, root)
-    prev = versions.part(spark, root, OPEN) if versions.commits(spark, root) else None
+    prev = versions.parts(spark, root, [OPEN]) if versions.commits(spark, root) else None
     if updated_at:
         moved = snapshot_timestamp(prev, cur, key, updated_at, close_deleted, run_at)
     else:

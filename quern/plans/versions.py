@@ -201,10 +201,10 @@ def _rows_at(spark: SparkSession, root: str, past: list, version: int | None) ->
     return _read(spark, root, entry, _live(past, number))
 
 
-def part(spark: SparkSession, root: str, label: str) -> DataFrame:
-    """Rows of one part of the latest version."""
+def parts(spark: SparkSession, root: str, labels: Sequence[str]) -> DataFrame:
+    """Rows of some parts of the latest version; no other folder is opened."""
     past = commits(spark, root)
-    live = [item for item in _live(past, past[-1].version) if item[1] == label]
+    live = [item for item in _live(past, past[-1].version) if item[1] in labels]
     return _read(spark, root, past[-1], live)
 
 

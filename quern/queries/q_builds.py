@@ -6,8 +6,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from quern.functions.expressions import clean_text, money
-from quern.operators.quality import accepted_values, is_between, is_positive, not_null, unique
+from quern.functions.expressions import clean_text
+from quern.operators.quality import accepted_values, is_between, is_positive, unique
 from quern.plans import builds, versions
 from quern.plans.project import medallion as build_medallion
 from quern.plans.project import project
@@ -134,6 +134,21 @@ def incr_predicates(spark, sf):
     return builds.merge_partitions(spark, path, batch, ["o_orderkey"], ["o_year"], "o_year >= 2000")
 
 
+@query(
+    "incr_predicates_parts",
+    """WITH t AS (SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders)
+    SELECT o_orderkey, CASE WHEN o_year >= 2000 AND o_orderkey % 8 = 0 THEN 0.0::DOUBLE ELSE o_totalprice END AS o_totalprice,
+    o_year FROM t UNION ALL SELECT o_orderkey, 0.0::DOUBLE, o_year FROM t WHERE o_year < 2000 AND o_orderkey % 8 = 0""",
+)
+def incr_predicates_parts(spark, sf):
+    dated = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("o_year"))
+    label, root = F.col("o_year").cast("string"), new_folder(spark, "year_parts")
+    years = sorted(r[0] for r in dated.select(label).distinct().collect())
+    versions.commit_parts(dated, root, label, years, years, NOON)
+    batch = dated.where("o_orderkey % 8 = 0").withColumn("o_totalprice", F.lit(0.0))
+    return builds.merge_parts(root, batch, ["o_orderkey"], label, [y for y in years if y >= "2000"], now=NOON)
+
+
 @query("incr_full_refresh", "SELECT event_id, user_id, event_type = 'purchase' AS is_purchase FROM events")
 def incr_full_refresh(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type")

@@ -94,6 +94,23 @@ def test_merge_into_partitions(spark, folder):
     assert first < set(out.inputFiles())
 
 
+def test_merge_into_parts(spark, folder):
+    root, schema, label = folder(), "id bigint, v string, p int", F.col("p").cast("string")
+    rows = [(i, f"v{i}", p) for p in (1, 2, 3) for i in range(p * 10, p * 10 + 3)]
+    V.commit_parts(df(spark, *rows, schema=schema), root, label, ["1", "2", "3"], [])
+    batch = df(spark, (30, "moved", 2), (31, "moved", 2), (32, "moved", 4), (10, "again", 1), schema=schema)
+    out = B.merge_parts(root, batch, ["id"], label, ["2", "3"])
+    got = rows_of(out, "id", "v", "p")
+    # Part 3 lost all its rows; outside the window nothing is matched.
+    assert [r for r in got if r[0] >= 30] == [(30, "moved", 2), (31, "moved", 2), (32, "moved", 4)]
+    assert [r for r in got if r[0] == 10] == [(10, "again", 1), (10, "v10", 1)] and len(got) == 10
+    assert any("version-000000000/part=1" in f for f in out.inputFiles())
+    assert not any("version-000000000/part=2" in f for f in out.inputFiles())
+    assert rows_of(V.as_of_version(spark, root, 0)) == rows_of(df(spark, *rows, schema=schema))
+    with pytest.raises(ValueError, match="label"):
+        V.commit_parts(df(spark, (1, "x", 9), schema=schema), root, label, ["1"], [])
+
+
 def test_partition_change_of_a_matched_key_is_refused(spark, folder):
     path = folder()
     partitioned(spark, path)

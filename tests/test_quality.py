@@ -2,7 +2,6 @@ import datetime as dt
 from decimal import Decimal as D
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.functions.expressions import tier
