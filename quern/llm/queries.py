@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quern.llm.neardup import near_duplicates
+from quern.llm.quality import COUNTS, fit_quality, judge_quality
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -24,7 +27,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-from quern.llm.neardup import near_duplicates  # noqa: E402
+@query("op1_quality_rules")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    forest = fit_quality(docs, table(spark, sf, "labels"))
+    return judge_quality(docs, forest).select("doc_id", *COUNTS, "base_failed", "quality_score", "kept")
 
 
 @query("op10_near_duplicates")
