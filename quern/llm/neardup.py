@@ -3,10 +3,12 @@
 1. Every text becomes its set of word shingles. Texts with the same set form a class, named after its smallest id: a group
    of copies, however large, goes on as one row.
 2. A sketch of each class (`sketches.py`) is cut into bands; classes that agree in a band share a bucket.
-3. In a bucket of few classes all pairs are candidates. In a larger one a pivot drawn by hash is compared with every
-   other class, so a group of near copies costs as many comparisons as it has members. Classes that end up outside the
-   component of the pivot get pivots of their own, and then a last pass compares them with every class of another
-   component that the triangle inequality of the Jaccard distance leaves possible. No possible link is skipped.
+3. In a bucket of few classes all pairs are candidates. In a larger one a pivot is compared with the others, so a group of
+   near copies costs about as many comparisons as it has members. The pivot is the class with the smallest share of
+   shingles of its own, which in a group of copies with edits is the text that was edited. Classes outside the
+   component of the pivot get a pivot of their own, a few times over; a last pass compares those still outside with
+   every class of another component. No possible link is skipped: what is left out is ruled out by a bound. A set with
+   u shingles that no other class of these buckets has shares at most n - u of its n with any of them.
 4. Candidates are confirmed on the full sets, and the links joined to components.
 """
 
@@ -87,17 +89,14 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return wide.mapInArrow(run, ", ".join(f"{c} bigint" for c in [*keep, "both"]))
 
 
-def _may_link(a: Column, b: Column, percent: int) -> Column:
-    """Sizes so different that the sets cannot be similar enough are left out."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _may_link(percent: int, n: str, n_2: str, shared: str | None = None, shared_2: str | None = None) -> Column:
+    """Whether two sets can be similar enough: by their sizes, or by the most that they can have in common."""
+    most = F.least(n, n_2) if shared is None else F.least(shared, shared_2)
+    return most * 100 >= (F.col(n) + F.col(n_2) - most) * percent
 
 
-def _pivots(members: DataFrame, salt: int) -> DataFrame:
-    """One member per bucket, drawn by hash, so that a group of near copies gets a different one in each bucket."""
-    draw = F.xxhash64(F.col("node"), F.col("bucket"), F.lit(salt))
-    return members.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("members"), F.min(F.struct(draw.alias("draw"), "node", "n")).alias("pivot")
-    )
+def _is_link(percent: int) -> Column:
+    return F.col("both") * 100 >= (F.col("n_u") + F.col("n_v") - F.col("both")) * percent
 
 
 def _pair(a: str, b: str, n_a: str, n_b: str) -> list[Column]:
@@ -110,85 +109,85 @@ def _pair(a: str, b: str, n_a: str, n_b: str) -> list[Column]:
     ]
 
 
-def _star_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Each member with its bucket's pivot."""
-    pairs = members.where(F.col("node") != F.col("pivot")).where(_may_link(F.col("n"), F.col("n_pivot"), percent))
-    return pairs.select(*_pair("node", "pivot", "n", "n_pivot"))
-
-
 def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
     """All pairs within buckets of at most SMALL members."""
     other = members.select("bucket", F.col("node").alias("node_2"), F.col("n").alias("n_2"))
-    pairs = members.join(other, "bucket").where("node < node_2").where(_may_link(F.col("n"), F.col("n_2"), percent))
+    pairs = members.join(other, "bucket").where("node < node_2").where(_may_link(percent, "n", "n_2"))
     return pairs.select(*_pair("node", "node_2", "n", "n_2"))
 
 
-def _is_link(percent: int) -> Column:
-    return F.col("both") * 100 >= (F.col("n_u") + F.col("n_v") - F.col("both")) * percent
+def _shared_sizes(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, shared): how many shingles of each node some other of the nodes has too."""
+
+    def run(batches):
+        for batch in batches:
+            sizes = [len(s) // 8 for s in batch.column(1).to_pylist()]
+            items = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64)
+            owners = np.repeat(batch.column(0).to_numpy(), sizes)
+            for i in range(0, max(1, len(items)), 1 << 16):
+                part = [pa.array(owners[i : i + (1 << 16)]), pa.array(items[i : i + (1 << 16)])]
+                yield pa.RecordBatch.from_arrays(part, names=["node", "item"])
+
+    wanted = sets.join(nodes, "node", "left_semi").select("node", "items", F.expr("octet_length(items) div 8").alias("n"))
+    items = wanted.select("node", "items").mapInArrow(run, "node bigint, item bigint")
+    own = items.groupBy("item").agg(F.count(F.lit(1)).alias("holders"), F.min("node").alias("node")).where("holders = 1")
+    counts = own.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    return wanted.join(counts, "node", "left").select("node", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"))
+
+
+def _with_pivots(members: DataFrame) -> DataFrame:
+    """Add the pivot of each bucket: the member with the largest shared part, ties by a hash that differs by bucket."""
+    order = F.struct(
+        (-F.col("shared") / F.col("n")).alias("rank"), F.xxhash64("node", "bucket").alias("draw"), "node", "n", "shared"
+    )
+    best = members.groupBy("bucket").agg(F.min(order).alias("best"))
+    pivots = best.select("bucket", *[F.col(f"best.{c}").alias(f"{c}_2") for c in ("node", "n", "shared")])
+    return members.join(pivots, "bucket")
 
 
 def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
-    named = members.join(roots.select("node", F.col("root").alias("own_root")), "node", "left")
-    pivots = roots.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
-    named = named.join(pivots, "pivot", "left")
-    return named.select(
-        *members.columns,
-        F.coalesce("own_root", "node").alias("label"),
-        F.coalesce("pivot_root", "pivot").alias("pivot_label"),
+    """Add label and label_2, the components of node and node_2."""
+    for col in ("node", "node_2"):
+        names = roots.select(F.col("node").alias(col), F.col("root").alias(f"root_{col}"))
+        members = members.join(names, col, "left")
+    return members.withColumn("label", F.coalesce("root_node", "node")).withColumn(
+        "label_2", F.coalesce("root_node_2", "node_2")
     )
 
 
-def _last_pairs(large: DataFrame, checked: DataFrame, percent: int) -> DataFrame:
-    """Members outside their pivot's component, with every member of another component that may be near.
+def link_classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, root) of the components of the classes that share buckets: members (bucket, members, node, n)."""
 
-    For the Jaccard distance d and a link (x, y): |d(pivot, x) - d(pivot, y)| <= d(x, y) <= 1 - threshold. `near` is the
-    similarity to the pivot; it is unknown where the sizes rule a link with the pivot out, and then rules nothing out.
-    """
-    near = F.col("both") / (F.col("n_u") + F.col("n_v") - F.col("both"))
-    known = checked.select("u", "v", near.alias("near"))
-    ends = large.withColumn("u", F.least("node", "pivot")).withColumn("v", F.greatest("node", "pivot"))
-    placed = ends.join(known, ["u", "v"], "left").withColumn(
-        "near", F.when(F.col("node") == F.col("pivot"), 1.0).otherwise(F.col("near"))
-    )
-    outside = placed.where("label <> pivot_label").select("bucket", "node", "n", "label", "near")
-    others = placed.select(
-        "bucket", *[F.col(c).alias(f"{c}_2") for c in ("node", "n", "label", "near")]
-    )
-    gap = F.abs(F.col("near") - F.col("near_2"))
-    pairs = (
-        outside.join(others, "bucket")
-        .where("label <> label_2")
-        .where(_may_link(F.col("n"), F.col("n_2"), percent))
-        .where(gap.isNull() | (gap <= 1 - percent / 100 + 1e-9))
-    )
-    return pairs.select(*_pair("node", "node_2", "n", "n_2"))
+    def grown(roots: DataFrame | None, pairs: DataFrame) -> DataFrame:
+        links = compare(pairs.distinct(), sets).where(_is_link(percent)).select("u", "v")
+        if roots is not None:
+            links = links.union(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
+        return stored(components(links), "roots")
 
+    def star(rows: DataFrame) -> DataFrame:
+        near = _may_link(percent, "n", "n_2", "shared", "shared_2")
+        return rows.where("node <> node_2").where(near).select(*_pair("node", "node_2", "n", "n_2"))
 
-def link_classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, root) of the components of classes that share buckets: members (bucket, members, pivot, n_pivot, node, n)."""
     small, large = members.where(F.col("members") <= SMALL), members.where(F.col("members") > SMALL)
-    pairs = _all_pairs(small, percent).union(_star_pairs(large, percent)).distinct()
-    checked = stored(compare(pairs, sets), "checked")
-    links = checked.where(_is_link(percent)).select("u", "v")
-    roots = stored(components(links), "roots")
-    first_checked = checked
-    for salt in range(1, PIVOT_ROUNDS + 1):
-        outside = stored(_labelled(large, roots).where("label <> pivot_label").select("bucket", "node", "n"), "outside")
-        sized = _pivots(outside, salt).where("members > 1")
-        state = sized.agg(F.max("members").alias("most")).first()
-        if not state.most or state.most <= SMALL:
+    in_large = large.select("node").distinct()
+    # A set of which too little is shared can have no link in these buckets.
+    able = _shared_sizes(in_large, sets).join(large, "node").where(F.col("shared") * 100 >= F.col("n") * percent)
+    large = stored(able.select("bucket", "node", "n", "shared"), "large")
+    stars = stored(_with_pivots(large), "stars")
+    roots = grown(None, _all_pairs(small, percent).union(star(stars)))
+    columns = ["bucket", "node", "n", "shared"]
+    rest = stored(_labelled(stars, roots).where("label <> label_2").select(*columns), "rest")
+    for _ in range(PIVOT_ROUNDS):
+        if rest.isEmpty():
             break
-        again = outside.join(
-            sized.select("bucket", F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("n_pivot")), "bucket"
-        )
-        more = compare(_star_pairs(again, percent).distinct(), sets).where(_is_link(percent)).select("u", "v")
-        tied = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
-        roots = stored(components(tied.union(more)), "roots")
-    last = stored(_last_pairs(_labelled(large, roots), first_checked, percent).distinct(), "last")
-    if last.isEmpty():
-        return roots
-    more = compare(last, sets).where(_is_link(percent)).select("u", "v")
-    return stored(components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more)), "roots")
+        rows = _with_pivots(rest)
+        roots = grown(roots, star(rows))
+        rest = stored(_labelled(rows, roots).where("label <> label_2").select(*columns), "rest")
+    named = stored(_labelled(stars, roots), "named")
+    outside = named.where("label <> label_2").select(*columns, "label")
+    others = named.select("bucket", *[F.col(c).alias(f"{c}_2") for c in ("node", "n", "shared", "label")])
+    apart = (F.col("label") != F.col("label_2")) & _may_link(percent, "n", "n_2", "shared", "shared_2")
+    return grown(roots, outside.join(others, "bucket").where(apart).select(*_pair("node", "node_2", "n", "n_2")))
 
 
 def near_duplicates(
@@ -211,10 +210,8 @@ def near_duplicates(
         .where("node is not null")
     )
     entries = classes.select("node", "n", F.explode("bands").alias("bucket"))
-    shared = _pivots(entries, 0).where("members > 1").select(
-        "bucket", "members", F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("n_pivot")
-    )
-    members = stored(entries.join(shared, "bucket").select("bucket", "members", "pivot", "n_pivot", "node", "n"), "members")
+    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    members = stored(entries.join(shared, "bucket").select("bucket", "members", "node", "n"), "members")
     nodes = stored(members.select("node").distinct(), "nodes")
     sets = stored(full_sets(docs, id_col, text_col, size, nodes), "sets")
     roots = link_classes(members, sets, percent)
