@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from quern.llm.neardup import near_duplicates
 from quern.llm.packing import pack_documents, word_count
 from quern.llm.quality import COUNTS, fit_quality, judge_quality
 from quern.llm.ring import shard_rows
-from quern.llm.secrets import BASE_RULES, MORE_RULES, join_spans, scan_secrets
+from quern.llm.secrets import BASE_RULES, MORE_RULES, Rule, join_spans, scan_secrets
 from quern.llm.urls import HOST_PATH_RULES, METHOD_RULES, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,7 +136,33 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     return judge_urls(table(spark, sf, "pages").select("page_id", "url"), HOST_PATH_RULES, METHOD_RULES).drop("url")
 
 
-@query("op8_secret_scan")
+def _secret_sql(number: int, rule: Rule) -> str:
+    """Spans of one rule. Letters in either case are spelt out, as SQL's own case folding goes beyond ASCII."""
+    folded = re.sub(
+        r"\(\?i:([^)]*)\)", lambda m: "(?:" + re.sub("[a-z]", lambda c: f"[{c[0].upper()}{c[0]}]", m[1]) + ")", rule.pattern
+    )
+    quoted = folded.replace("'", "''")
+    return f"""SELECT row, {number} AS kind, '{rule.kind}' AS name, regexp_split_to_array(t, '{quoted}') AS gaps,
+    regexp_extract_all(t, '{quoted}', 0) AS found, regexp_extract_all(t, '{quoted}', {rule.group}) AS measured, {rule.least} AS least
+    FROM texts"""
+
+
+def _secrets_sql(rules: Sequence[Rule], base: int) -> str:
+    counts = ", ".join(f"count(s) FILTER (kind = {i}) AS n_{r.kind}" for i, r in enumerate(rules[:base]))
+    told = "string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind)"
+    return f"""
+WITH texts AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents),
+cut AS ({" UNION ALL ".join(_secret_sql(i, r) for i, r in enumerate(rules))}),
+numbered AS (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM cut WHERE len(found) > 0),
+placed AS (SELECT row, kind, name, length(found[i]) AS size, length(measured[i]) >= least AS good,
+    coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0)
+    + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) AS s FROM numbered),
+spans AS (SELECT row, kind, name, s::BIGINT AS s, (s + size)::BIGINT AS e FROM placed WHERE good)
+SELECT doc_id, {counts}, sha256(coalesce({told} FILTER (kind < {base}), '')) AS base_sha256, coalesce({told}, '') AS spans
+FROM texts LEFT JOIN spans USING (row) GROUP BY row, doc_id"""
+
+
+@query("op8_secret_scan", _secrets_sql([*BASE_RULES, *MORE_RULES], len(BASE_RULES)))
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     rules = [*BASE_RULES, *MORE_RULES]
     names = [r.kind for r in rules]
