@@ -95,7 +95,8 @@ class BytePairs:
 
     Follows the tokenizer file: special strings are found first; what lies between is normalised (NFC, lower case) and cut
     at white space and by the file's pattern; bytes become symbols; the last symbol of a piece has an end mark. Words and
-    their tokens are remembered, 2 * `limit` of each at most, so memory is bounded.
+    their tokens are remembered, 2 * `limit` of each at most, so memory is bounded. Which characters are letters or numbers
+    is up to the installed libraries: those added after Unicode 16 may be cut otherwise than by the tokenizer's own.
     """
 
     def __init__(self, path: str, limit: int = 150_000, chunk: int = 4096):

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.columns import without
+from quern.session import cut_lineage
 
 #: Permitted sequence lengths in words, and what each costs: its length, and a part that grows with its square.
 SIZES = {size: size * (1 + size / 16384) for size in (512, 1024, 2048, 4096)}
@@ -104,18 +105,9 @@ def pack_documents(
     length go by id and piece; an empty table gives no rows. Group sizes follow from a hash of id, piece and length, so a
     retried task makes the same bins again.
     """
-    largest = max(sizes)
-    pieces = split_long(docs, id_col, length, largest)
-    whole = pieces.where(F.col("length") == largest).select(
-        "*",
-        F.concat(F.lit("w"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("-"), "piece").alias("bin_id"),
-        F.lit(largest).cast("bigint").alias("bin_size"),
-        F.lit(0).cast("bigint").alias("bin_offset"),
-    )
-    groups = max(1, -(-docs.count() // group_pieces))
-    rest = pieces.where(F.col("length") < largest).withColumn(
-        "group", F.pmod(F.xxhash64("doc_id", "piece", "length"), F.lit(groups))
-    )
+    pieces = cut_lineage(split_long(docs, id_col, length, max(sizes)))
+    groups = max(1, -(-pieces.count() // group_pieces))
+    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "length"), F.lit(groups)))
 
     def pack_group(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
@@ -129,7 +121,7 @@ def pack_documents(
         )
 
     schema = "doc_id bigint, piece bigint, start bigint, length bigint, bin_id string, bin_size bigint, bin_offset bigint"
-    return whole.unionByName(rest.groupBy("group").applyInPandas(pack_group, schema))
+    return dealt.groupBy("group").applyInPandas(pack_group, schema)
 
 
 def with_bins(docs: DataFrame, packed: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -1,0 +1,41 @@
+"""Awkward documents: nulls, empty and very long texts, ties, repeated rows, and columns with the names of results."""
+
+import random
+
+RND = random.Random(5)
+LETTERS = [chr(c) for c in range(97, 123)]
+
+
+def prose(words, seed=0, vocabulary=400):
+    rnd = random.Random(seed)
+    names = ["".join(random.Random(k).choices(LETTERS, k=2 + k % 7)) for k in range(vocabulary)]
+    return " ".join(rnd.choice(names) for _ in range(words))
+
+
+LONG = "\n".join(prose(200, seed) for seed in range(300))
+
+TEXTS = [
+    (1, None),
+    (2, ""),
+    (3, " \n\t "),
+    (4, "one"),
+    (5, "one two"),
+    (6, prose(120, 1)),
+    (7, prose(120, 1)),
+    (7, prose(120, 1)),
+    (8, prose(120, 2).upper()),
+    (9, "é è ünï code \U0001d4b3 \x85 x\x1cy " * 30),
+    (10, "same words again and again\n" * 40),
+    (11, LONG),
+    (12, "x" * 30_000),
+    (None, prose(120, 3)),
+    (None, None),
+    (13, "### $$$ %% " * 60 + prose(60, 4)),
+    (0, prose(60, 5) + "\n\n" + prose(60, 5)),
+]
+
+
+def documents(spark, rows=TEXTS, extra=""):
+    """The rows as documents, with more columns given as SQL."""
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    return df.selectExpr("*", *([extra] if extra else []))
