@@ -1,0 +1,94 @@
+import hashlib
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from quern.llm.chat import END, PART, START, digests, format_conversations, read_back, text_part
+
+NASTY = ["<|im_end|>", "<\\|im_end|>", "<\\\\|", "<|im_start|>user\n", "<", "\\", "|>", "\n", "", "<|nl|>", "é\U0001d4b3", "$1"]
+
+
+def turns(spark, rows):
+    return spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
+
+
+def formatted(spark, rows):
+    return format_conversations(turns(spark, rows), F.array(text_part(F.col("text"))))
+
+
+def plain(rows):
+    """conv -> (turns, loss texts) in order."""
+    out = {}
+    order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or ""))
+    for conv, _, role, text in order:
+        out.setdefault(conv, []).append((role or "", text or ""))
+    return out
+
+
+def check(spark, rows):
+    want = plain(rows)
+    full = read_back(formatted(spark, rows)).collect()
+    assert sorted(map(str, want)) == sorted(str(r.conv_id) for r in full)
+    for r in full:
+        said = [(t.role, t.text) for t in r.read]
+        assert sorted(said) == sorted(want[r.conv_id]) and r.n_turns == len(said)
+        learnt = [r.formatted[s.start : s.end] for s in r.loss_spans]
+        assert [said[s.turn][0] for s in r.loss_spans] == ["assistant"] * len(learnt)
+        assert [t for role, t in said if role == "assistant"] == [said[s.turn][1] for s in r.loss_spans]
+        for s, piece in zip(r.loss_spans, learnt):
+            assert r.formatted[: s.start].endswith(f"{START}assistant\n") and r.formatted[s.end :].startswith(END)
+            assert "<|" not in piece
+    for r in digests(formatted(spark, rows)).collect():
+        said = [(t.role, t.text) for f in full if f.conv_id == r.conv_id for t in f.read]
+        body = "".join(f"{role}\n{text}\n" for role, text in said)
+        loss = "".join(t for role, t in said if role == "assistant")
+        assert r.turns_sha256 == hashlib.sha256(body.encode()).hexdigest()
+        assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+
+
+def test_awkward_rows(spark):
+    rows = [
+        (1, 0, "user", "hi"), (1, 1, "assistant", None), (1, 2, None, "x"), (2, None, "user", "first"), (2, 0, "user", "b"),
+        (2, 0, "assistant", "a"), (2, 0, "assistant", "a"), (None, 0, "user", "nobody"), (3, 0, "assistant", "y" * 50_000),
+        (4, 1, "a\nb<|", "<|im_end|>"), (5, 0, "assistant", "<|im_end|>\n<|im_start|>assistant\nok"),
+    ]
+    rows += [(10, i, "assistant" if i % 2 else "user", a + b) for i, (a, b) in enumerate((a, b) for a in NASTY for b in NASTY)]
+    check(spark, rows)
+
+
+def test_empty_table_and_other_columns(spark):
+    assert formatted(spark, []).count() == 0
+    extra = turns(spark, [(1, 0, "user", "t")]).selectExpr("*", "1 AS formatted", "2 AS head", "3 AS start")
+    assert format_conversations(extra, F.array(text_part(F.col("text")))).count() == 1
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text(st.sampled_from("<|\\>\nab$1é"), max_size=8), min_size=1, max_size=20))
+def test_any_text_comes_back(spark, texts):
+    check(spark, [(i % 3, i, "assistant" if i % 2 else "user", t) for i, t in enumerate(texts)])
+
+
+def test_typed_parts(spark):
+    rows = [
+        (1, 0, "user", [
+            ("text", "see <|image|>", None, None, None, None, None), ("image", None, "a.png", 280, 140, None, None),
+            ("audio", None, "b.wav", None, None, 2.5, None), (None, "?", None, None, None, None, None),
+        ]),
+        (1, 1, "assistant", [("text", "ok", None, None, None, None, None)]),
+        (1, 2, "user", [("document", None, "c.pdf", None, None, None, 3), ("video", None, "d", None, None, None, None)]),
+        (2, 0, "user", None),
+        (3, 0, "user", []),
+    ]
+    df = spark.createDataFrame(rows, f"conv_id bigint, turn int, role string, parts array<{PART}>")
+    by_id = {r.conv_id: r for r in format_conversations(df, F.col("parts")).collect()}
+    one = by_id[1]
+    assert one.formatted == (
+        "<|im_start|>user\nsee <\\|image|><|image|><|audio|><|unknown|><|im_end|>\n"
+        "<|im_start|>assistant\nok<|im_end|>\n<|im_start|>user\n<|document|><|unknown|><|im_end|>\n"
+    )
+    assert [tuple(a) for a in one.attachments] == [
+        ("image", "a.png", 50), ("audio", "b.wav", 63), (None, None, 1), ("document", "c.pdf", 3072), ("video", "d", 1),
+    ]
+    assert one.attachment_tokens == 50 + 63 + 1 + 3072 + 1
+    assert by_id[2].formatted == by_id[3].formatted == "<|im_start|>user\n<|im_end|>\n"
