@@ -3,12 +3,14 @@
 A commit writes one immutable data folder and then one history row. Readers go by the history, so a folder whose
 commit did not finish is never seen and is overwritten by the next try. A version is a set of folders: an append adds
 one, an overwrite leaves only its own, and a commit by parts replaces the parts it names and carries the others over
-without touching them. One writer at a time.
+without touching them. Every history row lists the folders of its version, so reading or committing opens the latest row
+only, however long the history is; `compact` gathers many small folders into one. One writer at a time.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -22,9 +24,13 @@ from quern.operators.skew import null_safe
 
 HISTORY = (
     "version bigint, committed_at timestamp_ntz, operation string, row_count bigint, schema_json string, "
-    "batch_id bigint, parts array<string>, replaces array<string>"
+    "batch_id bigint, writer string, watermark string, layout string, "
+    "live array<struct<version: bigint, part: string>>, batches map<string, bigint>"
 )
 WHOLE = "*"  # the part of a commit that is not divided
+PART = "__part"  # the folder column of a divided commit
+# Longer labels are kept by their hash, as folder names have a limit.
+LABEL_BYTES = 100
 
 # Column names of the change feed.
 CHANGE_TYPE, CHANGE_VERSION, CHANGE_TIME = "_change_type", "_commit_version", "_commit_timestamp"
@@ -32,48 +38,78 @@ CHANGE_TYPE, CHANGE_VERSION, CHANGE_TIME = "_change_type", "_commit_version", "_
 
 def _folder(root: str, version: int, part: str = WHOLE) -> str:
     folder = f"{root}/data/version-{version:09d}"
-    return folder if part == WHOLE else f"{folder}/part={part}"
+    return folder if part == WHOLE else f"{folder}/{PART}={part}"
+
+
+def part_name(label: str | None) -> str:
+    """The folder name of a label: letters and digits only, whatever the label holds; null has a folder of its own."""
+    if label is None:
+        return "null"
+    raw = label.encode("utf-8")
+    return f"x{raw.hex().upper()}" if len(raw) <= LABEL_BYTES else f"h{hashlib.sha256(raw).hexdigest()}"
+
+
+def _part_column(label: Column) -> Column:
+    """`part_name` as a column."""
+    text = label.cast("string")
+    short = F.concat(F.lit("x"), F.hex(F.encode(text, "utf-8")))
+    named = F.when(F.octet_length(text) <= LABEL_BYTES, short).otherwise(F.concat(F.lit("h"), F.sha2(text, 256)))
+    return F.when(text.isNull(), F.lit("null")).otherwise(named)
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, through Spark's own file systems."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in system.listStatus(folder)] if system.exists(folder) else []
 
 
 def create(spark: SparkSession, root: str) -> None:
     """Make an empty history, unless there is one."""
-    spark.createDataFrame([], HISTORY).write.mode("ignore").json(f"{root}/history/start")
+    spark.createDataFrame([], HISTORY).write.mode("ignore").parquet(f"{root}/history/start")
 
 
 def history(spark: SparkSession, root: str) -> DataFrame:
     """One row per commit: version, time, operation, rows."""
-    return spark.read.schema(HISTORY).json(f"{root}/history/*")
+    return spark.read.schema(HISTORY).parquet(f"{root}/history/*")
 
 
 def commits(spark: SparkSession, root: str) -> list:
-    """The history as rows in version order (one small row per commit)."""
+    """The whole history as rows in version order; reading and committing do without it."""
     return sorted(history(spark, root).collect(), key=lambda r: r.version)
 
 
+def entry_of(spark: SparkSession, root: str, version: int):
+    """The history row of a version, or None."""
+    name = f"version-{version:09d}"
+    if name not in _names(spark, f"{root}/history"):
+        return None
+    return spark.read.schema(HISTORY).parquet(f"{root}/history/{name}").first()
+
+
+def latest(spark: SparkSession, root: str):
+    """The history row of the newest version, or None. One listing of names, one small file."""
+    for name in sorted((n for n in _names(spark, f"{root}/history") if n.startswith("version-")), reverse=True):
+        # A folder without a row is a commit that did not finish.
+        if row := spark.read.schema(HISTORY).parquet(f"{root}/history/{name}").first():
+            return row
+    return None
+
+
 def _schema(entry) -> T.StructType:
     return T.StructType.fromJson(json.loads(entry.schema_json))
 
 
-def _live(past: list, version: int) -> list[tuple[int, str]]:
-    """The (version, part) pairs whose folders make up a version."""
-    live = []
-    for entry in past:
-        if entry.version > version:
-            break
-        if entry.operation == "overwrite":
-            live = []
-        elif entry.operation == "replace":
-            live = [item for item in live if item[1] not in entry.replaces]
-        live = live + [(entry.version, part) for part in entry.parts]
-    return live
+def _live(entry) -> set[tuple[int, str]]:
+    return {(item.version, item.part) for item in entry.live} if entry else set()
 
 
-def _read(spark: SparkSession, root: str, entry, live: list[tuple[int, str]]) -> DataFrame:
+def _read(spark: SparkSession, root: str, entry, live: set[tuple[int, str]]) -> DataFrame:
     """Rows of folders under the schema of a commit."""
     schema = _schema(entry)
     if not live:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*[_folder(root, version, part) for version, part in live])
+    return spark.read.schema(schema).parquet(*[_folder(root, version, part) for version, part in sorted(live)])
 
 
 def enforce(df: DataFrame, schema: T.StructType, merge_schema: bool = False) -> T.StructType:
@@ -89,6 +125,14 @@ def enforce(df: DataFrame, schema: T.StructType, merge_schema: bool = False) ->
     return T.StructType(schema.fields + [f for f in df.schema if f.name not in schema.names])
 
 
+@dataclass(frozen=True)
+class Batch:
+    """A micro-batch: its number, and who numbers it. Numbers of different writers have nothing to do with each other."""
+
+    writer: str
+    number: int
+
+
 @dataclass(frozen=True)
 class Staged:
     """Rows written for the next version that no reader sees yet."""
@@ -107,30 +151,65 @@ class Staged:
         return self.entry[0]
 
 
+def _time(past, now: dt.datetime | None) -> dt.datetime:
+    """The time of the next commit; one before the last commit would make reading by time ambiguous."""
+    at = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    if past and at < past.committed_at:
+        if now:
+            raise ValueError(f"{now} lies before the last commit, {past.committed_at}")
+        at = past.committed_at
+    return at
+
+
+def _newest(watermark: str | None) -> list[Column]:
+    return [F.max(watermark).cast("string").alias("newest")] if watermark else [F.lit(None).cast("string").alias("newest")]
+
+
+def _batches(past, batch: Batch | None) -> dict[str, int]:
+    done = dict(past.batches or {}) if past else {}
+    return done | ({batch.writer: batch.number} if batch else {})
+
+
+def done_before(spark: SparkSession, root: str, batch: Batch) -> bool:
+    """Whether this writer's batch is in the table already."""
+    past = latest(spark, root)
+    return bool(past) and batch.number <= (past.batches or {}).get(batch.writer, -1)
+
+
 def stage(
     df: DataFrame,
     root: str,
     mode: str = "append",
     now: dt.datetime | None = None,
     merge_schema: bool = False,
-    batch_id: int | None = None,
+    batch: Batch | None = None,
+    watermark: str | None = None,
 ) -> Staged:
-    """Write the rows of the next version. Staging again before `finish` replaces what was staged."""
+    """Write the rows of the next version. Staging again before `finish` replaces what was staged.
+
+    The greatest value of the column `watermark` goes into the history, so the next load need not look for it.
+    """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode {mode!r} is neither append nor overwrite")
     spark = df.sparkSession
     create(spark, root)
-    past = commits(spark, root)
-    version = past[-1].version + 1 if past else 0
+    past = latest(spark, root)
+    at = _time(past, now)
+    version = past.version + 1 if past else 0
     if mode == "append" and past:
-        schema = enforce(df, _schema(past[-1]), merge_schema)
+        schema = enforce(df, _schema(past), merge_schema)
         df = df.select(*[c for c in schema.names if c in df.columns])
     else:
         schema = df.schema
     written = Observation(f"commit-{version}")
-    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    counted = df.observe(written, F.count(F.lit(1)).alias("rows"), *_newest(watermark))
     counted.write.mode("overwrite").parquet(_folder(root, version))
-    entry = (version, now or _now(), mode, written.get["rows"], schema.json(), batch_id, [WHOLE], [])
+    kept = sorted(_live(past)) if mode == "append" else []
+    newest = written.get["newest"] or (past.watermark if past and mode == "append" else None)
+    entry = (
+        version, at, mode, written.get["rows"], schema.json(), batch.number if batch else None,
+        batch.writer if batch else None, newest, None, [*kept, (version, WHOLE)], _batches(past, batch),
+    )
     return Staged(spark, root, entry)
 
 
@@ -140,81 +219,101 @@ def commit(
     mode: str = "append",
     now: dt.datetime | None = None,
     merge_schema: bool = False,
-    batch_id: int | None = None,
+    batch: Batch | None = None,
+    watermark: str | None = None,
 ) -> int:
     """Write the rows as the next version and return its number."""
-    return stage(df, root, mode, now, merge_schema, batch_id).finish()
+    return stage(df, root, mode, now, merge_schema, batch, watermark).finish()
 
 
 def commit_parts(
     df: DataFrame,
     root: str,
     label: Column,
-    labels: Sequence[str],
-    replaces: Sequence[str],
+    replaces: Sequence[str | None] | None = (),
     now: dt.datetime | None = None,
+    batch: Batch | None = None,
+    watermark: str | None = None,
+    layout: str | None = None,
 ) -> int:
-    """Write rows divided by a label as the next version, in place of the parts in `replaces`. Parts of earlier
-    versions that are not replaced stay in the table as they are, so a commit costs what it writes."""
+    """Write rows divided by a label as the next version, in place of the parts in `replaces` (None: of everything).
+
+    Parts of earlier versions that are not replaced stay in the table as they are, so a commit costs what it writes. A
+    label may be any text, or null, which is a part of its own. `layout` says how labels are made, for the next commit.
+    """
     spark = df.sparkSession
+    if any(c.lower() == PART for c in df.columns):
+        raise ValueError(f"the column name {PART} is reserved")
     create(spark, root)
-    past = commits(spark, root)
-    version = past[-1].version + 1 if past else 0
-    if past:
-        enforce(df, _schema(past[-1]))
-        df = df.select(*_schema(past[-1]).names)
+    past = latest(spark, root)
+    at = _time(past, now)
+    version = past.version + 1 if past else 0
+    if past and replaces is not None:
+        enforce(df, _schema(past))
+        df = df.select(*_schema(past).names)
     written = Observation(f"commit-{version}")
-    counts = [F.count(F.when(F.col("part") == name, F.lit(1))).alias(name) for name in labels]
-    divided = df.withColumn("part", label).observe(written, F.count(F.lit(1)).alias("__rows"), *counts)
-    divided.write.mode("overwrite").partitionBy("part").parquet(_folder(root, version))
-    rows = written.get
-    if sum(rows[name] for name in labels) != rows["__rows"]:
-        raise ValueError(f"rows with a label outside {labels}")
-    parts = [name for name in labels if rows[name]]
-    entry = (version, now or _now(), "replace", rows["__rows"], df.schema.json(), None, parts, list(replaces))
+    divided = df.withColumn(PART, _part_column(label)).observe(
+        written, F.count(F.lit(1)).alias("rows"), F.collect_set(PART).alias("parts"), *_newest(watermark)
+    )
+    divided.write.mode("overwrite").partitionBy(PART).parquet(_folder(root, version))
+    gone = {part_name(name) for name in replaces or ()}
+    kept = [] if replaces is None else sorted(item for item in _live(past) if item[1] not in gone)
+    entry = (
+        version, at, "replace", written.get["rows"], df.schema.json(), batch.number if batch else None,
+        batch.writer if batch else None, written.get["newest"] or (past.watermark if past else None),
+        layout or (past.layout if past else None),
+        [*kept, *((version, part) for part in sorted(written.get["parts"]))], _batches(past, batch),
+    )
     _record(spark, root, entry)
     return version
 
 
-def _now() -> dt.datetime:
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+def compact(spark: SparkSession, root: str, now: dt.datetime | None = None) -> int:
+    """Gather the folders of every part into one, as a version with the same rows; earlier versions stay readable."""
+    past = latest(spark, root)
+    live = _live(past)
+    crowded = sorted({part for _, part in live if sum(p == part for _, p in live) > 1})
+    version = past.version + 1
+    for part in crowded:
+        rows = _read(spark, root, past, {item for item in live if item[1] == part})
+        rows.hint("rebalance").write.mode("overwrite").parquet(_folder(root, version, part))
+    kept = sorted(item for item in live if item[1] not in crowded)
+    entry = (
+        version, _time(past, now), "compact", 0, past.schema_json, None, None, past.watermark, past.layout,
+        [*kept, *((version, part) for part in crowded)], dict(past.batches or {}),
+    )
+    _record(spark, root, entry)
+    return version
 
 
 def _record(spark: SparkSession, root: str, entry: tuple) -> None:
     """The history row, which makes a commit visible."""
     row = spark.createDataFrame([entry], HISTORY).coalesce(1)
-    row.write.mode("overwrite").json(f"{root}/history/version-{entry[0]:09d}")
+    row.write.mode("overwrite").parquet(f"{root}/history/version-{entry[0]:09d}")
 
 
 def as_of_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     """Rows as of a version; of the latest without one."""
-    return _rows_at(spark, root, commits(spark, root), version)
-
-
-def _rows_at(spark: SparkSession, root: str, past: list, version: int | None) -> DataFrame:
-    if not past:
-        raise LookupError(f"{root} has no versions")
-    number = past[-1].version if version is None else version
-    entry = next((r for r in past if r.version == number), None)
+    entry = latest(spark, root) if version is None else entry_of(spark, root, version)
     if entry is None:
-        raise LookupError(f"{root} has no version {number}")
-    return _read(spark, root, entry, _live(past, number))
+        raise LookupError(f"{root} has no versions" if version is None else f"{root} has no version {version}")
+    return _read(spark, root, entry, _live(entry))
 
 
-def parts(spark: SparkSession, root: str, labels: Sequence[str]) -> DataFrame:
+def parts(spark: SparkSession, root: str, labels: Sequence[str | None]) -> DataFrame:
     """Rows of some parts of the latest version; no other folder is opened."""
-    past = commits(spark, root)
-    live = [item for item in _live(past, past[-1].version) if item[1] in labels]
-    return _read(spark, root, past[-1], live)
+    past = latest(spark, root)
+    wanted = {part_name(label) for label in labels}
+    return _read(spark, root, past, {item for item in _live(past) if item[1] in wanted})
 
 
 def as_of_time(spark: SparkSession, root: str, at: dt.datetime) -> DataFrame:
     """Rows as of the last commit at or before a time."""
-    past = commits(spark, root)
-    known = [r.version for r in past if r.committed_at <= at]
-    if not known:
+    known = history(spark, root).where(F.col("committed_at") <= F.lit(at).cast("timestamp_ntz"))
+    number = known.agg(F.max("version")).first()[0]
+    if number is None:
         raise LookupError(f"{root} has no version at {at}")
-    return _rows_at(spark, root, past, known[-1])
+    return as_of_version(spark, root, number)
 
 
 def compare(before: DataFrame, after: DataFrame, key: list[str]) -> DataFrame:
@@ -246,20 +345,22 @@ def change_feed(spark: SparkSession, root: str, key: list[str], start: int = 0,
 
     Only folders that a commit added or dropped are read; an append is a list of inserts and is compared with nothing.
     """
-    past = commits(spark, root)
-    last = past[-1].version if end is None else end
-    cols = _rows_at(spark, root, past, last).columns
+    last = latest(spark, root).version if end is None else end
+    asked = history(spark, root).where(F.col("version").between(start - 1, last)).collect()
+    past = {r.version: r for r in asked}
+    if last not in past:
+        raise LookupError(f"{root} has no versions from {start} to {end}")
+    cols = _schema(past[last]).names
     out = None
-    for entry in past:
-        if not start <= entry.version <= last:
+    for number in sorted(n for n in past if n >= start):
+        entry, former = past[number], past.get(number - 1)
+        if entry.operation == "compact":
             continue
-        after = set(_live(past, entry.version))
-        before = set(_live(past, entry.version - 1))
+        after, before = _live(entry), _live(former)
         # Folders in both versions are not read: nothing in them changed.
-        come = _read(spark, root, entry, sorted(after - before))
-        gone = sorted(before - after)
+        come = _read(spark, root, entry, after - before)
+        gone = before - after
         if gone:
-            former = next(r for r in past if r.version == entry.version - 1)
             rows = compare(_read(spark, root, former, gone), come, key)
         else:
             rows = come.withColumn(CHANGE_TYPE, F.lit("insert"))
@@ -283,14 +384,23 @@ def apply_changes(state: DataFrame, changes: DataFrame, key: list[str]) -> DataF
     return kept.unionByName(come)
 
 
-def commit_batch(root: str, mode: str = "append", now: Callable[[int], dt.datetime] | None = None):
-    """A `foreachBatch` function that commits each micro-batch exactly once: a batch whose number is already in the
-    history was committed before a restart, and is skipped."""
+def commit_batch(
+    root: str, writer: str, mode: str = "append", now: Callable[[int], dt.datetime] | None = None, crowded: int = 200
+):
+    """A `foreachBatch` function that commits each micro-batch exactly once.
+
+    `writer` names the stream, best by its checkpoint folder: a batch that this writer committed before a restart is
+    skipped, while another stream, or the same one begun anew, has numbers of its own. A table of more than `crowded`
+    folders is compacted.
+    """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        create(batch.sparkSession, root)
-        if any(r.batch_id == batch_id for r in commits(batch.sparkSession, root)):
+    def write(rows: DataFrame, number: int) -> None:
+        spark, batch = rows.sparkSession, Batch(writer, number)
+        create(spark, root)
+        if done_before(spark, root, batch):
             return
-        commit(batch, root, mode, now(batch_id) if now else None, batch_id=batch_id)
+        commit(rows, root, mode, now(number) if now else None, batch=batch)
+        if len(latest(spark, root).live) > crowded:
+            compact(spark, root)
 
     return write

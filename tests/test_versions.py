@@ -104,7 +104,7 @@ def test_schema_widens_on_request(spark, own_root):
 
 def test_batch_is_committed_once(spark, folder):
     path = folder()
-    write = V.commit_batch(path)
+    write = V.commit_batch(path, "a")
     for batch_id in (0, 1, 1, 0):
         write(df(spark, (batch_id, "x")), batch_id)
     assert rows_of(V.as_of_version(spark, path), "id") == [(0,), (1,)]
@@ -118,10 +118,43 @@ def test_empty_commit(spark, folder):
 
 
 def test_missing_table(spark, folder):
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+    with pytest.raises(LookupError):
         V.as_of_version(spark, folder())
 
 
+def test_batches_of_two_writers_and_a_restart(spark, folder):
+    path = folder()
+    for writer, number, key in (("a", 0, 1), ("b", 0, 2), ("a", 1, 3), ("a", 0, 1), ("b", 0, 2), ("b again", 0, 4)):
+        V.commit_batch(path, writer)(df(spark, (key, writer)), number)
+    assert rows_of(V.as_of_version(spark, path), "id") == [(1,), (2,), (3,), (4,)]
+
+
+def test_times_are_kept_to_the_microsecond_and_go_forward(spark, folder):
+    path = folder()
+    exact = dt.datetime(2024, 1, 1, 10, 0, 0, 123456)
+    V.commit(df(spark, (1, "a")), path, "overwrite", exact)
+    assert V.latest(spark, path).committed_at == exact
+    with pytest.raises(LookupError):
+        V.as_of_time(spark, path, exact - dt.timedelta(microseconds=1))
+    for write in (lambda: V.commit(df(spark, (2, "b")), path, "append", day(1)),
+                  lambda: V.commit_parts(df(spark, (2, "b")), path, F.col("v"), now=day(1))):
+        with pytest.raises(ValueError, match="before"):
+            write()
+    assert V.as_of_time(spark, path, exact).count() == 1
+
+
+def test_long_history_is_compacted(spark, folder):
+    path = folder()
+    write = V.commit_batch(path, "stream", crowded=20)
+    for number in range(60):
+        write(spark.range(number, number + 1).selectExpr("id", "'x' AS v").coalesce(1), number)
+    last = V.latest(spark, path)
+    assert len(last.live) <= 21 and last.version > 60
+    assert sorted(r.id for r in V.as_of_version(spark, path).collect()) == list(range(60))
+    feed = V.change_feed(spark, path, ["id"])
+    assert feed.count() == 60 and feed.where("_change_type <> 'insert'").isEmpty()
+
+
 def test_compare_with_composite_and_null_keys(spark):
     schema = "a int, b string, v int"
     old = df(spark, (1, None, 1), (1, "x", 2), schema=schema)
