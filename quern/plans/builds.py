@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.operators.quality import verdict
+from quern.operators.skew import parts_for
 from quern.operators.windows import latest_per_key
 from quern.plans import versions
+from quern.session import new_folder
 
 
 def build_view(df: DataFrame, name: str) -> DataFrame:
@@ -33,12 +35,14 @@ def build_inline(fn: Callable[..., DataFrame], *inputs: DataFrame) -> DataFrame:
 # Incremental loads, as functions of the target's and the batch's rows
 
 
-def new_rows(batch: DataFrame, target: DataFrame, ts_col: str) -> DataFrame:
+def new_rows(batch: DataFrame, target: DataFrame, ts_col: str, newest: str | None = None) -> DataFrame:
     """Batch rows strictly newer than the newest target row; all of them while the target is empty.
 
-    The bound is fetched first and filtered as a literal, so it reaches the batch's file scan.
+    The bound (`newest`, if it is known, as text) is fetched first and filtered as a literal, so it reaches the batch's
+    file scan.
     """
-    newest = target.agg(F.max(ts_col)).first()[0]
+    if newest is None:
+        newest = target.agg(F.max(ts_col)).first()[0]
     if newest is None:
         return batch
     return batch.where(F.col(ts_col) > F.lit(newest).cast(batch.schema[ts_col].dataType))
@@ -68,6 +72,14 @@ def delete_insert(
     return kept.select(*target.columns).unionByName(batch.select(*target.columns))
 
 
+def require_unique(rows: DataFrame, keys: Sequence[str]) -> None:
+    """An error if two rows have the same key; rows with a null in the key are not compared."""
+    repeated = rows.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    found = repeated.first()
+    if found:
+        raise ValueError(f"a key is repeated: {found.asDict()}")
+
+
 def merge(
     target: DataFrame,
     batch: DataFrame,
@@ -77,66 +89,25 @@ def merge(
 ) -> DataFrame:
     """Update matched keys, insert the others, keep target rows the batch does not mention.
 
-    With `order` the newest row of a repeated batch key wins; rows with a null key match nothing and are inserted.
-    Without it the batch must be unique on its keys.
+    With `order` the newest row of a repeated batch key wins; without it a repeated key is an error. Rows with a null
+    key match nothing and are inserted.
     """
     if order:
         keyless = F.lit(False)
         for key in keys:
             keyless = keyless | F.col(key).isNull()
         batch = latest_per_key(batch.where(~keyless), keys, order).unionByName(batch.where(keyless))
+    else:
+        require_unique(batch, keys)
     return delete_insert(target, batch, keys, target_predicate)
 
 
-def merge_partitions(
-    spark: SparkSession,
-    path: str,
-    batch: DataFrame,
-    keys: Sequence[str],
-    by: Sequence[str],
-    window: Column | str,
-    order: Sequence[str] | None = None,
-) -> DataFrame:
-    """Merge into a partitioned folder tree, reading and rewriting only the partitions inside `window`.
-
-    `window` must be a predicate on the partition columns. Batch rows outside it are appended, even where their key
-    exists there. A matched key has to stay in its partition: if it moved, the old partition could be left unwritten
-    with the old row, so that is refused. The two writes are not one step: a driver lost between them leaves the rows
-    outside the window appended. `merge_parts` has neither limit.
-    """
-    inside = F.expr(window) if isinstance(window, str) else window
-    table = spark.read.parquet(path)
-    scope = table.where(inside)
-    batch = batch.select(*table.columns)
-    old = scope.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[F.col(b).alias(f"__b_{b}") for b in by])
-    same = F.lit(True)
-    moved = F.lit(False)
-    for k in keys:
-        same = same & (F.col(k) == F.col(f"__k_{k}"))
-    for b in by:
-        moved = moved | ~F.col(b).eqNullSafe(F.col(f"__b_{b}"))
-    if not batch.join(old, same & moved, "left_semi").isEmpty():
-        raise ValueError("a matched key changes its partition")
-    merged = merge(scope, batch, keys, order)
-    # Rows outside the window first: once partitions are replaced, `merged` could not be computed again.
-    merged.where(~F.coalesce(inside, F.lit(False))).write.mode("append").partitionBy(*by).parquet(path)
-    (
-        merged.where(inside)
-        .hint("rebalance", *by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
-    return spark.read.parquet(path)
-
-
 def merge_parts(
     root: str,
     batch: DataFrame,
     keys: Sequence[str],
     label: Column,
-    window: Sequence[str],
+    window: Sequence[str | None],
     order: Sequence[str] | None = None,
     now: dt.datetime | None = None,
 ) -> DataFrame:
@@ -145,13 +116,50 @@ def merge_parts(
     `label` gives the part of a row. Batch rows of other parts are added to those, even where their key exists there.
     """
     spark = batch.sparkSession
-    scope = versions.parts(spark, root, window)
-    merged = merge(scope, batch, keys, order)
-    named = {r[0] for r in batch.select(label).distinct().collect()}  # one row per part
-    versions.commit_parts(merged, root, label, sorted(named | set(window)), window, now)
+    merged = merge(versions.parts(spark, root, window), batch, keys, order)
+    versions.commit_parts(merged, root, label, window, now)
     return versions.as_of_version(spark, root)
 
 
+#: Rows that a key part holds, on average, when a table is first written.
+PART_ROWS = 5_000_000
+
+
+def _key_parts(keys: Sequence[str], n: int) -> Column:
+    """The part of a row: a hash of its key, so that a key is in the same part at every load."""
+    return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("string")
+
+
+def load_by_key(
+    root: str,
+    batch: DataFrame,
+    keys: Sequence[str],
+    combine: Callable[[DataFrame, DataFrame], DataFrame],
+    now: dt.datetime | None = None,
+    watermark: str | None = None,
+    micro: versions.Batch | None = None,
+    part_rows: int = PART_ROWS,
+) -> None:
+    """Combine a batch with the target's rows in the key parts that the batch touches; other parts are not opened.
+
+    How many parts there are is fixed by the first load and kept in the history, with the keys. A table that was written
+    otherwise is divided once.
+    """
+    spark = batch.sparkSession
+    past = versions.latest(spark, root)
+    layout = past.layout if past else None
+    made_by = f"{','.join(keys)}:"
+    if past and layout and layout.startswith(made_by):
+        label = _key_parts(keys, int(layout.removeprefix(made_by)))
+        touched = [r[0] for r in batch.select(label).distinct().collect()]
+        rows = combine(versions.parts(spark, root, touched), batch)
+        versions.commit_parts(rows, root, label, touched, now, micro, watermark)
+        return
+    rows = combine(versions.as_of_version(spark, root), batch) if past else batch
+    n = parts_for(rows, part_rows, 8)
+    versions.commit_parts(rows, root, _key_parts(keys, n), None, now, micro, watermark, f"{made_by}{n}")
+
+
 def build_incremental(
     root: str,
     batch: DataFrame,
@@ -165,23 +173,24 @@ def build_incremental(
     """Load a batch into a versioned table.
 
     First run and full refresh write the whole batch. Later runs take the rows past the watermark (`ts_col`) and
-    append, merge or delete-and-insert them.
+    append, merge or delete-and-insert them; the last two read and replace only the parts that hold the batch's keys.
     """
     spark = batch.sparkSession
+    if strategy not in ("append", "merge", "delete+insert"):
+        raise ValueError(f"strategy {strategy!r} is not append, merge or delete+insert")
     versions.create(spark, root)
-    if full_refresh or not versions.commits(spark, root):
-        versions.commit(batch, root, "overwrite", now)
+    past = None if full_refresh else versions.latest(spark, root)
+    if past is None:
+        versions.commit(batch, root, "overwrite", now, watermark=ts_col)
         return versions.as_of_version(spark, root)
     target = versions.as_of_version(spark, root)
-    fresh = new_rows(batch, target, ts_col) if ts_col else batch
+    fresh = new_rows(batch, target, ts_col, past.watermark) if ts_col else batch
     if strategy == "append":
-        versions.commit(fresh, root, "append", now)
+        versions.commit(fresh, root, "append", now, watermark=ts_col)
     elif strategy == "merge":
-        versions.commit(merge(target, fresh, keys, order), root, "overwrite", now)
-    elif strategy == "delete+insert":
-        versions.commit(delete_insert(target, fresh, keys), root, "overwrite", now)
+        load_by_key(root, fresh, keys, lambda old, new: merge(old, new, keys, order), now, ts_col)
     else:
-        raise ValueError(f"strategy {strategy!r} is not append, merge or delete+insert")
+        load_by_key(root, fresh, keys, lambda old, new: delete_insert(old, new, keys), now, ts_col)
     return versions.as_of_version(spark, root)
 
 
@@ -200,15 +209,23 @@ def judge(df: DataFrame, checks: Mapping[str, tuple], model: str = "model") -> D
     return out
 
 
-def gated_publish(df: DataFrame, checks: Mapping[str, tuple], write_fn: Callable[[DataFrame], object]) -> DataFrame:
-    """Write only if no check ends in an error; warnings let it pass. Returns the verdicts."""
+def _publish_if_good(df: DataFrame, checks: Mapping[str, tuple], publish_fn: Callable[[], object]) -> DataFrame:
     verdicts = judge(df, checks)
     rows = verdicts.collect()
     if not any(r.status == "error" for r in rows):
-        write_fn(df)
+        publish_fn()
     return df.sparkSession.createDataFrame(rows, verdicts.schema)
 
 
+def gated_publish(df: DataFrame, checks: Mapping[str, tuple], write_fn: Callable[[DataFrame], object]) -> DataFrame:
+    """Write only if no check ends in an error; warnings let it pass. Returns the verdicts.
+
+    The rows are staged first, so what is written is what was checked, and the frame is evaluated once.
+    """
+    staged = build_table(df, new_folder(df.sparkSession, "gate"))
+    return _publish_if_good(staged, checks, lambda: write_fn(staged))
+
+
 def publish(df: DataFrame, checks: Mapping[str, tuple], root: str, now: dt.datetime | None = None) -> DataFrame:
     """Build aside, check what was built, then switch readers to it.
 
@@ -216,7 +233,7 @@ def publish(df: DataFrame, checks: Mapping[str, tuple], root: str, now: dt.datet
     error; readers of `versions.as_of_version(spark, root)` see the former one until then.
     """
     staged = versions.stage(df, root, "overwrite", now)
-    return gated_publish(staged.rows(), checks, lambda _: staged.finish())
+    return _publish_if_good(staged.rows(), checks, staged.finish)
 
 
 # Audit

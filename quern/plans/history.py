@@ -14,13 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.plans import versions
+from quern.plans.builds import require_unique
 
 # Fixed names of the four columns a history adds, as existing queries on such tables use them.
 SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO = META = ("dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to")
 
 
 def _first_versions(cur: DataFrame, key: str, stamp: Column) -> DataFrame:
-    """Current rows as open versions starting at `stamp`."""
+    """Current rows as open versions starting at `stamp`. A repeated key would open two versions, and is an error."""
+    require_unique(cur, [key])
     stamp = stamp.cast("timestamp_ntz")
     row_id = F.md5(F.concat_ws("|", F.col(key).cast("string"), stamp.cast("string")))
     return cur.select(
@@ -64,6 +66,8 @@ def snapshot_timestamp(
 ) -> DataFrame:
     """New version when `updated_at` moved forward. Rows whose `updated_at` went back are left as they are
     (`moved_back` lists them). Keys that are gone stay open unless `close_deleted`, which needs `run_at`."""
+    if close_deleted and run_at is None:
+        raise ValueError("close_deleted needs run_at, the time at which the versions end")
     new = _first_versions(cur, key, F.col(updated_at))
     if prev is None:
         return new
@@ -109,13 +113,13 @@ def store_history(
     """
     spark = cur.sparkSession
     versions.create(spark, root)
-    prev = versions.parts(spark, root, [OPEN]) if versions.commits(spark, root) else None
+    prev = versions.parts(spark, root, [OPEN]) if versions.latest(spark, root) else None
     if updated_at:
         moved = snapshot_timestamp(prev, cur, key, updated_at, close_deleted, run_at)
     else:
         moved = snapshot_check(prev, cur, key, cols, run_at, close_deleted)
     state = F.when(F.col(VALID_TO).isNull(), F.lit(OPEN)).otherwise(F.lit(CLOSED))
-    versions.commit_parts(moved, root, state, (OPEN, CLOSED), (OPEN,), run_at)
+    versions.commit_parts(moved, root, state, (OPEN,), run_at)
     return versions.as_of_version(spark, root)
 
 

@@ -16,7 +16,7 @@ from quern.functions.expressions import default_to
 from quern.operators.joins import time_bucket
 from quern.operators.skew import broadcast_if_small
 from quern.plans import versions
-from quern.plans.builds import merge
+from quern.plans.builds import load_by_key, merge
 
 # Fixed values of the risk rules.
 DEFAULT_RISK = 0.1
@@ -175,28 +175,30 @@ def run_batches(
 
 def stream_commit(stream: DataFrame, root: str, checkpoint: str, now: Callable | None = None) -> DataFrame:
     """Micro-batches as versions of a table, each exactly once."""
-    run_batches(stream, versions.commit_batch(root, "append", now), checkpoint)
+    run_batches(stream, versions.commit_batch(root, checkpoint, "append", now), checkpoint)
     return versions.as_of_version(stream.sparkSession, root)
 
 
 def stream_complete(stream: DataFrame, root: str, checkpoint: str) -> DataFrame:
     """Every trigger replaces the whole result."""
-    run_batches(stream, versions.commit_batch(root, "overwrite"), checkpoint, "complete")
+    run_batches(stream, versions.commit_batch(root, checkpoint, "overwrite"), checkpoint, "complete")
     return versions.as_of_version(stream.sparkSession, root)
 
 
 def stream_upsert(stream: DataFrame, keys: Sequence[str], root: str, checkpoint: str) -> DataFrame:
-    """Every trigger gives the changed rows only; they replace their keys in the target."""
+    """Every trigger gives the changed rows only; they replace their keys in the target, of which only the parts that
+    hold these keys are read and written. The micro-batch is kept while it is used, so its state stage runs once."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+    def write(rows: DataFrame, number: int) -> None:
+        spark, batch = rows.sparkSession, versions.Batch(checkpoint, number)
         versions.create(spark, root)
-        past = versions.commits(spark, root)
-        if any(r.batch_id == batch_id for r in past):
+        if versions.done_before(spark, root, batch):
             return
-        if past:
-            batch = merge(versions.as_of_version(spark, root), batch, keys)
-        versions.commit(batch, root, "overwrite", batch_id=batch_id)
+        kept = rows.persist()
+        try:
+            load_by_key(root, kept, keys, lambda old, new: merge(old, new, keys), micro=batch)
+        finally:
+            kept.unpersist()
 
     run_batches(stream, write, checkpoint, "update")
     return versions.as_of_version(stream.sparkSession, root)

@@ -73,52 +73,89 @@ def test_incremental_runs(spark, folder):
     assert rows_of(out, "id", "v") == [(1, "A"), (2, "b"), (3, "c")]
     refreshed = B.build_incremental(root, df(spark, (7, "z", 1)).withColumn("extra", F.lit(1)), full_refresh=True)
     assert rows_of(refreshed) == [(7, "z", 1, 1)]
-    assert [r.operation for r in V.commits(spark, root)] == ["overwrite", "append", "overwrite", "overwrite"]
+    assert [r.operation for r in V.commits(spark, root)] == ["overwrite", "append", "replace", "overwrite"]
 
 
-def partitioned(spark, path):
-    rows = [(i, f"v{i}", p) for p in (1, 2, 3) for i in range(p * 10, p * 10 + 3)]
-    df(spark, *rows, schema="id bigint, v string, p int").write.partitionBy("p").parquet(path)
+PARTS = "id bigint, v string, p int"
 
 
-def test_merge_into_partitions(spark, folder):
-    path = folder()
-    partitioned(spark, path)
-    first = {f for f in spark.read.parquet(path).inputFiles() if "/p=1/" in f}
-    batch = df(spark, (30, "new", 3), (35, "more", 3), (10, "again", 1), schema="id bigint, v string, p int")
-    out = B.merge_partitions(spark, path, batch, ["id"], ["p"], "p >= 2")
-    got = rows_of(out, "id", "v")
-    assert (30, "new") in got and (30, "v30") not in got and (35, "more") in got
-    # Outside the window nothing is matched: the old row stays and the new one is added.
-    assert (10, "again") in got and (10, "v10") in got and len(got) == 11
-    assert first < set(out.inputFiles())
+def folders(out):
+    return {f.rpartition("/")[0].rpartition("data/")[2] for f in out.inputFiles()}
 
 
 def test_merge_into_parts(spark, folder):
-    root, schema, label = folder(), "id bigint, v string, p int", F.col("p").cast("string")
+    root, label = folder(), F.col("p").cast("string")
     rows = [(i, f"v{i}", p) for p in (1, 2, 3) for i in range(p * 10, p * 10 + 3)]
-    V.commit_parts(df(spark, *rows, schema=schema), root, label, ["1", "2", "3"], [])
-    batch = df(spark, (30, "moved", 2), (31, "moved", 2), (32, "moved", 4), (10, "again", 1), schema=schema)
+    V.commit_parts(df(spark, *rows, schema=PARTS), root, label)
+    batch = df(spark, (30, "moved", 2), (31, "moved", 2), (32, "moved", 4), (10, "again", 1), schema=PARTS)
     out = B.merge_parts(root, batch, ["id"], label, ["2", "3"])
     got = rows_of(out, "id", "v", "p")
     # Part 3 lost all its rows; outside the window nothing is matched.
     assert [r for r in got if r[0] >= 30] == [(30, "moved", 2), (31, "moved", 2), (32, "moved", 4)]
     assert [r for r in got if r[0] == 10] == [(10, "again", 1), (10, "v10", 1)] and len(got) == 10
-    assert any("version-000000000/part=1" in f for f in out.inputFiles())
-    assert not any("version-000000000/part=2" in f for f in out.inputFiles())
-    assert rows_of(V.as_of_version(spark, root, 0)) == rows_of(df(spark, *rows, schema=schema))
-    with pytest.raises(ValueError, match="label"):
-        V.commit_parts(df(spark, (1, "x", 9), schema=schema), root, label, ["1"], [])
+    assert f"version-000000000/__part={V.part_name('1')}" in folders(out)
+    assert f"version-000000000/__part={V.part_name('2')}" not in folders(out)
+    assert rows_of(V.as_of_version(spark, root, 0)) == rows_of(df(spark, *rows, schema=PARTS))
 
 
-def test_partition_change_of_a_matched_key_is_refused(spark, folder):
-    path = folder()
-    partitioned(spark, path)
-    before = rows_of(spark.read.parquet(path))
-    moved = df(spark, (30, "moved", 2), schema="id bigint, v string, p int")
-    with pytest.raises(ValueError, match="partition"):
-        B.merge_partitions(spark, path, moved, ["id"], ["p"], "p >= 2")
-    assert rows_of(spark.read.parquet(path)) == before
+def test_any_label_is_a_part(spark, folder):
+    root, names = folder(), ["10:30", "a/b", None, "", "__HIVE_DEFAULT_PARTITION__", "%3A", "x" * 300, "\u00e9 =", "*", "null"]
+    rows = [(i, name, i) for i, name in enumerate(names)]
+    V.commit_parts(df(spark, *rows, schema=PARTS), root, F.col("v"))
+    assert rows_of(V.as_of_version(spark, root), "id", "v") == [(i, name) for i, name in enumerate(names)]
+    for i, name in enumerate(names):
+        assert rows_of(V.parts(spark, root, [name]), "id") == [(i,)]
+    V.commit_parts(df(spark, (99, None, 0), schema=PARTS), root, F.col("v"), [None, "a/b"])
+    assert {r[0] for r in rows_of(V.as_of_version(spark, root), "id")} == set(range(len(names))) - {1, 2} | {99}
+
+
+def test_a_column_called_part_and_a_reserved_name(spark, folder):
+    root = folder()
+    V.commit_parts(df(spark, (1, "a"), (2, "b"), schema="id bigint, part string"), root, F.col("id"))
+    assert rows_of(V.as_of_version(spark, root)) == [(1, "a"), (2, "b")]
+    with pytest.raises(ValueError, match="reserved"):
+        V.commit_parts(df(spark, (1, "a"), schema="id bigint, __Part string"), folder(), F.col("id"))
+
+
+def test_thousands_of_labels(spark, folder):
+    root = folder()
+    V.commit_parts(spark.range(5000).coalesce(4), root, F.col("id"))
+    assert rows_of(V.parts(spark, root, ["4999", "17"])) == [(17,), (4999,)]
+
+
+def test_merge_leaves_parts_it_does_not_touch(spark, folder):
+    root = folder()
+    rows = [(i, "old", 0) for i in range(200)]
+    B.build_incremental(root, df(spark, *rows), "seq", ["id"])
+    B.build_incremental(root, df(spark, *rows), None, ["id"], "merge")  # divided by key
+    before = folders(V.as_of_version(spark, root))
+    out = B.build_incremental(root, df(spark, (7, "new", 1), (500, "more", 1)), None, ["id"], "merge")
+    after = folders(out)
+    assert out.count() == 201 and rows_of(out.where("id = 7"), "v") == [("new",)]
+    assert len(before) == 8 and 6 <= len(before & after) < 8
+    feed = V.change_feed(spark, root, ["id"], 2, 2)
+    assert rows_of(feed, "id", "_change_type") == [(500, "insert"), (7, "update_postimage"), (7, "update_preimage")]
+    out = B.build_incremental(root, df(spark, (7, "x", 1), (7, "y", 1)), None, ["id"], "delete+insert")
+    assert rows_of(out.where("id = 7"), "v") == [("x",), ("y",)] and out.count() == 202
+
+
+def test_repeated_key_without_an_order_is_an_error(spark, folder):
+    root = folder()
+    B.build_incremental(root, df(spark, (1, "a", 1)))
+    with pytest.raises(ValueError, match="repeated"):
+        B.build_incremental(root, df(spark, (2, "b", 1), (2, "c", 1)), None, ["id"], "merge")
+    both = df(spark, (2, "b", 1), (2, "c", 2), (None, "n", 1), (None, "n", 1))
+    assert rows_of(B.build_incremental(root, both, None, ["id"], "merge", ["seq"]), "v") == [("a",), ("c",), ("n",), ("n",)]
+
+
+def test_watermark_comes_from_the_history(spark, folder):
+    root = folder()
+    B.build_incremental(root, df(spark, (1, "a", 5)), "seq")
+    assert V.latest(spark, root).watermark == "5"
+    B.build_incremental(root, df(spark, (2, "b", 4), (3, "c", 9)), "seq")
+    assert V.latest(spark, root).watermark == "9" and V.as_of_version(spark, root).count() == 2
+    B.build_incremental(root, df(spark, (4, "d", 9)), "seq")
+    assert V.latest(spark, root).watermark == "9" and V.as_of_version(spark, root).count() == 2
 
 
 def test_gate_stops_errors_and_lets_warnings_pass(spark, folder):

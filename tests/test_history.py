@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quern.plans import history as H
+from quern.plans.versions import part_name
 from quern.plans import versions as V
 from tests.conftest import rows_of
 
@@ -109,7 +110,7 @@ def test_stored_history_touches_closed_versions_once(spark, folder):
         hist = H.snapshot_timestamp(hist, state, "id", "updated_at")
         stored = H.store_history(state, root, "id", "updated_at")
         assert rows_of(stored, *hist.columns) == rows_of(hist)
-    closed = [f for f in stored.inputFiles() if "part=closed" in f]
+    closed = [f for f in stored.inputFiles() if f"part={part_name('closed')}" in f]
     assert {f.split("/data/")[1].split("/")[0] for f in closed} == {"version-000000001", "version-000000002"}
     assert all("version-000000003" in f for f in stored.inputFiles() if "part=open" in f)
 
