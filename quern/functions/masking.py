@@ -30,15 +30,6 @@ def mask_name(value: Column | str) -> Column:
     )
 
 
-def _mask_one(name):
-    first, space, rest = (name or "").partition(" ")
-    return f"{first} {rest.partition(' ')[0][:1]}." if space else first
-
-
-# Row-at-a-time form, kept to check the built-in one against.
-mask_name_udf = F.udf(_mask_one, T.StringType())
-
-
 @F.pandas_udf(T.DoubleType())
 def add_tax(amount: pd.Series) -> pd.Series:
     """Amount with sales tax, one Arrow batch at a time."""

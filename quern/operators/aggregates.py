@@ -45,13 +45,15 @@ def pivot_sum(df: DataFrame, by: Sequence[str], pivot_col: str, value_col: str,
     return df.groupBy(*by).agg(*sums)
 
 
-def discover_values(df: DataFrame, col: str, at_most: int = 1000) -> list:
-    """Distinct values, sorted. More than `at_most` is an error rather than a shorter list: a table cannot have a
-    column per value then, and `count_and_sum` over both columns gives the same numbers as rows."""
-    found = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().limit(at_most + 1).collect()]
-    if len(found) > at_most:
-        raise ValueError(f"{col} has more than {at_most} values, too many for columns")
-    return sorted(found)
+def pivot_map(df: DataFrame, by: Sequence[str], pivot_col: str, value_col: str, name: str = "amounts") -> DataFrame:
+    """One map per group from each value of the pivot column that occurs in it to its sum; null values are left out.
+
+    Values need not be known and may be any number: sums are made per group and value, and no list of values reaches the
+    driver. `pivot_sum` gives columns for values that the caller lists.
+    """
+    sums = df.where(F.col(pivot_col).isNotNull()).groupBy(*by, pivot_col).agg(F.sum(value_col).alias("__sum"))
+    entries = F.sort_array(F.collect_list(F.struct(F.col(pivot_col), F.col("__sum"))))
+    return sums.groupBy(*by).agg(F.map_from_entries(entries).alias(name))
 
 
 def high_watermark(df: DataFrame, col: str) -> DataFrame:

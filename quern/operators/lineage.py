@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from quern.session import cut_lineage
 
 HOPS = 8
+# Layers of end nodes that one job takes off.
+PEELS = 4
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -79,16 +81,21 @@ def _without(edges: DataFrame, gone: DataFrame) -> DataFrame:
     return kept.join(gone.select(F.col("node").alias("target")), "target", "left_anti").select("source", "target")
 
 
-def _trim(edges: DataFrame, every: int = 4) -> DataFrame:
-    """Drop nodes that no edge enters or none leaves, until there are none: they cannot lie on a cycle."""
-    edges, step = cut_lineage(edges), 0
-    while True:
-        gone = cut_lineage(_ends(edges).where("enters + leaves < 2").select("node"))
-        if gone.isEmpty():
-            return cut_lineage(edges)
-        edges, step = _without(edges, gone), step + 1
-        if step % every == 0:
-            edges = cut_lineage(edges)
+def _trim(edges: DataFrame, peels: int = PEELS) -> DataFrame:
+    """Drop nodes that no edge enters or none leaves, until there are none: they cannot lie on a cycle.
+
+    Several layers are peeled in one job, and counting what is left says when to stop.
+    """
+    edges = cut_lineage(edges)
+    left = edges.count()
+    while left:
+        for _ in range(peels):
+            edges = _without(edges, _ends(edges).where("enters + leaves < 2").select("node"))
+        edges, before = cut_lineage(edges), left
+        left = edges.count()
+        if left == before:
+            break
+    return edges
 
 
 def _spread_largest(edges: DataFrame, hops: int) -> DataFrame:
@@ -136,10 +143,14 @@ def cycle_members(edges: DataFrame, hops: int = HOPS) -> DataFrame:
     return _union(members).distinct()
 
 
-def layers(nodes: DataFrame, edges: DataFrame, hops: int = HOPS, max_depth: int = 10_000) -> DataFrame:
+def layers(nodes: DataFrame, edges: DataFrame, hops: int = HOPS) -> DataFrame:
     """Every node with its layer by name (`stg_` staging, `int_` intermediate, otherwise mart) and its level: the
-    longest way from a node without parents. A graph with a cycle has no levels and is an error."""
-    links = _with_self(edges.select("source", "target").dropna().distinct())
+    longest way from a node without parents. A graph with a cycle has no levels and is an error; one without may be as
+    deep as it likes."""
+    plain = edges.select("source", "target").dropna().distinct()
+    if not _trim(plain).isEmpty():
+        raise ValueError("the graph has a cycle; cycle_members finds it")
+    links = _with_self(plain)
     children = links.where("step = 1").select(F.col("target").alias("node"))
     roots = nodes.select("node").distinct().join(children, "node", "left_anti")
     frontier = cut_lineage(roots.withColumn("level", F.lit(0).cast("bigint")))
@@ -148,8 +159,6 @@ def layers(nodes: DataFrame, edges: DataFrame, hops: int = HOPS, max_depth: int
         step = cut_lineage(_walk(links, frontier, "level", F.max, hops))
         found.append(step)
         depth += hops
-        if depth > max_depth:
-            raise ValueError("the graph has a cycle; cycle_members finds it")
         frontier = step.where(F.col("level") == depth)
     level = _union(found).groupBy("node").agg(F.max("level").alias("level"))
     name = F.col("node").cast("string")
@@ -158,10 +167,7 @@ def layers(nodes: DataFrame, edges: DataFrame, hops: int = HOPS, max_depth: int
         .when(name.startswith("int_"), F.lit("intermediate"))
         .otherwise(F.lit("mart"))
     )
-    out = cut_lineage(nodes.select("node").distinct().join(level, "node", "left").withColumn("layer", layer))
-    if not out.where("level is null").isEmpty():
-        raise ValueError("the graph has a cycle; cycle_members finds it")
-    return out
+    return nodes.select("node").distinct().join(level, "node", "left").withColumn("layer", layer)
 
 
 @dataclass(frozen=True)

@@ -68,7 +68,13 @@ def test_levels_are_longest_ways(spark):
 def test_levels_need_an_acyclic_graph(spark):
     for pairs in (RING, [(1, 2), (2, 1)]):
         with pytest.raises(ValueError, match="cycle"):
-            G.layers(nodes(spark, *{x for p in pairs for x in p}), edges(spark, pairs), max_depth=12)
+            G.layers(nodes(spark, *{x for p in pairs for x in p}), edges(spark, pairs))
+
+
+def test_levels_of_a_long_chain(spark):
+    pairs = [(n, n + 1) for n in range(60)]
+    level = {r.node: r.level for r in G.layers(nodes(spark, *range(61)), edges(spark, pairs)).collect()}
+    assert level == {n: n for n in range(61)}
 
 
 def test_layer_names(spark):
