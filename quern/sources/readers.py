@@ -33,9 +33,13 @@ def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return reader.parquet(path)
 
 
-def read_where(spark: SparkSession, path: str, predicate: Column | str) -> DataFrame:
-    """Read a partitioned folder tree; a predicate on partition columns opens only matching folders."""
-    return spark.read.parquet(path).where(predicate)
+def read_where(
+    spark: SparkSession, path: str, predicate: Column | str, schema: T.StructType | None = None
+) -> DataFrame:
+    """Read a partitioned folder tree; a predicate on partition columns opens only matching folders. Without a schema
+    the types of the keys are guessed from the folder names."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path).where(predicate)
 
 
 @dataclass

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern.operators.joins import salt_pair
 from quern.operators.skew import GROUP_LIMIT, parts_for
@@ -27,13 +28,26 @@ def write(df: DataFrame, path: str, mode: str = "errorifexists", fmt: str = "par
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite") -> DataFrame:
-    """Write `key=value/` folders and read them back.
+    """Write `key=value/` folders and read them back with the frame's own types.
 
     The rebalance hint gathers each folder's rows so files are few, and lets AQE cut a folder that holds a
-    large share of all rows into several tasks and files.
+    large share of all rows into several tasks and files. A folder name cannot tell an empty text from null, so empty
+    text in a key is an error.
     """
-    df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    texts = [f.name for f in df.schema if f.name in by and isinstance(f.dataType, T.StringType)]
+    checked = df
+    for name in texts:
+        bad = F.raise_error(F.lit(f"{name} is empty text, which a folder name cannot hold"))
+        checked = checked.withColumn(name, F.when(F.col(name) == "", bad.cast("string")).otherwise(F.col(name)))
+    checked.hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
+    return read_partitioned(df.sparkSession, path, df.schema)
+
+
+def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Read a folder tree with given types; without them text keys such as 007 would come back as numbers. A tree without
+    rows gives an empty frame."""
+    every = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+    return spark.read.schema(every).parquet(path).select(*[F.col(f"`{c}`") for c in schema.names])
 
 
 def write_bucketed(
@@ -93,41 +107,23 @@ def write_compact(
 def export_all(
     spark: SparkSession, path: str, db: str | None = None, only: Sequence[str] | None = None
 ) -> list[str]:
-    """Dump every table and view of a database (or those named) to Parquet, one folder each."""
+    """Dump every table and view of a database (or those named) to Parquet, one folder each, views apart from tables."""
     names = []
     for table in spark.catalog.listTables(db):
         if only is not None and table.name not in only:
             continue
-        spark.table(table.name if table.isTemporary or not db else f"{db}.{table.name}").write.mode(
-            "overwrite"
-        ).parquet(f"{path}/{table.name}")
-        names.append(table.name)
-    (
-        spark.createDataFrame([(n,) for n in names], "name string")
-        .coalesce(1)
-        .write.mode("overwrite")
-        .json(f"{path}/_tables")
-    )
-    return sorted(names)
+        space = "view" if table.isTemporary else "table"
+        full = table.name if table.isTemporary or not db else f"{db}.{table.name}"
+        spark.table(full).write.mode("overwrite").parquet(f"{path}/{space}/{table.name}")
+        names.append((space, table.name))
+    spark.createDataFrame(names, "space string, name string").coalesce(1).write.mode("overwrite").json(f"{path}/_tables")
+    return sorted(name for _, name in names)
 
 
 def import_all(spark: SparkSession, path: str) -> list[str]:
-    """Restore what `export_all` wrote as views over the dumped files."""
-    names = sorted(r.name for r in spark.read.schema("name string").json(f"{path}/_tables").collect())
-    for name in names:
-        spark.read.parquet(f"{path}/{name}").createOrReplaceTempView(name)
-    return names
-
-
-def catalog_columns(spark: SparkSession, db: str | None = None) -> DataFrame:
-    """One row per column of every table and view: schema, table, type of relation, column, data type, position."""
-    rows = []
-    for table in spark.catalog.listTables(db):
-        space = ".".join(table.namespace or []) or "temp"
-        columns = spark.table(table.name if table.isTemporary else f"{space}.{table.name}").schema
-        for position, column in enumerate(columns, start=1):
-            rows.append((space, table.name, table.tableType, column.name, column.dataType.simpleString(), position))
-    return spark.createDataFrame(
-        rows,
-        "table_schema string, table_name string, table_type string, column_name string, data_type string, position int",
-    )
+    """Restore what `export_all` wrote as views over the dumped files. Where a view hid a table of its name, it does so
+    again."""
+    rows = spark.read.schema("space string, name string").json(f"{path}/_tables").collect()
+    for space, name in sorted(rows):
+        spark.read.parquet(f"{path}/{space}/{name}").createOrReplaceTempView(name)
+    return sorted(r.name for r in rows)
