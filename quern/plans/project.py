@@ -24,7 +24,7 @@ def stg_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def project(sources: Mapping[str, DataFrame], paid: str = "paid") -> dict[str, DataFrame]:
+def project(sources: Mapping[str, DataFrame], paid: str = "paid", checkout: str = "checkout") -> dict[str, DataFrame]:
     """Models of a project by name, from the sources it was given: staging, then intermediate, then marts."""
     models = {}
     if "orders" in sources:
@@ -40,7 +40,7 @@ def project(sources: Mapping[str, DataFrame], paid: str = "paid") -> dict[str, D
         )
     if "app_events" in sources:
         models["fct_app_events"] = sources["app_events"].select(
-            "event_id", "user_id", "event_name", (F.col("event_name") == "checkout").alias("is_checkout"), "event_timestamp"
+            "event_id", "user_id", "event_name", (F.col("event_name") == checkout).alias("is_checkout"), "event_timestamp"
         )
     if "subscription_history" in sources:
         models["dim_current_subscriptions"] = current_rows(sources["subscription_history"]).select(
@@ -54,18 +54,18 @@ def medallion(
     users: DataFrame,
     products: DataFrame,
     root: str,
-    n_products: int,
-    offset: int,
+    n_products: int | None = None,
+    offset: int = 0,
     completed: str = "COMPLETED",
 ) -> DataFrame:
     """Raw tables stored as they came, completed orders joined and stored by country, then categories ranked by
-    revenue inside each country."""
+    revenue inside each country. Orders that do not name a product get one of `n_products` by their number."""
     bronze = {
         name: build_table(frame, f"{root}/bronze/{name}")
         for name, frame in (("orders", orders), ("users", users), ("products", products))
     }
     done = where_equal(bronze["orders"], "status", completed)
-    keyed = done.withColumn("product_id", bucket_key("order_id", n_products, offset))
+    keyed = done if n_products is None else done.withColumn("product_id", bucket_key("order_id", n_products, offset))
     people = bronze["users"].select(F.col("id").alias("user_id"), F.col("name").alias("user_name"), "country")
     goods = bronze["products"].select("product_id", F.col("name").alias("product_name"), "category")
     joined = join_small(keyed.join(people, "user_id"), goods, ["product_id"], "left")

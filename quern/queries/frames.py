@@ -95,6 +95,29 @@ ORDER_ITEMS = """(SELECT l_orderkey AS order_id, l_partkey AS product_id,
     FROM lineitem)"""
 
 
+def order_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Items with their order's customer, status and time."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    return (
+        table(spark, sf, "lineitem")
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .select(
+            F.col("l_orderkey").alias("order_id"),
+            F.col("l_linenumber").alias("line"),
+            F.col("o_custkey").alias("user_id"),
+            F.col("l_partkey").alias("product_id"),
+            money("l_extendedprice").alias("amount"),
+            F.col("o_orderstatus").alias("status"),
+            F.col("o_orderdate").alias("created_at"),
+        )
+    )
+
+
+ORDER_LINES = """(SELECT l_orderkey AS order_id, l_linenumber AS line, o_custkey AS user_id, l_partkey AS product_id,
+    CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, o_orderstatus AS status, o_orderdate AS created_at
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+
 def products(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select(
         F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"), F.col("p_type").alias("category")

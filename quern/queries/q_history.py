@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from quern.plans import history as H
+from quern.plans.project import project
 from quern.queries import frames
 from quern.queries.registry import query
 from quern.session import new_folder
@@ -46,6 +47,16 @@ def scd2_timestamp(spark, sf):
     return by_time(spark, sf)
 
 
+@query("current_subscriptions", f"""SELECT id AS subscription_id, customer_id, plan, status FROM {BY_TIME}
+    WHERE dbt_valid_to IS NULL""")
+def current_subscriptions(spark, sf):
+    """The mart over a stored history: the open version of every subscription."""
+    root = new_folder(spark, "subscriptions")
+    for state, run_at in ((1, FIRST_RUN), (2, SECOND_RUN)):
+        stored = H.store_history(frames.subscriptions(spark, sf, state), root, "id", "updated_at", run_at=run_at)
+    return project({"subscription_history": stored})["dim_current_subscriptions"]
+
+
 @query("scd2_stored", f"SELECT * FROM {BY_TIME}")
 def scd2_stored(spark, sf):
     root = new_folder(spark, "history")

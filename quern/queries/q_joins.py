@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quern.functions.expressions import bucket_key, money
+from quern.functions.expressions import money
 from quern.operators import joins
 from quern.operators.rows import rename_select
 from quern.plans.history import VALID_FROM, VALID_TO, snapshot_timestamp
@@ -31,15 +31,14 @@ def join_inner(spark, sf):
 
 @query(
     "join_broadcast",
-    f"""SELECT o.order_id, o.product_id, p.name AS product_name, p.category, CAST(o.amount AS DOUBLE) AS amount, o.status
-    FROM (SELECT *, (order_id % 200) AS product_id FROM {frames.LAB_ORDERS}) o JOIN {frames.PRODUCTS} p
-    ON o.product_id = p.product_id""",
+    f"""SELECT o.order_id, o.line, o.product_id, p.name AS product_name, p.category, CAST(o.amount AS DOUBLE) AS amount,
+    o.status FROM {frames.ORDER_LINES} o JOIN {frames.PRODUCTS} p ON o.product_id = p.product_id""",
 )
 def join_broadcast(spark, sf):
-    fact = frames.lab_orders(spark, sf).withColumn("product_id", bucket_key("order_id", 200))
+    fact = frames.order_lines(spark, sf)
     dim = rename_select(frames.products(spark, sf), {"product_id": "product_id", "product_name": "name", "category": "category"})
     joined = joins.join_small(fact, dim, ["product_id"])
-    return plain(joined.select("order_id", "product_id", "product_name", "category", "amount", "status"))
+    return plain(joined.select("order_id", "line", "product_id", "product_name", "category", "amount", "status"))
 
 
 @query(
@@ -69,14 +68,14 @@ def join_left_agg(spark, sf):
 
 @query(
     "join_multiway",
-    f"""SELECT o.order_id, u.name AS customer_name, u.country, p.name AS product_name, p.category,
-    CAST(o.amount AS DOUBLE) AS amount FROM {frames.LAB_ORDERS} o JOIN {frames.USERS} u ON o.user_id = u.id
-    LEFT JOIN {frames.PRODUCTS} p ON (o.order_id % 300) + 50 = p.product_id""",
+    f"""SELECT o.order_id, o.line, u.name AS customer_name, u.country, p.name AS product_name, p.category,
+    CAST(o.amount AS DOUBLE) AS amount FROM {frames.ORDER_LINES} o JOIN {frames.USERS} u ON o.user_id = u.id
+    LEFT JOIN (SELECT * FROM {frames.PRODUCTS} WHERE product_id % 9 <> 0) p ON o.product_id = p.product_id""",
 )
 def join_multiway(spark, sf):
-    fact = frames.lab_orders(spark, sf).withColumn("product_id", bucket_key("order_id", 300, 50)).alias("o")
+    fact = frames.order_lines(spark, sf).alias("o")
     people = frames.users(spark, sf).alias("u")
-    goods = joins.broadcast_if_small(frames.products(spark, sf)).alias("p")
+    goods = joins.broadcast_if_small(frames.products(spark, sf).where("product_id % 9 <> 0")).alias("p")
     joined = joins.join_many(
         fact,
         [(people, F.col("o.user_id") == F.col("u.id"), "inner"),
@@ -84,7 +83,7 @@ def join_multiway(spark, sf):
     )
     return plain(
         joined.select(
-            "o.order_id", F.col("u.name").alias("customer_name"), "u.country", F.col("p.name").alias("product_name"),
+            "o.order_id", "o.line", F.col("u.name").alias("customer_name"), "u.country", F.col("p.name").alias("product_name"),
             "p.category", "o.amount",
         )
     )
@@ -142,7 +141,7 @@ def join_star_pruned(spark, sf):
 def join_salted(spark, sf):
     fact = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.col("o_custkey").alias("user_id"))
     dim = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("user_name"), "c_nationkey")
-    return joins.join_salted(fact, dim, "user_id", ["o_orderkey"], n=4).drop("user_id")
+    return joins.join_salted(fact, dim, "user_id", ["o_orderkey"], limit=20).drop("user_id")
 
 
 @query("join_anti_orphans", """SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN

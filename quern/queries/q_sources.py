@@ -98,6 +98,17 @@ def write_partitioned(spark, sf):
     return writers.write_partitioned(orders, new_folder(spark, "partitioned"), ["o_orderstatus"])
 
 
+@query(
+    "write_partitioned_text",
+    "SELECT o_orderkey, o_totalprice, lpad(CAST(o_custkey % 12 AS VARCHAR), 3, '0') AS branch FROM orders",
+)
+def write_partitioned_text(spark, sf):
+    """Text keys with leading zeros come back as they were."""
+    branch = F.lpad((F.col("o_custkey") % 12).cast("string"), 3, "0").alias("branch")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", branch)
+    return writers.write_partitioned(orders, new_folder(spark, "branches"), ["branch"])
+
+
 @query(
     "partition_pruned_read",
     "SELECT event_id, user_id, value, event_type FROM events WHERE event_type = 'purchase' AND value > 10",
@@ -106,7 +117,7 @@ def partition_pruned_read(spark, sf):
     path = new_folder(spark, "events_by_type")
     events = table(spark, sf, "events").select("event_id", "user_id", "value", "event_type")
     writers.write_partitioned(events, path, ["event_type"])
-    return readers.read_where(spark, path, "event_type = 'purchase' AND value > 10")
+    return readers.read_where(spark, path, "event_type = 'purchase' AND value > 10", events.schema)
 
 
 @query(
@@ -192,21 +203,3 @@ def warehouse_export_import(spark, sf):
         for name in restored
     ]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
-
-
-LISTED = ", ".join(f"'{name}'" for name in SCHEMAS)
-
-
-@query(
-    "catalog_columns",
-    f"""SELECT DISTINCT table_name, column_name, CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
-    WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE data_type END
-    AS data_type, CAST(ordinal_position AS INTEGER) AS position FROM information_schema.columns
-    WHERE table_name IN ({LISTED})""",
-)
-def catalog_columns(spark, sf):
-    for name in SCHEMAS:
-        spark.read.parquet(f"{sf}/{name}.parquet").createOrReplaceTempView(f"listed_{name}")
-    listed = writers.catalog_columns(spark).where(F.col("table_name").startswith("listed_"))
-    name = F.regexp_replace("table_name", "^listed_", "").alias("table_name")
-    return listed.select(name, "column_name", "data_type", "position")
