@@ -9,17 +9,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Partitions that a shuffle starts with before AQE merges small ones.
+INITIAL_PARTITIONS = "4000"
+
+
 def build_session(app: str = "quern", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings this library is tuned for; `conf` overrides any of them.
 
-    Shuffle partitions start high and AQE merges the small ones, so one setting serves a small and a
-    very large input. Local runs pass a small number to save task start-up.
+    A shuffle starts with many partitions and AQE merges the small ones, so one setting serves a small and a
+    very large input. Local runs pass a small number of shuffle partitions to save task start-up.
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.checkpoint.compress": "true",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass": (
@@ -29,6 +34,8 @@ def build_session(app: str = "quern", master: str | None = None, **conf) -> Spar
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
+    if "spark.sql.shuffle.partitions" not in conf:
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = INITIAL_PARTITIONS
     settings.update({k: str(v) for k, v in conf.items()})
     builder = SparkSession.builder.appName(app)
     if master:
