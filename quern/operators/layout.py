@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quern.operators.skew import salt_of
+from quern.session import cut_lineage
 
 
 def repartitioned(df: DataFrame, n: int, by: Sequence[str] | None = None) -> DataFrame:
@@ -40,7 +41,7 @@ def skew_report(df: DataFrame, key: str, factor: float) -> DataFrame:
     The median is taken over (row count, number of keys with it): N rows give at most sqrt(2N) different counts,
     a small table for one task.
     """
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows_per_key"))
+    per_key = cut_lineage(df.groupBy(key).agg(F.count(F.lit(1)).alias("rows_per_key")))  # counted once
     frequency = per_key.groupBy("rows_per_key").agg(F.count(F.lit(1)).alias("__keys"))
     median = frequency.agg(F.percentile("rows_per_key", F.lit(0.5), F.col("__keys"))).first()[0]
     return per_key.select(

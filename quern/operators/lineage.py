@@ -1,7 +1,9 @@
 """Walks over an edge table (source, target).
 
 Each round goes several hops in one job and writes what it found to the checkpoint folder, so plans stay short and a
-lost executor costs one round at most. Only newly reached nodes are expanded in the next round.
+lost executor costs one round at most. Only newly reached nodes are expanded in the next round. The edges are laid out
+by their source once per walk and stay where they are; a hop moves the nodes reached so far. The edges of a node with
+very many of them are laid out in several parts, and that node is sent to each.
 """
 
 from __future__ import annotations
@@ -10,9 +12,11 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.operators.skew import GROUP_LIMIT, hot_keys, salt_of
 from quern.session import cut_lineage
 
 HOPS = 8
@@ -45,11 +49,51 @@ def _with_self(edges: DataFrame) -> DataFrame:
     return cut_lineage(edges.select("source", "target", one).unionByName(nodes.select("source", "target", none)))
 
 
-def _walk(links: DataFrame, layer: DataFrame, value: str, best: Callable, hops: int) -> DataFrame:
-    """Follow the edges `hops` times from (node, value): the best value + steps per node reached. An inner join, so
-    that AQE can split a node with very many edges on either side."""
+@dataclass(frozen=True)
+class Links:
+    """Steps (source, target, step) laid out by source; `hubs` has the nodes that are cut, with their number of parts."""
+
+    steps: DataFrame
+    hubs: DataFrame | None
+
+    @classmethod
+    def of(cls, edges: DataFrame, limit: int = GROUP_LIMIT) -> Links:
+        links = _with_self(edges)
+        hubs = cut_lineage(hot_keys(links, ["source"], limit))
+        salts = F.ceil(F.col("__rows") / F.lit(limit)).cast("int").alias("__salts")
+        hubs = None if hubs.isEmpty() else hubs.select(F.col("source").alias("__hub"), salts)
+        parts = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        if hubs is None:
+            laid = links.repartition(parts, "source")
+        else:
+            # At most rows / limit hubs.
+            marked = links.join(F.broadcast(hubs), F.col("source") == F.col("__hub"), "left")
+            salted = marked.withColumn("__salt", salt_of(["target"], F.coalesce("__salts", F.lit(1))))
+            laid = salted.select("source", "__salt", "target", "step").repartition(parts, "source", "__salt")
+        kept = laid.persist(StorageLevel.DISK_ONLY)
+        kept.count()  # a plan over it knows the layout only once it is there
+        return cls(kept, hubs)
+
+    def nodes(self) -> DataFrame:
+        return self.steps.where("step = 0").select(F.col("source").alias("node"))
+
+    def follow(self, layer: DataFrame) -> DataFrame:
+        """The steps out of the layer's nodes, next to the layer's columns."""
+        if self.hubs is None:
+            return self.steps.join(layer, F.col("source") == F.col("node"))
+        marked = layer.join(F.broadcast(self.hubs), F.col("node") == F.col("__hub"), "left")
+        copies = F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)
+        sent = marked.withColumn("__sent", F.explode(copies)).drop("__hub", "__salts")
+        return self.steps.join(sent, (F.col("source") == F.col("node")) & (F.col("__salt") == F.col("__sent")))
+
+    def drop(self) -> None:
+        self.steps.unpersist()
+
+
+def _walk(links: Links, layer: DataFrame, value: str, best: Callable, hops: int) -> DataFrame:
+    """Follow the edges `hops` times from (node, value): the best value + steps per node reached."""
     for _ in range(hops):
-        moved = links.join(layer, links["source"] == layer["node"])
+        moved = links.follow(layer)
         layer = moved.select(F.col("target").alias("node"), (F.col(value) + F.col("step")).alias(value))
         layer = layer.groupBy("node").agg(best(value).alias(value))
     return layer
@@ -57,7 +101,7 @@ def _walk(links: DataFrame, layer: DataFrame, value: str, best: Callable, hops:
 
 def downstream(edges: DataFrame, start: DataFrame, hops: int = HOPS) -> DataFrame:
     """The start nodes and everything reachable from them: (node, distance)."""
-    links = _with_self(edges.select("source", "target").dropna().distinct())
+    links = Links.of(edges.select("source", "target").dropna().distinct())
     frontier = cut_lineage(start.select("node").distinct().withColumn("distance", F.lit(0).cast("bigint")))
     reached, depth = [frontier], 0
     while not frontier.isEmpty():
@@ -67,6 +111,7 @@ def downstream(edges: DataFrame, start: DataFrame, hops: int = HOPS) -> DataFram
         depth += hops
         # Nodes found nearer than that were expanded in this round already.
         frontier = fresh.where(F.col("distance") == depth)
+    links.drop()
     return _union(reached)
 
 
@@ -100,16 +145,17 @@ def _trim(edges: DataFrame, peels: int = PEELS) -> DataFrame:
 
 def _spread_largest(edges: DataFrame, hops: int) -> DataFrame:
     """Every node with the largest node that reaches it (itself included)."""
-    links = _with_self(edges)
-    labels = links.where("step = 0").select(F.col("source").alias("node"), F.col("source").alias("label"))
+    links = Links.of(edges)
+    labels = cut_lineage(links.nodes().withColumn("label", F.col("node")))
     while True:
         step = labels
         for _ in range(hops):
-            sent = links.join(step, links["source"] == step["node"]).select(F.col("target").alias("node"), "label")
+            sent = links.follow(step).select(F.col("target").alias("node"), "label")
             step = sent.groupBy("node").agg(F.max("label").alias("label"))
         step = cut_lineage(step)
         before = labels.withColumnRenamed("label", "__before")
         if step.join(before, "node").where("label <> __before").isEmpty():
+            links.drop()
             return labels
         labels = step
 
@@ -150,8 +196,8 @@ def layers(nodes: DataFrame, edges: DataFrame, hops: int = HOPS) -> DataFrame:
     plain = edges.select("source", "target").dropna().distinct()
     if not _trim(plain).isEmpty():
         raise ValueError("the graph has a cycle; cycle_members finds it")
-    links = _with_self(plain)
-    children = links.where("step = 1").select(F.col("target").alias("node"))
+    links = Links.of(plain)
+    children = plain.select(F.col("target").alias("node"))
     roots = nodes.select("node").distinct().join(children, "node", "left_anti")
     frontier = cut_lineage(roots.withColumn("level", F.lit(0).cast("bigint")))
     found, depth = [frontier], 0
@@ -160,6 +206,7 @@ def layers(nodes: DataFrame, edges: DataFrame, hops: int = HOPS) -> DataFrame:
         found.append(step)
         depth += hops
         frontier = step.where(F.col("level") == depth)
+    links.drop()
     level = _union(found).groupBy("node").agg(F.max("level").alias("level"))
     name = F.col("node").cast("string")
     layer = (

@@ -2,7 +2,8 @@
 
 Ordinary groups use Spark's window functions as they are. A group over `limit` rows is cut into consecutive
 ranges of its sort order. Each range is one group for a local window; what the earlier ranges add up to is a
-small table (one row per range) joined back on. All results equal the plain window.
+small table (one row per range) joined back on. Results equal the plain window's, but that sums of doubles are added in
+another order; sum decimals to be exact.
 
 Looking for large groups costs one pass that reads the group columns only. `limit=None` leaves it out, for groups whose
 size is bounded by what they are (one row per day, say).
@@ -15,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern.operators.rows import Order, sort_columns
 from quern.operators.skew import GROUP_LIMIT, null_safe, split_hot
@@ -25,12 +27,15 @@ BEFORE = (Window.unboundedPreceding, -1)
 
 
 def _ranges(hot: DataFrame, by: Sequence[str], order: Order, rows: int, limit: int) -> DataFrame:
-    """Hot rows with `__block`, increasing along the order inside each group.
+    """Hot rows with `__block`, increasing along the order inside each group. Rows of one sort value go on by a hash of
+    the row, so that any number of them can be cut.
 
     The checkpoint fixes which row is in which range, so every later use agrees even after a lost executor.
     """
     parts = max(2, math.ceil(rows / limit))
-    placed = hot.repartitionByRange(parts, *[F.col(c) for c in by], *sort_columns(order))
+    hashable = [f.name for f in hot.schema if not isinstance(f.dataType, T.MapType)]
+    ties = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
+    placed = hot.repartitionByRange(parts, *[F.col(c) for c in by], *sort_columns(order), ties)
     return cut_lineage(placed.withColumn("__block", F.spark_partition_id()))
 
 
@@ -198,8 +203,8 @@ def rank_totals(
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the one with the greatest order values (the last columns break ties).
 
-    An aggregate rather than a window: each task sends one row per key, so a key with very many copies costs
-    nothing extra.
+    An aggregate rather than a window: each task sorts its rows by key and sends one row per key, so the shuffle of a
+    key with very many copies is as small as that of any other.
     """
     rest = [c for c in df.columns if c not in keys]
     newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("__row")

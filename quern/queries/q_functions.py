@@ -94,7 +94,7 @@ def repartition_coalesce(spark, sf):
 def reuse_cached(spark, sf):
     returned = table(spark, sf, "lineitem").where("l_returnflag = 'A'").select(F.col("l_extendedprice").cast("decimal(18,2)").alias("price"))
     rows, total = L.with_cached(returned, [lambda df: df.count(), lambda df: df.agg(F.sum("price")).first()[0]])
-    return spark.createDataFrame([(rows, float(total))], "row_count bigint, total double")
+    return spark.createDataFrame([(rows, None if total is None else float(total))], "row_count bigint, total double")
 
 
 @query(

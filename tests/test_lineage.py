@@ -57,6 +57,24 @@ def test_cycles_of_random_graphs(spark, seed):
     assert sorted(r[0] for r in G.cycle_members(edges(spark, pairs)).collect()) == on_cycle(pairs)
 
 
+def test_links_move_once_and_hubs_are_cut(spark):
+    pairs = [(0, n) for n in range(1, 60)] + [(n, 100 + n) for n in range(1, 60)] + [(105, 200)]
+    links = G.Links.of(edges(spark, pairs), limit=10)
+    assert rows_of(links.hubs, "__hub") == [(0,)]
+    start = spark.createDataFrame([(0, 0)], "node bigint, distance bigint")
+    got = {r.node: r.distance for r in G._walk(links, start, "distance", F.min, 3).collect()}
+    assert got == {0: 0, 200: 3} | {n: 1 for n in range(1, 60)} | {100 + n: 2 for n in range(1, 60)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plain = G.Links.of(edges(spark, pairs))
+        plan = G._walk(plain, G.cut_lineage(start), "distance", F.min, 4)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # One exchange per hop, of what it reached, and one or two to begin with. The steps lie still.
+    moved = [line for line in plan.splitlines() if "ENSURE_REQUIREMENTS" in line]
+    assert 5 <= len(moved) <= 6 and not any("source" in line for line in moved)
+
+
 def test_levels_are_longest_ways(spark):
     pairs = CHAIN + DIAMOND
     all_nodes = nodes(spark, *sorted({x for p in pairs for x in p}), 77)
