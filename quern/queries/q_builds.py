@@ -13,7 +13,7 @@ from quern.plans.project import medallion as build_medallion
 from quern.plans.project import project
 from quern.queries import frames
 from quern.queries.registry import plain, query
-from quern.session import new_folder
+from quern.session import new_folder, new_name
 from quern.sources.tables import table
 
 NOON = dt.datetime(2024, 4, 1, 12, 0)
@@ -26,7 +26,7 @@ def orders(spark, sf):
 @query("build_view", "SELECT o_orderpriority, count(*) AS row_count FROM orders GROUP BY 1")
 def build_view(spark, sf):
     counted = table(spark, sf, "orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("row_count"))
-    return builds.build_view(counted, "orders_by_priority")
+    return builds.build_view(counted, new_name("orders_by_priority"))
 
 
 @query("build_table", "SELECT l_shipdate, count(*) AS items FROM lineitem GROUP BY 1")
@@ -267,8 +267,9 @@ def model_versions(spark, sf):
     people = frames.users(spark, sf)
     v1 = people.select("id", "name", "country")
     v2 = people.select("id", "name", clean_text("email").alias("email_cleaned"), "country")
-    latest = builds.register_versions(spark, "dim_customers", {1: v1, 2: v2}, 2)
-    pinned = spark.table("dim_customers_v1").withColumn("version", F.lit("v1"))
+    name = new_name("dim_customers")
+    latest = builds.register_versions(spark, name, {1: v1, 2: v2}, 2)
+    pinned = spark.table(f"{name}_v1").withColumn("version", F.lit("v1"))
     return latest.withColumn("version", F.lit("latest")).unionByName(pinned, allowMissingColumns=True)
 
 

@@ -8,7 +8,7 @@ from quern.functions.expressions import money
 from quern.operators.rows import flatten
 from quern.operators.skew import parts_for
 from quern.queries.registry import plain, query
-from quern.session import new_folder
+from quern.session import new_folder, new_name
 from quern.sources import readers, rows, writers
 from quern.sources.tables import SCHEMAS, driver_sources, table
 
@@ -75,8 +75,9 @@ def scan_parquet(spark, sf):
     ON e.event_type = s.event_type GROUP BY s.label""",
 )
 def seed_lookup(spark, sf):
-    rows.seed(spark, EVENT_SEED, "event_type string, label string, weight int", "event_labels")
-    labels = spark.table("event_labels")
+    name = new_name("event_labels")
+    rows.seed(spark, EVENT_SEED, "event_type string, label string, weight int", name)
+    labels = spark.table(name)
     # Counted per type first: the join then sees one row per type.
     per_type = table(spark, sf, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
     return (

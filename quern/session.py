@@ -71,6 +71,11 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tables/{label}-{uuid.uuid4().hex}"
 
 
+def new_name(label: str) -> str:
+    """A name for a view or table that no other run of a query uses."""
+    return f"{label}_{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared checkpoint folder and go on from there.
 
