@@ -90,7 +90,8 @@ def _nearest(data: pa.Table, asked: pa.Table, k: int, trees: int, bits: int, sha
         ids, vectors = parts(data)
         query_ids, queries = parts(asked)
         forest = Forest(vectors, trees, bits)
-        first, last = forest.ranges(queries, max(k + 1, int(share * len(ids))))
+        # So many in all that one tree alone has k and the query itself, or else every row.
+        first, last = forest.ranges(queries, max((k + 1) * trees, int(share * len(ids))))
         for i, query in enumerate(queries):
             found = np.zeros(len(ids), bool)
             for order, low, high in zip(forest.order, first[:, i].tolist(), last[:, i].tolist()):
