@@ -6,9 +6,8 @@
 3. In a bucket of few classes all pairs are candidates. In a larger one a pivot is compared with the others, so a group of
    near copies costs about as many comparisons as it has members. The pivot is the class with the smallest share of
    shingles of its own, which in a group of copies with edits is the text that was edited. Classes outside the
-   component of the pivot get a pivot of their own, a few times over; a last pass compares those still outside with
-   every class of another component. No possible link is skipped: what is left out is ruled out by a bound. A set with
-   u shingles that no other class of these buckets has shares at most n - u of its n with any of them.
+   component of the pivot are then held against the classes of other components around the same pivot, block by block
+   inside tasks, which hand on links alone. No possible link is skipped.
 4. Candidates are confirmed on the full sets, and the links joined to components.
 """
 
@@ -25,8 +24,8 @@ from quern.llm.storage import stored
 
 #: Buckets up to this many classes are compared in full.
 SMALL = 12
-#: Rounds of pivots before the last pass, at most.
-PIVOT_ROUNDS = 3
+#: Sets of a block in the last pass.
+BLOCK = 2000
 
 
 def describe(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int, rows: int) -> DataFrame:
@@ -121,18 +120,75 @@ def _shared_sizes(nodes: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            sizes = [len(s) // 8 for s in batch.column(1).to_pylist()]
-            items = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64)
-            owners = np.repeat(batch.column(0).to_numpy(), sizes)
-            for i in range(0, max(1, len(items)), 1 << 16):
-                part = [pa.array(owners[i : i + (1 << 16)]), pa.array(items[i : i + (1 << 16)])]
+            raw = batch.column(1).to_pylist()
+            items = np.frombuffer(b"".join(raw), np.int64)
+            owners = np.repeat(batch.column(0).to_numpy(), np.array([len(r) // 8 for r in raw], np.int64))
+            for i in range(0, len(items), 1 << 16):
+                part = [pa.array(c[i : i + (1 << 16)]) for c in (owners, items)]
                 yield pa.RecordBatch.from_arrays(part, names=["node", "item"])
 
-    wanted = sets.join(nodes, "node", "left_semi").select("node", "items", F.expr("octet_length(items) div 8").alias("n"))
-    items = wanted.select("node", "items").mapInArrow(run, "node bigint, item bigint")
+    wanted = sets.join(nodes, "node", "left_semi").select("node", "items")
+    items = wanted.mapInArrow(run, "node bigint, item bigint")
     own = items.groupBy("item").agg(F.count(F.lit(1)).alias("holders"), F.min("node").alias("node")).where("holders = 1")
     counts = own.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-    return wanted.join(counts, "node", "left").select("node", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"))
+    size = F.expr("octet_length(items) div 8")
+    return wanted.join(counts, "node", "left").select("node", (size - F.coalesce("own", F.lit(0))).alias("shared"))
+
+
+def _links_of_blocks(asking: pa.Table, others: pa.Table, percent: int) -> pa.Table:
+    """Links from the asking sets to sets of another label, one for each label that is linked.
+
+    An inverted index of one block counts, for one asking set at a time, what it shares with each set of the block.
+    """
+    u, v = [], []
+    if len(asking) and len(others):
+        raw = others.column("items").to_pylist()
+        sizes = np.array([len(r) // 8 for r in raw])
+        items = np.frombuffer(b"".join(raw), np.uint64)
+        order = np.argsort(items, kind="stable")
+        items, owners = items[order], np.repeat(np.arange(len(raw)), sizes)[order]
+        nodes, labels = (others.column(c).to_numpy() for c in ("node", "label"))
+        for node, label, blob in zip(*(asking.column(c).to_pylist() for c in ("node", "label", "items"))):
+            own = np.frombuffer(blob, np.uint64)
+            first, last = np.searchsorted(items, own), np.searchsorted(items, own, "right")
+            counts = last - first
+            steps = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            both = np.bincount(owners[np.repeat(first, counts) + steps], minlength=len(raw))
+            linked = (both * 100 >= (len(own) + sizes - both) * percent) & (labels != label)
+            found = np.flatnonzero(linked)
+            for at in found[np.unique(labels[found], return_index=True)[1]]:
+                u.append(node)
+                v.append(int(nodes[at]))
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+
+def _search_blocks(named: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) between the `outside` nodes of each pivot and its nodes of another label.
+
+    Both sides are cut by hash into blocks of about BLOCK sets, and a task holds one block of each.
+    """
+    counts = named.groupBy("pivot").agg(F.count(F.lit(1)).alias("all"), F.count_if("outside").alias("asking"))
+    cut = counts.where("asking > 0").select(
+        "pivot", F.ceil(F.col("all") / BLOCK).alias("blocks"), F.ceil(F.col("asking") / BLOCK).alias("groups")
+    )
+    rows = named.join(cut, "pivot").join(sets, "node")
+
+    def numbers(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+
+    own, group = F.pmod(F.xxhash64("node"), "blocks"), F.pmod(F.xxhash64("node", F.lit(1)), "groups")
+    def side(df: DataFrame, block: Column, part: Column) -> DataFrame:
+        named = [F.col(c).alias(c) for c in ("pivot", "node", "label", "items")]
+        return df.select(*named, block.alias("block"), part.alias("group"))
+
+    asking = side(rows.where("outside"), numbers("blocks"), group)
+    others = side(rows, own, numbers("groups"))
+    keys = ["pivot", "block", "group"]
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _links_of_blocks(left, right, percent)
+
+    return asking.groupBy(*keys).cogroup(others.groupBy(*keys)).applyInArrow(run, "u bigint, v bigint")
 
 
 def _with_pivots(members: DataFrame) -> DataFrame:
@@ -158,36 +214,25 @@ def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
 def link_classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(node, root) of the components of the classes that share buckets: members (bucket, members, node, n)."""
 
-    def grown(roots: DataFrame | None, pairs: DataFrame) -> DataFrame:
-        links = compare(pairs.distinct(), sets).where(_is_link(percent)).select("u", "v")
-        if roots is not None:
-            links = links.union(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
-        return stored(components(links), "roots")
-
     def star(rows: DataFrame) -> DataFrame:
         near = _may_link(percent, "n", "n_2", "shared", "shared_2")
         return rows.where("node <> node_2").where(near).select(*_pair("node", "node_2", "n", "n_2"))
 
     small, large = members.where(F.col("members") <= SMALL), members.where(F.col("members") > SMALL)
-    in_large = large.select("node").distinct()
     # A set of which too little is shared can have no link in these buckets.
-    able = _shared_sizes(in_large, sets).join(large, "node").where(F.col("shared") * 100 >= F.col("n") * percent)
-    large = stored(able.select("bucket", "node", "n", "shared"), "large")
-    stars = stored(_with_pivots(large), "stars")
-    roots = grown(None, _all_pairs(small, percent).union(star(stars)))
+    shared = _shared_sizes(large.select("node").distinct(), sets)
+    able = large.join(shared, "node").where(F.col("shared") * 100 >= F.col("n") * percent)
     columns = ["bucket", "node", "n", "shared"]
-    rest = stored(_labelled(stars, roots).where("label <> label_2").select(*columns), "rest")
-    for _ in range(PIVOT_ROUNDS):
-        if rest.isEmpty():
-            break
-        rows = _with_pivots(rest)
-        roots = grown(roots, star(rows))
-        rest = stored(_labelled(rows, roots).where("label <> label_2").select(*columns), "rest")
-    named = stored(_labelled(stars, roots), "named")
-    outside = named.where("label <> label_2").select(*columns, "label")
-    others = named.select("bucket", *[F.col(c).alias(f"{c}_2") for c in ("node", "n", "shared", "label")])
-    apart = (F.col("label") != F.col("label_2")) & _may_link(percent, "n", "n_2", "shared", "shared_2")
-    return grown(roots, outside.join(others, "bucket").where(apart).select(*_pair("node", "node_2", "n", "n_2")))
+    stars = stored(_with_pivots(able.select(*columns)), "stars")
+    pairs = _all_pairs(small, percent).union(star(stars)).distinct()
+    roots = stored(components(compare(pairs, sets).where(_is_link(percent)).select("u", "v")), "roots")
+    named = _labelled(stars, roots).groupBy(F.col("node_2").alias("pivot"), "node").agg(
+        F.first("label").alias("label"), F.max(F.col("label") != F.col("label_2")).alias("outside")
+    )
+    links = stored(_search_blocks(stored(named, "named"), sets, percent), "links")
+    if links.isEmpty():
+        return roots
+    return stored(components(links.union(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))), "roots")
 
 
 def near_duplicates(

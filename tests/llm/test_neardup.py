@@ -98,15 +98,13 @@ def test_families_chains_and_shared_passages(spark):
 
 
 def test_large_group_of_near_copies(spark, monkeypatch):
-    """Buckets far above SMALL: pivots, further rounds and the last pass give the same as all pairs."""
+    """Buckets far above SMALL: pivots and the last pass give the same as all pairs."""
     monkeypatch.setattr(neardup, "SMALL", 3)
     base = prose(120, seed=90, vocabulary=4000)
     rows = [(k, edited(base, 0.02 * (k % 5), k)) for k in range(90)]
     rows += [(500 + k, base) for k in range(40)]
     rows += [(700 + k, edited(edited(base, 0.05, 1), 0.01 * (k % 4), 700 + k)) for k in range(40)]
     assert result(near_duplicates(documents(spark, rows), size=3, percent=85)) == brute(rows, 3, 85)
-    monkeypatch.setattr(neardup, "PIVOT_ROUNDS", 0)
-    assert result(near_duplicates(documents(spark, rows), size=3, percent=85)) == brute(rows, 3, 85)
 
 
 def test_sketches_estimate_similarity_and_fill_every_coordinate():
