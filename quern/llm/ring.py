@@ -106,13 +106,10 @@ def shard_rows(
     spark = docs.sparkSession
     hashed = without(docs, ["shard", "slot"]).withColumn("__hash", F.xxhash64(key))
     keyed = cut_lineage(hashed.withColumn("__cell", F.pmod("__hash", F.lit(CELLS)).cast("int")))
-    counts = keyed.groupBy("__cell").agg(F.count(F.lit(1)).alias("rows"))
-    hot = {r["__cell"]: -(-r.rows // block_rows) for r in counts.where(F.col("rows") > block_rows).collect()}
-    cuts = F.lit(1)
-    if hot:
-        table = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
-        cuts = F.coalesce(table[F.col("__cell")], F.lit(1))
-    keyed = keyed.withColumn("__block", F.pmod(F.xxhash64(F.col(id_col), F.lit(7)), cuts).cast("int"))
+    cuts = F.ceil(F.count(F.lit(1)) / block_rows).alias("__cuts")
+    cells = cut_lineage(keyed.groupBy("__cell").agg(cuts))  # CELLS rows at most
+    block = F.pmod(F.xxhash64(F.col(id_col), F.lit(7)), F.col("__cuts")).cast("int")
+    keyed = keyed.join(F.broadcast(cells), "__cell").withColumn("__block", block).drop("__cuts")
     blocks = [tuple(r) for r in keyed.groupBy("__cell", "__block").count().collect()]
     names = "__cell int, __block int, __from bigint, __to bigint, shard int, __slot bigint"
     placed = spark.createDataFrame(place(blocks, shards, spare), names)
