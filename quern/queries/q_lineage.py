@@ -83,6 +83,36 @@ def lineage_select(spark, sf):
     )
 
 
+@query(
+    "lineage_select_related",
+    f"""SELECT node FROM ({WALK.format(
+        start="o_orderpriority = '1-URGENT' AND year(o_orderdate) = 1996", to="target", frm="source", edges=frames.ORDER_EDGES
+    )}) JOIN orders ON node = o_orderkey WHERE year(o_orderdate) = 1997
+    UNION SELECT node FROM ({WALK.format(
+        start="o_orderpriority = '5-LOW' AND o_orderdate > TIMESTAMP '2001-06-01 00:00:00'", to="source", frm="target",
+        edges=frames.ORDER_EDGES
+    )})""",
+)
+def lineage_select_related(spark, sf):
+    """Terms with parents or children: what follows the urgent orders of 1996, of 1997 only, and what led to the last low
+    ones."""
+    year = F.year("o_orderdate")
+    late = F.when(F.col("o_orderdate") > F.lit("2001-06-01").cast("timestamp_ntz"), F.lit("late")).otherwise(F.lit(""))
+    nodes = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("node"),
+        F.array(F.concat("o_orderpriority", F.lit(" "), year), F.concat("o_orderpriority", late)).alias("tags"),
+        F.concat(F.lit("orders/"), year, F.lit("/"), "o_orderkey").alias("path"),
+    )
+    return G.select_nodes(
+        nodes,
+        groups=[
+            [G.Term("tag", "1-URGENT 1996", downstream=True), G.Term("path", "orders/1997")],
+            [G.Term("tag", "5-LOWlate", upstream=True)],
+        ],
+        edges=frames.order_edges(spark, sf),
+    )
+
+
 @query(
     "changed_downstream",
     WALK.format(start="o_orderkey % 97 = 0 OR o_orderkey % 101 = 0", to="target", frm="source", edges=frames.ORDER_EDGES),
