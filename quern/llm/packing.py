@@ -2,9 +2,9 @@
 
 A text longer than the longest sequence fills whole sequences of its own, and only its rest is packed. Pieces are dealt
 by a hash to groups of bounded size, and each group is packed by one task: longest pieces first, each into the open bin
-that it leaves least room in; if none has room, a new bin is opened at the size with the least cost for what it can hold.
-That is done once for every largest size to be opened, the cheapest outcome is taken, and at last every bin is cut down
-to the cheapest size that holds its contents.
+that it leaves least room in; if none has room, a new bin is opened. That is tried once with every size as the one to open,
+every bin of a trial is cut down to the cheapest size that holds its contents, and the cheapest trial is kept: short
+sizes cost less a place, long ones lose fewer places.
 """
 
 from __future__ import annotations
@@ -36,9 +36,8 @@ def cheapest(sizes: Mapping[int, float], length: int) -> int:
 
 
 def opened(sizes: Mapping[int, float], length: int, largest: int) -> int:
-    """The size to open for a piece: least cost per place, up to the largest allowed; a longer piece gets what holds it."""
-    fitting = [s for s in sizes if length <= s <= largest] or [cheapest(sizes, length)]
-    return min((sizes[s] / s, -s, s) for s in fitting)[2]
+    """The size to open for a piece: the trial's largest, or for a longer piece the cheapest that holds it."""
+    return largest if length <= largest else cheapest(sizes, length)
 
 
 def best_fit(lengths: list[int], sizes: Mapping[int, float], largest: int) -> tuple[list[int], list[int]]:
@@ -71,7 +70,7 @@ def best_fit(lengths: list[int], sizes: Mapping[int, float], largest: int) -> tu
 
 
 def pack(lengths: list[int], sizes: Mapping[int, float]) -> tuple[list[int], list[int]]:
-    """(bin of each length, size of each bin) of the cheapest outcome over the largest sizes to be opened."""
+    """(bin of each length, size of each bin) of the cheapest trial, its bins cut down; ties go to the larger size."""
     found = None
     for largest in sorted(sizes, reverse=True):
         places, contents = best_fit(lengths, sizes, largest)

@@ -53,6 +53,21 @@ def test_joint_choice_is_the_cheapest_and_bins_are_cut_down():
         assert all(cheapest(SMALL, n) == final[b] for b, n in used.items())
 
 
+def test_trials_of_the_production_sizes_differ_and_bins_shrink():
+    lengths = [300] * 4999
+    costs = {}
+    for largest in SIZES:
+        _, contents = best_fit(lengths, SIZES, largest)
+        costs[largest] = sum(SIZES[cheapest(SIZES, c)] for c in contents)
+    assert len(set(costs.values())) == len(SIZES)
+    places, final = pack(lengths, SIZES)
+    assert sum(SIZES[s] for s in final) == min(costs.values()) == costs[1024]
+    assert sorted(final) == [512] + [1024] * 1666
+    for largest in (1024, 2048):
+        _, contents = best_fit(lengths, SIZES, largest)
+        assert [cheapest(SIZES, c) for c in contents].count(512) == 1
+
+
 def check(rows, lengths, sizes):
     """Every unit of every document once, no bin too full, no place used twice, bins as small as they can be."""
     pieces = defaultdict(list)
