@@ -3,8 +3,8 @@
 A file's licence is that of its line nearest to a template. Lines and templates are sets of words, and a word weighs the
 rounded logarithm of its rarity over all files. A line can reach the threshold only if it holds one
 of the template's anchors, the rarest terms without which the rest of the template is too short a vector; so only lines
-with an anchor are compared. A file whose first line with words is a licence counts as the licence file of its
-directory. Files without a licence of their own take that of the nearest directory above them which has one.
+with an anchor are compared. A file counts as a licence file of its directory if its first line with words is a licence, if
+one licence line has at least half of its words, or if it has a licence and the name of a licence file. Files without a licence of their own take that of the nearest directory above them which has one.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ THRESHOLD = 0.8
 #: Weight of a rarity of e times, so that weights can be whole numbers.
 SCALE = 100
 NOT_WORD = "[^a-z0-9]+"
+#: Names of licence files, at the end of a path.
+FILE_NAME = r"(?i)(?:^|/)(?:(?:un)?licen[cs]es?|copying|copyright|notice)(?:[._-][^/]*)?\z"
 
 
 def words(text: Column) -> Column:
@@ -71,9 +73,10 @@ def anchors(weights: Mapping[str, int], threshold: float) -> list[str]:
 def match_lines(
     docs: DataFrame, id_col: str, text_col: str, templates: Mapping[str, str], threshold: float
 ) -> DataFrame:
-    """(id, line, header, licence, score): each line that reaches the threshold, with its nearest template.
+    """(id, line, header, main, licence, score): each line that reaches the threshold, with its nearest template.
 
-    `line` is the number of the line from 0; header says that no line before it has words. The score is the cosine of the
+    `line` is the number of the line from 0; header says that no line before it has words, main that the
+    line has at least half of the text's words. The score is the cosine of the
     sets of words, weighted; ties go to the licence that comes first in the alphabet. Words of a line that no template has
     weigh as much as a word that no file has.
     """
@@ -94,6 +97,7 @@ def match_lines(
         F.col("line").cast("bigint").alias("line"),
         F.array_distinct(words(F.col("text"))).alias("bag"),
         (~F.rlike(before, F.lit("(?i)[a-z0-9]"))).alias("header"),
+        (F.size(words(F.col("text"))) * 2 >= F.size(words(F.col("whole")))).alias("main"),
     )
     table = F.create_map(*[x for w in vocabulary for x in (F.lit(w), F.lit(weights[w]).cast("bigint"))])
 
@@ -113,7 +117,7 @@ def match_lines(
     best = F.array_min(F.array(*map(score, sorted(bags))))
     scored = hits.withColumn("length", squares(F.col("bag"))).withColumn("best", best)
     return scored.select(
-        "id", "line", "header", F.col("best.licence").alias("licence"), (-F.col("best.minus")).alias("score")
+        "id", "line", "header", "main", F.col("best.licence").alias("licence"), (-F.col("best.minus")).alias("score")
     ).where(F.col("score") >= threshold)
 
 
@@ -133,16 +137,17 @@ def scan_licences(
     lines = match_lines(docs.where(F.col(id_col).isNotNull()), id_col, text_col, templates, threshold)
     rank = F.struct((-F.col("score")).alias("minus"), "line", "licence", "score")
     own = stored(
-        lines.groupBy("id").agg(F.min(rank).alias("best"), F.max("header").alias("is_file")).select(
+        lines.groupBy("id").agg(F.min(rank).alias("best"), F.max(F.col("header") | F.col("main")).alias("is_file")).select(
             "id", F.col("best.licence").alias("own_licence"), F.col("best.score").alias("own_score"), "is_file"
         ),
         "own-licences",
     )
     dir_of = F.when(F.col(path_col).contains("/"), F.regexp_extract(path_col, r"(?s)^(.*)/", 1))
-    slim = docs.select(F.col(id_col).alias("id"), dir_of.alias("dir"))
+    named = F.coalesce(F.rlike(path_col, F.lit(FILE_NAME)), F.lit(False))
+    slim = docs.select(F.col(id_col).alias("id"), dir_of.alias("dir"), named.alias("named"))
     held = (
-        slim.join(own.where("is_file"), "id")
-        .where("dir is not null")
+        slim.join(own, "id")
+        .where("dir is not null and (is_file or named)")
         .groupBy("dir")
         .agg(F.min(F.struct((-F.col("own_score")).alias("minus"), "id", "own_licence", "own_score")).alias("best"))
         .select(F.col("dir").alias("above"), "best.own_licence", "best.own_score")

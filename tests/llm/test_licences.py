@@ -99,3 +99,23 @@ def test_query(spark):
     paths = {r.doc_id: r.path for r in got.collect()}
     texts = spark.read.parquet(f"{sf}/documents.parquet").collect()
     assert result(got) == brute([(r.doc_id, paths[r.doc_id], r.text) for r in texts])
+
+
+def test_licence_files_without_a_header(spark):
+    rows = [
+        (1, "a/note", f"{prose(4)}\n{MIT}."), (2, "a/x", prose(40)), (3, "b/COPYING.txt", f"{prose(30)}\n{APACHE}"),
+        (4, "b/c/x", prose(40)), (5, "c/long", f"{prose(30)}\n{APACHE}"), (6, "c/x", prose(40)), (7, "d/LICENSE", prose(30)),
+        (8, "d/x", prose(40)), (9, "e/licensed", f"{prose(30)}\n{APACHE}"), (10, "e/x", prose(40)),
+    ]
+    got = scan_licences(spark.createDataFrame(rows, "doc_id bigint, path string, text string"), "path").collect()
+    inherited = {r.doc_id: (r.licence, r.licence_dir) for r in got if r.licence_from == "inherited"}
+    assert inherited == {2: ("MIT", "a"), 4: ("Apache-2.0", "b")}
+
+
+def test_query_inherits(spark):
+    rows = QUERIES["op5_licence_scan"](spark, "/root/testdata/sf0.1").collect()
+    own = {r.doc_id: r for r in rows if r.licence_from == "own"}
+    inherited = [r for r in rows if r.licence_from == "inherited"]
+    assert inherited and all((r.path + "/").startswith(r.licence_dir + "/") for r in inherited)
+    held = {(o.path.rpartition("/")[0], o.licence) for o in own.values()}
+    assert all((r.licence_dir, r.licence) in held for r in inherited)
