@@ -2,10 +2,12 @@
 
 Every tree hashes a vector to a string of bits, the signs of its products with rotated axes, and keeps the strings sorted.
 A query descends by binary search to the strings that share its longest prefix, and then ascends in all trees at once, one
-bit shorter at a time, until the ranges hold enough candidates. These are scored exactly.
+bit shorter at a time, until the ranges hold enough different rows. These are scored exactly.
 
 The rows are dealt to blocks by a hash of the id, and each block has a forest of its own; the queries, a stated set, visit
-every block in groups of bounded size. So a task holds one block and one group of queries, whatever the table's size, and
+every block in groups of bounded size. Within a block, vectors of like length have a forest of their own, as short ones
+hash alike whatever their direction; the longest come first, and a query leaves out those too short to reach its k best.
+So a task holds one block and one group of queries, whatever the table's size, and
 each block hands on no more than the k best of a query.
 """
 
@@ -21,8 +23,12 @@ from pyspark.sql import functions as F
 BLOCK_ROWS = 8192
 QUERY_ROWS = 8192
 TREES, BITS = 48, 20
-#: Candidates of a query in a block, as a share of the block's rows; a row counts once for each tree that finds it.
+#: Different candidates of a query, as a share of the rows of a forest.
 SHARE = 0.6
+#: Shortest vector of a forest, as a share of its longest, and the least rows of a forest, however their lengths differ.
+SPREAD, LEAST_ROWS = 0.8, 512
+#: Queries that have their candidates marked at a time.
+MARKED = 512
 
 
 @lru_cache(maxsize=128)
@@ -57,8 +63,13 @@ class Forest:
 
     def ranges(self, queries: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
         """(first, last) places in each tree's array per query, at the longest prefix length that gives enough in all."""
+        return self._climb(queries, wanted)[:2]
+
+    def _climb(self, queries: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+        """The ranges, the number of bits dropped per query, and the queries' hashes in each tree."""
         tall = np.hstack([queries, np.zeros((len(queries), 1))])
         hashes = [self._hash(tall, tree) for tree in range(self.trees)]
+        bits = np.full(len(queries), self.bits)
         first = np.zeros((self.trees, len(queries)), np.int64)
         last = np.full((self.trees, len(queries)), len(self.order[0]), np.int64)
         climbing = np.ones(len(queries), bool)
@@ -73,8 +84,40 @@ class Forest:
             enough = (high - low).sum(axis=0) >= wanted
             done = np.flatnonzero(climbing)[enough]
             first[:, done], last[:, done] = low[:, enough], high[:, enough]
+            bits[done] = dropped
             climbing[done] = False
-        return first, last
+        return first, last, bits, hashes
+
+    def candidates(self, queries: np.ndarray, wanted: int) -> np.ndarray:
+        """Per query a mark for each row in the ranges of the longest prefix length that gives enough different rows."""
+        found = np.zeros((len(queries), len(self.order[0])), bool)
+        first, last, dropped, hashes = self._climb(queries, wanted)
+        climbing = np.arange(len(queries))
+        while len(climbing):
+            for i in climbing:
+                if dropped[i] >= self.bits:
+                    found[i] = True
+                    continue
+                for order, low, high in zip(self.order, first[:, i].tolist(), last[:, i].tolist()):
+                    found[i, order[low:high]] = True
+            climbing = climbing[(found[climbing].sum(axis=1) < wanted) & (dropped[climbing] < self.bits)]
+            dropped[climbing] += 1
+            for tree, (strings, values) in enumerate(zip(self.strings, hashes)):
+                prefix = values[climbing] >> dropped[climbing]
+                first[tree, climbing] = np.searchsorted(strings, prefix << dropped[climbing])
+                last[tree, climbing] = np.searchsorted(strings, (prefix + 1) << dropped[climbing])
+        return found
+
+
+def alike(lengths: np.ndarray) -> list[np.ndarray]:
+    """Rows of like length, the longest first."""
+    order = np.argsort(-lengths, kind="stable")
+    falling, out, at = -lengths[order], [], 0
+    while at < len(order):
+        end = max(at + LEAST_ROWS, int(np.searchsorted(falling, SPREAD * falling[at], side="right")))
+        out.append(order[at:end])
+        at = end
+    return out
 
 
 def _nearest(data: pa.Table, asked: pa.Table, k: int, trees: int, bits: int, share: float) -> pa.Table:
@@ -89,23 +132,33 @@ def _nearest(data: pa.Table, asked: pa.Table, k: int, trees: int, bits: int, sha
     if len(data) and len(asked):
         ids, vectors = parts(data)
         query_ids, queries = parts(asked)
-        forest = Forest(vectors, trees, bits)
-        # So many in all that one tree alone has k and the query itself, or else every row.
-        first, last = forest.ranges(queries, max((k + 1) * trees, int(share * len(ids))))
-        for i, query in enumerate(queries):
-            found = np.zeros(len(ids), bool)
-            for order, low, high in zip(forest.order, first[:, i].tolist(), last[:, i].tolist()):
-                found[order[low:high]] = True
-            found &= ids != query_ids[i]
-            rows = np.flatnonzero(found)
-            scores = np.einsum("ij,j->i", vectors[rows], query)
-            if len(rows) > k:
-                best = scores >= np.partition(scores, len(rows) - k)[len(rows) - k]
-                rows, scores = rows[best], scores[best]
-            best = np.lexsort((ids[rows], -scores))[:k]
-            out_query.append(np.full(len(best), query_ids[i]))
-            out_id.append(ids[rows[best]])
-            out_score.append(scores[best])
+        lengths, reach = np.linalg.norm(vectors, axis=1), np.linalg.norm(queries, axis=1)
+        forests = [(rows, Forest(vectors[rows], trees, bits)) for rows in alike(lengths)]
+        for at in range(0, len(queries), MARKED):
+            asking = np.arange(at, min(at + MARKED, len(queries)))
+            best = {i: (np.empty(0, np.int64), np.empty(0)) for i in asking.tolist()}
+            least = np.full(len(queries), -np.inf)
+            for members, forest in forests:
+                # Rounding must not leave out a row that ties.
+                going = asking[least[asking] <= lengths[members[0]] * reach[asking] * (1 + 1e-9)]
+                # So many that one tree alone would have k and the query itself, or else every row.
+                marks = forest.candidates(queries[going], max((k + 1) * trees, int(share * len(members))))
+                for i, found in zip(going.tolist(), marks):
+                    rows = members[found]
+                    rows = rows[ids[rows] != query_ids[i]]
+                    scores = np.einsum("ij,j->i", vectors[rows], queries[i])
+                    rows, scores = np.concatenate([best[i][0], rows]), np.concatenate([best[i][1], scores])
+                    if len(rows) > k:
+                        good = scores >= np.partition(scores, len(rows) - k)[len(rows) - k]
+                        rows, scores = rows[good], scores[good]
+                    top = np.lexsort((ids[rows], -scores))[:k]
+                    best[i] = rows[top], scores[top]
+                    if len(top) == k:
+                        least[i] = scores[top[-1]]
+            for i, (rows, scores) in best.items():
+                out_query.append(np.full(len(rows), query_ids[i]))
+                out_id.append(ids[rows])
+                out_score.append(scores)
     return pa.table({
         "query_id": np.concatenate(out_query) if out_query else np.empty(0, np.int64),
         "vec_id": np.concatenate(out_id) if out_id else np.empty(0, np.int64),

@@ -98,3 +98,22 @@ def test_ranges_hold_the_longest_common_prefixes():
             if sum(map(len, held)) >= 40 or length == 0:
                 break
         assert [last[t, q] - first[t, q] for t in range(5)] == [len(h) for h in held]
+
+
+@pytest.mark.parametrize("spread", [0.0, 0.35, 0.5])
+def test_recall_whatever_the_lengths(spark, spread):
+    rng = np.random.default_rng(3)
+    vectors = rng.standard_normal((2000, 64))
+    vectors *= np.exp(spread * rng.standard_normal((2000, 1))) / np.linalg.norm(vectors, axis=1)[:, None]
+    rows = [(i, [float(np.float32(x)) for x in v], 1) for i, v in enumerate(vectors)]
+    want = brute([r[:2] for r in rows], 20)
+    got = found(search(frame(spark, rows), F.col("vec_id") % 20 == 0))
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]) >= 0.95
+
+
+def test_candidates_are_different_rows():
+    rng = np.random.default_rng(4)
+    forest = Forest(rng.standard_normal((600, 16)), trees=6, bits=12)
+    queries = rng.standard_normal((40, 16))
+    for wanted in (1, 100, 400, 600, 1000):
+        assert (forest.candidates(queries, wanted).sum(axis=1) >= min(wanted, 600)).all()
