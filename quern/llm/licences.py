@@ -3,15 +3,17 @@
 A file's licence is that of its line nearest to a template. Lines and templates are sets of words, and a word weighs the
 rounded logarithm of its rarity over all files. A line can reach the threshold only if it holds one
 of the template's anchors, the rarest terms without which the rest of the template is too short a vector; so only lines
-with an anchor are compared. A file counts as a licence file of its directory if its first line with words is a licence, if
+with an anchor are compared. Besides, the words of whole files, joined over lines, are compared with the templates and
+with headers and parts of licence texts, in windows as long as these. A file counts as a licence file of its directory if its first line with words is a licence, if
 one licence line has at least half of its words, or if it has a licence and the name of a licence file. Files without a licence of their own take that of the nearest directory above them which has one.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +23,7 @@ from quern.llm.storage import stored
 
 # The notices that are looked for.
 TEMPLATES = {
+    "All-Rights-Reserved": "All rights reserved",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted",
     "CC-BY-4.0": "Licensed under CC BY 4.0",
@@ -28,6 +31,42 @@ TEMPLATES = {
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
     "MIT": "Released under the MIT License",
 }
+#: Other wordings, headers and parts of the licences' own texts.
+FULL_TEXTS = {
+    "Apache-2.0": (
+        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with "
+        "the License. You may obtain a copy of the License at",
+        "Apache License Version 2.0, January 2004",
+    ),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met",
+        "Licensed under the BSD 3-Clause License",
+    ),
+    "CC-BY-4.0": (
+        "Licensed under the Creative Commons Attribution 4.0 International License",
+        "is licensed under CC BY 4.0",
+    ),
+    "CC-BY-NC-4.0": (
+        "Licensed under the Creative Commons Attribution-NonCommercial 4.0 International License",
+        "is licensed under CC BY-NC 4.0",
+    ),
+    "GPL-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+        "later version",
+        "GNU General Public License Version 3, 29 June 2007",
+    ),
+    "MIT": (
+        "The MIT License (MIT)",
+        "Licensed under the MIT License",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the Software), to deal in the Software without restriction, including without limitation the "
+        "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+    ),
+}
+#: A class that counts only if a file, or a directory's files, have no licence. Like one, it is not passed over for another above.
+RESERVED = "All-Rights-Reserved"
 THRESHOLD = 0.8
 #: Weight of a rarity of e times, so that weights can be whole numbers.
 SCALE = 100
@@ -41,6 +80,10 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), NOT_WORD), lambda w: w != "")
 
 
+def listed(terms: Iterable[str]) -> Column:
+    return F.split(F.lit(" ".join(sorted(terms))), " ")
+
+
 def words_of(text: str) -> list[str]:
     return [w for w in re.split(NOT_WORD, text.lower()) if w]
 
@@ -70,21 +113,100 @@ def anchors(weights: Mapping[str, int], threshold: float) -> list[str]:
     return out
 
 
+def squared(bag: Column, weights: Mapping[str, int], unknown: int) -> Column:
+    """Squared length of a set of words."""
+    # One literal, where a map or an array of literals would be a node per word in every expression that has it.
+    table = F.from_json(F.lit(json.dumps(weights)), "map<string,bigint>")
+    return F.aggregate(
+        F.transform(bag, lambda w: F.coalesce(table[w], F.lit(unknown).cast("bigint"))),
+        F.lit(0).cast("bigint"),
+        lambda total, w: total + w * w,
+    )
+
+
+def match_windows(
+    docs: DataFrame, id_col: str, text_col: str, texts: Sequence[tuple[str, str]], threshold: float,
+    weights: Mapping[str, int], unknown: int,
+) -> DataFrame:
+    """(id, line, header, main, licence, score): per file and text, given as (licence, text), the nearest window of the
+    file's joined words, if it reaches the threshold.
+
+    A window has as many words as the text, or all words of a file that has at least four fifths as many. Windows start an
+    eighth of that apart, and at the end. `line` is the one in which the window ends; header says that it starts in the first
+    line with words and no more than its own length from the top, main that the window has at least half of the file's words. A file that lacks so many of a text's words
+    that no window can reach the threshold is not cut into windows.
+    """
+    lists = [(name, words_of(text)) for name, text in texts]
+    bags = [sorted(set(ws)) for _, ws in lists]
+    vocabulary = listed({w for bag in bags for w in bag})
+    whole = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    known = whole.withColumn("known", F.array_intersect(words(F.col("text")), vocabulary)).where(F.size("known") > 1)
+
+    def own(i: int) -> int:
+        return sum(weights[w] ** 2 for w in bags[i])
+
+    def among(bag: Column, i: int) -> Column:
+        return squared(F.array_intersect(bag, listed(bags[i])), weights, unknown)
+
+    # The cosine is at most the length of what both have over the text's own; rounding must not leave out a tie.
+    numbers = F.array(*[F.when(among(F.col("known"), i) >= threshold**2 * own(i) * (1 - 1e-9), F.lit(i)) for i in range(len(lists))])
+    near = known.select("id", "text", F.array_compact(numbers).alias("near")).where(F.size("near") > 0)
+    lines = F.split("text", "\n", -1)
+    cut = near.select(
+        "id",
+        "near",
+        words(F.col("text")).alias("all"),
+        F.flatten(F.transform(lines, lambda line, n: F.transform(words(line), lambda w: n))).alias("line_of"),
+    )
+
+    def best(i: int) -> Column:
+        size = len(lists[i][1])
+        last = F.greatest(F.size("all") - size, F.lit(0))
+        starts = F.concat(F.sequence(F.lit(0), last, F.lit(max(1, size // 8))), F.array(last))
+
+        def score(start: Column) -> Column:
+            bag = F.array_distinct(F.slice("all", start + 1, F.lit(size)))
+            cosine = among(bag, i) / F.sqrt(squared(bag, weights, unknown) * F.lit(own(i)).cast("bigint"))
+            return F.struct((-cosine).alias("minus"), start.alias("start"), F.lit(i).alias("text"))
+
+        here = F.array_contains("near", i) & (F.size("all") * 5 >= size * 4)
+        return F.when(here, F.array_min(F.transform(starts, score)))
+
+    hits = cut.select("id", "all", "line_of", F.explode(F.array_compact(F.array(*map(best, range(len(lists)))))).alias("w"))
+    hits = hits.select(
+        "id", "all", "line_of", F.col("w.start").alias("start"), (-F.col("w.minus")).alias("score"),
+        F.array(*[F.lit(name) for name, _ in lists])[F.col("w.text")].alias("licence"),
+        F.array(*[F.lit(len(ws)) for _, ws in lists])[F.col("w.text")].alias("size"),
+    )
+    # A window may start so many words before the text that it is near to.
+    early = F.greatest(F.lit(1), F.floor(F.col("size") / 8)) - 1
+
+    def line(at: Column) -> Column:
+        return F.col("line_of")[F.least(at, F.size("all") - 1).cast("int")]
+
+    first = line(F.col("start") + early) == F.col("line_of")[0]
+    return hits.where(F.col("score") >= threshold).select(
+        "id",
+        line(F.col("start") + F.col("size") - 1).cast("bigint").alias("line"),
+        (first & (F.col("start") <= F.col("size"))).alias("header"),
+        (F.col("size") * 2 >= F.size("all")).alias("main"),
+        "licence",
+        "score",
+    )
+
+
 def match_lines(
-    docs: DataFrame, id_col: str, text_col: str, templates: Mapping[str, str], threshold: float
+    docs: DataFrame, id_col: str, text_col: str, templates: Mapping[str, str], threshold: float, weights: Mapping[str, int],
+    unknown: int,
 ) -> DataFrame:
     """(id, line, header, main, licence, score): each line that reaches the threshold, with its nearest template.
 
     `line` is the number of the line from 0; header says that no line before it has words, main that the
     line has at least half of the text's words. The score is the cosine of the
-    sets of words, weighted; ties go to the licence that comes first in the alphabet. Words of a line that no template has
-    weigh as much as a word that no file has.
+    sets of words, weighted; ties go to the licence that comes first in the alphabet. Words of a line that no template and no
+    full text has weigh as much as a word that no file has.
     """
     bags = {name: sorted(set(words_of(text))) for name, text in templates.items()}
-    vocabulary = sorted({w for bag in bags.values() for w in bag})
-    total, holders = document_counts(docs, text_col, vocabulary)
-    weights = {w: weight(total, holders.get(w, 0)) for w in vocabulary}
-    unknown = weight(total, 0)
     wanted = sorted({a for bag in bags.values() for a in anchors({w: weights[w] for w in bag}, threshold)})
     spotted = r"(?i)(?<![a-z0-9])(?:" + "|".join(wanted) + r")(?![a-z0-9])"
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(
@@ -99,14 +221,9 @@ def match_lines(
         (~F.rlike(before, F.lit("(?i)[a-z0-9]"))).alias("header"),
         (F.size(words(F.col("text"))) * 2 >= F.size(words(F.col("whole")))).alias("main"),
     )
-    table = F.create_map(*[x for w in vocabulary for x in (F.lit(w), F.lit(weights[w]).cast("bigint"))])
 
     def squares(bag: Column) -> Column:
-        return F.aggregate(
-            F.transform(bag, lambda w: F.coalesce(table[w], F.lit(unknown).cast("bigint"))),
-            F.lit(0).cast("bigint"),
-            lambda total, w: total + w * w,
-        )
+        return squared(bag, weights, unknown)
 
     def score(name: str) -> Column:
         own = sum(weights[w] ** 2 for w in bags[name])
@@ -124,18 +241,26 @@ def match_lines(
 def scan_licences(
     docs: DataFrame, path_col: str, id_col: str = "doc_id", text_col: str = "text",
     templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD,
+    full_texts: Mapping[str, Sequence[str]] = FULL_TEXTS, reserved: str = RESERVED,
 ) -> DataFrame:
     """Add licence, licence_score, licence_from (own, inherited or none) and licence_dir to every row.
 
-    Paths are divided by `/`. A file's own licence is the one of the highest score of its lines, then the first line. A
-    directory's licence comes from the licence files in it: the highest score, then the smallest id. Texts that are null
+    Paths are divided by `/`. A file's own licence is the one of the highest score of its lines and windows, then the
+    first line. A directory's licence comes from the licence files in it: the highest score, then the smallest id. Reserved
+    rights come after every licence in both. Texts that are null
     have no licence of their own; a null path is in no directory. Rows that repeat an id share what any of them holds;
     rows without an id can inherit only. An empty table gives no rows; other columns stay, but for those with the name of
     an added one. The directories' ancestors are joined, not the files': a directory of any size is one row there.
     """
     added = ["licence", "licence_score", "licence_from", "licence_dir"]
-    lines = match_lines(docs.where(F.col(id_col).isNotNull()), id_col, text_col, templates, threshold)
-    rank = F.struct((-F.col("score")).alias("minus"), "line", "licence", "score")
+    files = docs.where(F.col(id_col).isNotNull())
+    texts = [*templates.items(), *[(name, text) for name, several in full_texts.items() for text in several]]
+    vocabulary = sorted({w for _, text in texts for w in words_of(text)})
+    total, holders = document_counts(files, text_col, vocabulary)
+    weighed = {w: weight(total, holders.get(w, 0)) for w in vocabulary}, weight(total, 0)
+    lines = match_lines(files, id_col, text_col, templates, threshold, *weighed)
+    lines = lines.unionByName(match_windows(files, id_col, text_col, texts, threshold, *weighed))
+    rank = F.struct((F.col("licence") == reserved).alias("reserved"), (-F.col("score")).alias("minus"), "line", "licence", "score")
     own = stored(
         lines.groupBy("id").agg(F.min(rank).alias("best"), F.max(F.col("header") | F.col("main")).alias("is_file")).select(
             "id", F.col("best.licence").alias("own_licence"), F.col("best.score").alias("own_score"), "is_file"
@@ -149,7 +274,7 @@ def scan_licences(
         slim.join(own, "id")
         .where("dir is not null and (is_file or named)")
         .groupBy("dir")
-        .agg(F.min(F.struct((-F.col("own_score")).alias("minus"), "id", "own_licence", "own_score")).alias("best"))
+        .agg(F.min(F.struct((F.col("own_licence") == reserved).alias("reserved"), (-F.col("own_score")).alias("minus"), "id", "own_licence", "own_score")).alias("best"))
         .select(F.col("dir").alias("above"), "best.own_licence", "best.own_score")
     )
     dirs = slim.where("dir is not null").select("dir").distinct()

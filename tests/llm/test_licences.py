@@ -3,7 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from quern.llm.licences import TEMPLATES, THRESHOLD, scan_licences, weight
+from quern.llm.licences import FULL_TEXTS, TEMPLATES, THRESHOLD, scan_licences, weight
 from quern.llm.queries import QUERIES
 from tests.llm.data import TEXTS, documents, prose
 
@@ -119,3 +119,32 @@ def test_query_inherits(spark):
     assert inherited and all((r.path + "/").startswith(r.licence_dir + "/") for r in inherited)
     held = {(o.path.rpartition("/")[0], o.licence) for o in own.values()}
     assert all((r.licence_dir, r.licence) in held for r in inherited)
+
+
+def test_other_wordings_and_wrapped_headers(spark):
+    gpl = FULL_TEXTS["GPL-3.0"][0].replace("redistribute", "redistribute\n *").replace("Foundation", "\n * Foundation")
+    mit = FULL_TEXTS["MIT"][-1].replace("associated", "associated\n").replace("limitation", "\nlimitation")
+    rows = [
+        (1, "a/1", "This project is released under the MIT License.", "MIT"), (2, "b/2", "The MIT License (MIT)", "MIT"),
+        (3, "c/3", "This software is licensed under the MIT License", "MIT"),
+        (4, "d/4", "This document is licensed under CC BY 4.0 by its author", "CC-BY-4.0"),
+        (5, "e/5", f"/* {gpl}. */\n{prose(60)}", "GPL-3.0"), (6, "f/6", f"Copyright (c) 2020 Q\n\n{mit}, and so on", "MIT"),
+        (7, "g/7", f"{prose(50)}\n# Licensed under the Apache\n# License, Version 2.0\n{prose(70)}", "Apache-2.0"),
+        (8, "h/8", f"Copyright 2020 Q. All rights reserved.\n{APACHE}", "Apache-2.0"),
+        (9, "i/9", f"{prose(20)}\nCopyright 2020 Q. All rights reserved.", "All-Rights-Reserved"),
+        (10, "j/10", "license mit", None), (11, "k/11", prose(300), None), (12, "l/12", f"{gpl} " * 40 + prose(900), "GPL-3.0"),
+    ] + [(i, f"m{i}/x", prose(80, i)) + (None,) for i in range(20, 400)]
+    df = spark.createDataFrame([r[:3] for r in rows], "doc_id bigint, path string, text string")
+    got = {r.doc_id: (r.licence, r.licence_from) for r in scan_licences(df, "path").collect()}
+    assert got == {i: (name, "own" if name else "none") for i, _, _, name in rows}
+
+
+def test_reserved_rights_are_not_passed_over(spark):
+    rows = [
+        (1, "a/LICENSE", MIT), (2, "a/x", f"{prose(30)}\nAll rights reserved."), (3, "a/b/LICENSE", "All rights reserved."),
+        (4, "a/b/x", prose(30)), (5, "a/y", prose(30)), (6, "a/z", "All rights reserved."),
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, path string, text string")
+    got = {r.doc_id: r.licence for r in scan_licences(df, "path").collect()}
+    reserved = "All-Rights-Reserved"
+    assert got == {1: "MIT", 2: reserved, 3: reserved, 4: reserved, 5: "MIT", 6: reserved}
