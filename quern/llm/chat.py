@@ -42,13 +42,33 @@ def text_part(text: Column) -> Column:
 
 
 def visit_text(part: Column) -> Column:
-    """What a part becomes in the formatted text. A part of null or unknown type keeps its place."""
-    out = F.when(part["type"] == "text", escape(F.coalesce(part["text"], F.lit(""))))
-    for kind, mark in PLACEHOLDERS.items():
-        out = out.when(part["type"] == kind, F.lit(mark))
+    """What a part other than text becomes in the formatted text. A part of null or unknown type keeps its place."""
+    out = F.when(part["type"] == "image", F.lit(PLACEHOLDERS["image"]))
+    for kind in ("audio", "document"):
+        out = out.when(part["type"] == kind, F.lit(PLACEHOLDERS[kind]))
     return out.otherwise(F.lit(UNKNOWN))
 
 
+def is_text(part: Column) -> Column:
+    return part["type"].eqNullSafe("text")
+
+
+def flatten_parts(parts: Column) -> Column:
+    """The parts of a turn as one string. Neighbouring text parts are joined first and escaped as one text, so no control
+    string can come about where two of them meet."""
+    numbers = F.transform(parts, lambda part, i: F.when(is_text(part), F.lit(None)).otherwise(i + 1).cast("int"))
+    size = F.size(parts)
+    cuts = F.concat(F.array(F.lit(0)), F.array_compact(numbers), F.array(size + 1))
+
+    def piece(start: Column, i: Column) -> Column:
+        end = F.try_element_at(cuts, (i + 2).cast("int"))
+        texts = F.transform(F.slice(parts, start + 1, end - start - 1), lambda part: F.coalesce(part["text"], F.lit("")))
+        mark = F.when(end <= size, visit_text(F.get(parts, end - 1))).otherwise(F.lit(""))
+        return F.concat(escape(F.array_join(texts, "")), mark)
+
+    return F.array_join(F.transform(F.slice(cuts, F.lit(1), F.size(cuts) - 1), piece), "")
+
+
 def expanded_tokens(part: Column) -> Column:
     """Tokens that an attachment expands to: at least one; missing measures count as the smallest."""
     def patches(side: str) -> Column:
@@ -83,10 +103,10 @@ def format_conversations(
         F.col(conv_col).alias("conv_id"),
         F.col(turn_col).alias("turn"),
         role.alias("role"),
-        F.array_join(F.transform(part_list, visit_text), "").alias("body"),
-        F.transform(F.filter(part_list, lambda p: ~p["type"].eqNullSafe("text")), visit_attachment).alias("files"),
+        flatten_parts(part_list).alias("body"),
+        F.transform(F.filter(part_list, lambda p: ~is_text(p)), visit_attachment).alias("files"),
     ).withColumn("head", F.concat(F.lit(START), F.replace(escape(F.col("role")), F.lit("\n"), F.lit(NEW_LINE)), F.lit("\n")))
-    by_turn = Window.partitionBy("conv_id").orderBy("turn", "role", "body")
+    by_turn = Window.partitionBy("conv_id").orderBy("turn", "role", unescape(F.col("body")), "body")
     before = by_turn.rowsBetween(Window.unboundedPreceding, -1)
     whole = F.length("head") + F.length("body") + len(END)
     placed = rows.select(
