@@ -80,6 +80,19 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), NOT_WORD), lambda w: w != "")
 
 
+def once(value: Column) -> Column:
+    """A value as the only element of a generator, whose column a later filter or column cannot be replaced by the
+    expression itself: it is computed once per row."""
+    return F.explode(F.array(value))
+
+
+def noticed(docs: DataFrame, id_col: str, text_col: str, vocabulary: Sequence[str], rare: Iterable[str]) -> DataFrame:
+    """(id, text, known): the files that hold one of the rare words, with the words that they share with the vocabulary."""
+    whole = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    known = F.array_intersect(words(F.col("text")), listed(vocabulary))
+    return whole.select("id", "text", once(known).alias("known")).where(F.arrays_overlap("known", listed(rare)))
+
+
 def listed(terms: Iterable[str]) -> Column:
     return F.split(F.lit(" ".join(sorted(terms))), " ")
 
@@ -125,59 +138,63 @@ def squared(bag: Column, weights: Mapping[str, int], unknown: int) -> Column:
 
 
 def match_windows(
-    docs: DataFrame, id_col: str, text_col: str, texts: Sequence[tuple[str, str]], threshold: float,
-    weights: Mapping[str, int], unknown: int,
+    rows: DataFrame, texts: Sequence[tuple[str, str]], threshold: float, weights: Mapping[str, int], unknown: int
 ) -> DataFrame:
-    """(id, line, header, main, licence, score): per file and text, given as (licence, text), the nearest window of the
+    """(id, line, header, main, licence, score): per row of `noticed` and text, given as (licence, text), the nearest window of the
     file's joined words, if it reaches the threshold.
 
     A window has as many words as the text, or all words of a file that has at least four fifths as many. Windows start an
     eighth of that apart, and at the end. `line` is the one in which the window ends; header says that it starts in the first
     line with words and no more than its own length from the top, main that the window has at least half of the file's words. A file that lacks so many of a text's words
-    that no window can reach the threshold is not cut into windows.
+    that no window can reach the threshold is not cut into windows, and a window without an anchor of the text cannot reach
+    it either.
     """
-    lists = [(name, words_of(text)) for name, text in texts]
-    bags = [sorted(set(ws)) for _, ws in lists]
-    vocabulary = listed({w for bag in bags for w in bag})
-    whole = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    known = whole.withColumn("known", F.array_intersect(words(F.col("text")), vocabulary)).where(F.size("known") > 1)
-
-    def own(i: int) -> int:
-        return sum(weights[w] ** 2 for w in bags[i])
-
-    def among(bag: Column, i: int) -> Column:
-        return squared(F.array_intersect(bag, listed(bags[i])), weights, unknown)
-
-    # The cosine is at most the length of what both have over the text's own; rounding must not leave out a tie.
-    numbers = F.array(*[F.when(among(F.col("known"), i) >= threshold**2 * own(i) * (1 - 1e-9), F.lit(i)) for i in range(len(lists))])
-    near = known.select("id", "text", F.array_compact(numbers).alias("near")).where(F.size("near") > 0)
-    lines = F.split("text", "\n", -1)
+    forms = []
+    for name, text in texts:
+        listed_words, bag = words_of(text), sorted(set(words_of(text)))
+        own = sum(weights[w] ** 2 for w in bag)
+        rare = anchors({w: weights[w] for w in bag}, threshold)
+        # The cosine is at most the length of what both have over the text's own; rounding must not leave out a tie.
+        least = threshold**2 * own * (1 - 1e-9)
+        forms.append((len(forms), name, bag, rare, own, least, len(listed_words), max(1, len(listed_words) // 8)))
+    schema = "form int, licence string, bag array<string>, rare array<string>, own bigint, least double, size int, step int"
+    # As many rows as there are texts.
+    forms = F.broadcast(rows.sparkSession.createDataFrame(forms, schema))
+
+    def among(bag: Column | str) -> Column:
+        return squared(F.array_intersect(bag, "bag"), weights, unknown)
+
+    numbered = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(len(texts) - 1))).alias("form"))
+    near = numbered.join(forms, "form").where(F.arrays_overlap("known", "rare")).where(among("known") >= F.col("least"))
     cut = near.select(
-        "id",
-        "near",
-        words(F.col("text")).alias("all"),
-        F.flatten(F.transform(lines, lambda line, n: F.transform(words(line), lambda w: n))).alias("line_of"),
+        *["id", "licence", "bag", "rare", "own", "size", "step"],
+        once(words(F.col("text"))).alias("all"),
+        once(
+            F.flatten(F.transform(F.split("text", "\n", -1), lambda line, n: F.transform(words(line), lambda w: n)))
+        ).alias("line_of"),
+    )
+    last = F.greatest(F.size("all") - F.col("size"), F.lit(0))
+    at = F.array_compact(F.transform("all", lambda w, k: F.when(F.array_contains("rare", w), k)))
+    placed = cut.where(F.size("all") * 5 >= F.col("size") * 4).withColumns({"last": last, "at": once(at)})
+
+    def around(k: Column) -> Column:
+        """The starts of the windows that hold the k-th word."""
+        first = (F.ceil(F.greatest(k - F.col("size") + 1, F.lit(0)) / F.col("step")) * F.col("step")).cast("int")
+        end = F.least(k, F.col("last"))
+        none = F.array().cast("array<int>")
+        return F.when(first <= end, F.sequence(first, F.greatest(first, end), F.col("step"))).otherwise(none)
+
+    ending = F.when(F.array_max("at") >= F.col("last"), F.array("last")).otherwise(F.array().cast("array<int>"))
+    starts = F.array_distinct(F.concat(F.flatten(F.transform("at", around)), ending))
+
+    def score(start: Column) -> Column:
+        bag = F.array_distinct(F.slice("all", start + 1, F.col("size")))
+        cosine = among(bag) / F.sqrt(squared(bag, weights, unknown) * F.col("own"))
+        return F.struct((-cosine).alias("minus"), start.alias("start"))
+
+    hits = placed.select("*", once(F.array_min(F.transform(starts, score))).alias("w")).select(
+        "id", "all", "line_of", "licence", "size", F.col("w.start").alias("start"), (-F.col("w.minus")).alias("score")
     )
-
-    def best(i: int) -> Column:
-        size = len(lists[i][1])
-        last = F.greatest(F.size("all") - size, F.lit(0))
-        starts = F.concat(F.sequence(F.lit(0), last, F.lit(max(1, size // 8))), F.array(last))
-
-        def score(start: Column) -> Column:
-            bag = F.array_distinct(F.slice("all", start + 1, F.lit(size)))
-            cosine = among(bag, i) / F.sqrt(squared(bag, weights, unknown) * F.lit(own(i)).cast("bigint"))
-            return F.struct((-cosine).alias("minus"), start.alias("start"), F.lit(i).alias("text"))
-
-        here = F.array_contains("near", i) & (F.size("all") * 5 >= size * 4)
-        return F.when(here, F.array_min(F.transform(starts, score)))
-
-    hits = cut.select("id", "all", "line_of", F.explode(F.array_compact(F.array(*map(best, range(len(lists)))))).alias("w"))
-    hits = hits.select(
-        "id", "all", "line_of", F.col("w.start").alias("start"), (-F.col("w.minus")).alias("score"),
-        F.array(*[F.lit(name) for name, _ in lists])[F.col("w.text")].alias("licence"),
-        F.array(*[F.lit(len(ws)) for _, ws in lists])[F.col("w.text")].alias("size"),
-    )
     # A window may start so many words before the text that it is near to.
     early = F.greatest(F.lit(1), F.floor(F.col("size") / 8)) - 1
 
@@ -196,10 +213,9 @@ def match_windows(
 
 
 def match_lines(
-    docs: DataFrame, id_col: str, text_col: str, templates: Mapping[str, str], threshold: float, weights: Mapping[str, int],
-    unknown: int,
+    rows: DataFrame, templates: Mapping[str, str], threshold: float, weights: Mapping[str, int], unknown: int
 ) -> DataFrame:
-    """(id, line, header, main, licence, score): each line that reaches the threshold, with its nearest template.
+    """(id, line, header, main, licence, score): each line of the rows of `noticed` that reaches the threshold, with its nearest template.
 
     `line` is the number of the line from 0; header says that no line before it has words, main that the
     line has at least half of the text's words. The score is the cosine of the
@@ -209,10 +225,7 @@ def match_lines(
     bags = {name: sorted(set(words_of(text))) for name, text in templates.items()}
     wanted = sorted({a for bag in bags.values() for a in anchors({w: weights[w] for w in bag}, threshold)})
     spotted = r"(?i)(?<![a-z0-9])(?:" + "|".join(wanted) + r")(?![a-z0-9])"
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(
-        F.rlike("text", F.lit(spotted))
-    )
-    lines = texts.select("id", F.posexplode(F.split("text", "\n", -1)).alias("line", "text"), F.col("text").alias("whole"))
+    lines = rows.select("id", F.posexplode(F.split("text", "\n", -1)).alias("line", "text"), F.col("text").alias("whole"))
     before = F.array_join(F.slice(F.split("whole", "\n", -1), F.lit(1), F.col("line")), "")
     hits = lines.where(F.rlike("text", F.lit(spotted))).select(
         "id",
@@ -258,8 +271,11 @@ def scan_licences(
     vocabulary = sorted({w for _, text in texts for w in words_of(text)})
     total, holders = document_counts(files, text_col, vocabulary)
     weighed = {w: weight(total, holders.get(w, 0)) for w in vocabulary}, weight(total, 0)
-    lines = match_lines(files, id_col, text_col, templates, threshold, *weighed)
-    lines = lines.unionByName(match_windows(files, id_col, text_col, texts, threshold, *weighed))
+    bags = [set(words_of(text)) for _, text in texts]
+    rare = {a for bag in bags for a in anchors({w: weighed[0][w] for w in bag}, threshold)}
+    rows = stored(noticed(files, id_col, text_col, vocabulary, rare), "noticed")
+    lines = match_lines(rows, templates, threshold, *weighed)
+    lines = lines.unionByName(match_windows(rows, texts, threshold, *weighed))
     rank = F.struct((F.col("licence") == reserved).alias("reserved"), (-F.col("score")).alias("minus"), "line", "licence", "score")
     own = stored(
         lines.groupBy("id").agg(F.min(rank).alias("best"), F.max(F.col("header") | F.col("main")).alias("is_file")).select(

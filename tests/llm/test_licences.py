@@ -3,7 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from quern.llm.licences import FULL_TEXTS, TEMPLATES, THRESHOLD, scan_licences, weight
+from quern.llm.licences import FULL_TEXTS, TEMPLATES, THRESHOLD, noticed, scan_licences, weight
 from quern.llm.queries import QUERIES
 from tests.llm.data import TEXTS, documents, prose
 
@@ -148,3 +148,11 @@ def test_reserved_rights_are_not_passed_over(spark):
     got = {r.doc_id: r.licence for r in scan_licences(df, "path").collect()}
     reserved = "All-Rights-Reserved"
     assert got == {1: "MIT", 2: reserved, 3: reserved, 4: reserved, 5: "MIT", 6: reserved}
+
+
+def test_words_are_split_once(spark, capsys):
+    """Filters on the words of a text must not be replaced by the expression that splits it."""
+    df = spark.createDataFrame(ROWS, "doc_id bigint, path string, text string")
+    noticed(df, "doc_id", "text", ["a", "mit", "the"], ["mit"]).explain("extended")
+    optimized = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert optimized.count("split(lower(") == 1
