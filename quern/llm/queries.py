@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm.ann import search
+from quern.llm.bond import mine_negatives
 from quern.llm.bpe import encode_digests
 from quern.llm.chat import digests, format_conversations, text_part
 from quern.llm.licences import scan_licences
 from quern.llm.neardup import near_duplicates
 from quern.llm.packing import pack_documents, word_count
+from quern.llm.prefixes import conversation_trie, numbered_turns
 from quern.llm.quality import COUNTS, fit_quality, judge_quality
 from quern.llm.ring import shard_rows
 from quern.llm.secrets import BASE_RULES, MORE_RULES, Rule, join_spans, scan_secrets
+from quern.llm.storage import stored
 from quern.llm.urls import HOST_PATH_RULES, METHOD_RULES, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +194,77 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_near_duplicates")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"), size=3, percent=85)
+
+
+#: The unsigned CRC-32 of a conversation's decimal id, modulo 9: how many turns it takes from its group's first conversation.
+HEAD_SQL = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda v, k: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) % 9"""
+
+
+@query(
+    "op11_prefix_trie",
+    f"""
+WITH t AS (SELECT conv_id AS c, strlen(coalesce(text, '')) AS bytes,
+    md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS d,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+        md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT DISTINCT c, c - c % 5 AS base FROM t), heads AS (SELECT c, base, {HEAD_SQL} AS h FROM c),
+made AS (SELECT heads.c, 0 AS own, i, d, bytes FROM heads JOIN t ON t.c = base AND i <= h
+    UNION ALL SELECT heads.c, 1, i, d, bytes FROM heads JOIN t ON t.c = heads.c AND i > h),
+placed AS (SELECT c, bytes, d, row_number() OVER (PARTITION BY c ORDER BY own, i) AS depth FROM made),
+path AS (SELECT c, depth, bytes, md5(string_agg(d, '') OVER (PARTITION BY c ORDER BY depth)) AS node FROM placed
+    UNION ALL SELECT c, 0, 0, '' FROM c),
+size AS (SELECT c, max(depth) AS n FROM path GROUP BY c),
+node AS (SELECT node, depth, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS own FROM path GROUP BY node, depth),
+linked AS (SELECT n.*, p.conv_id AS parent_conv_id FROM node n
+    LEFT JOIN path up ON up.c = n.conv_id AND up.depth = n.depth - 1 LEFT JOIN node p ON p.node = up.node AND p.depth = up.depth),
+kids AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS k FROM linked WHERE depth > 0 GROUP BY ALL),
+full_node AS (SELECT l.*, coalesce(k, 0) AS n_children FROM linked l LEFT JOIN kids USING (conv_id, depth)),
+below AS (SELECT up.node, up.depth, count(*) FILTER (m.n_children = 0) AS n_leaves, sum(m.own) AS saved
+    FROM full_node m JOIN path up ON up.c = m.conv_id AND up.depth <= m.depth GROUP BY ALL),
+ends AS (SELECT node, path.depth, string_agg(CAST(path.c AS VARCHAR), ',' ORDER BY path.c) AS ids
+    FROM path JOIN size ON size.c = path.c AND n = depth GROUP BY ALL)
+SELECT f.conv_id, f.depth, f.parent_conv_id, f.n_convs, f.n_children, b.n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens,
+    sha256(coalesce(ids, '')) AS ends_sha256
+FROM full_node f JOIN below b USING (node, depth) LEFT JOIN ends USING (node, depth)""",
+)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations c - c % 5 … share heads: each takes the first turns of its group's first one, and goes on with its own."""
+    turns = stored(numbered_turns(table(spark, sf, "conversations")), "numbered-turns")
+    lengths = turns.groupBy("conv_id").agg(F.max("place").alias("n"))
+    head = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).alias("h")
+    convs = lengths.select("conv_id", (F.col("conv_id") - F.col("conv_id") % 5).alias("base"), head)
+    based = convs.join(lengths.select(F.col("conv_id").alias("base"), "n"), "base", "left")
+    plan = stored(based.select("conv_id", "base", "h", F.least("h", F.coalesce("n", F.lit(0))).alias("taken")), "plan")
+    firsts = turns.where("place <= 8").select(F.col("conv_id").alias("base"), "place", "digest", "bytes")
+    taken = plan.join(firsts, "base").where("place <= h").select("conv_id", "place", "digest", "bytes")
+    own = turns.join(plan, "conv_id").where("place > h").select(
+        "conv_id", (F.col("place") - F.col("h") + F.col("taken")).alias("place"), "digest", "bytes"
+    )
+    return conversation_trie(taken.unionByName(own), plan.select("conv_id"))
+
+
+@query(
+    "op13_hard_negatives",
+    """
+WITH usable AS (SELECT vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE CAST(label AS BIGINT) END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS (SELECT vec_id, min((label, q)) AS row FROM usable GROUP BY vec_id),
+scored AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.row[1] = b.row[1] AS same,
+    CAST(list_dot_product(a.row[2], b.row[2]) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.row[2]) = len(b.row[2])),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN scored USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3""",
+)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.col("label").cast("bigint")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return mine_negatives(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, shifted)
