@@ -12,6 +12,7 @@ from quern.llm.ann import search
 from quern.llm.bond import mine_negatives
 from quern.llm.bpe import encode_digests
 from quern.llm.chat import digests, format_conversations, text_part
+from quern.llm.extract import extract_main
 from quern.llm.licences import scan_licences
 from quern.llm.neardup import near_duplicates
 from quern.llm.packing import pack_documents, word_count
@@ -244,6 +245,12 @@ def op11(spark: SparkSession, sf: str) -> DataFrame:
     return conversation_trie(taken.unionByName(own), plan.select("conv_id"))
 
 
+@query("op12_main_text")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    return extract_main(pages).select("page_id", "url", "text", "n_chars")
+
+
 @query(
     "op13_hard_negatives",
     """
