@@ -28,8 +28,8 @@ SMALL = 12
 BLOCK = 2000
 
 
-def describe(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, n_shingles, digest (of the set) and bands (a hash each; null for an empty set)."""
+def describe(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int, rows: int, row_col: str) -> DataFrame:
+    """doc_id, row_id, text_md5, n_shingles, digest (of the set) and bands (a hash each; null for an empty set)."""
 
     def run(batches):
         for batch in batches:
@@ -43,15 +43,18 @@ def describe(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int,
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(first, len(sets)),
+                        batch.column(2).slice(first, len(sets)),
+                        batch.column(3).slice(first, len(sets)),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([set_digest(s) if len(s) else None for s in sets], pa.binary()),
                         pa.array(lists, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "digest", "bands"],
+                    names=["doc_id", "row_id", "text_md5", "n_shingles", "digest", "bands"],
                 )
 
-    source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>")
+    text, doc_id, row_id = F.col(text_col).cast("string"), F.col(id_col).cast("bigint"), F.col(row_col).cast("bigint")
+    source = docs.select(doc_id.alias("doc_id"), text.alias("text"), row_id.alias("row_id"), F.md5(text).alias("text_md5"))
+    return source.mapInArrow(run, "doc_id bigint, row_id bigint, text_md5 string, n_shingles bigint, digest binary, bands array<bigint>")
 
 
 def full_sets(docs: DataFrame, id_col: str, text_col: str, size: int, nodes: DataFrame) -> DataFrame:
@@ -235,19 +238,15 @@ def link_classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return stored(components(links.union(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))), "roots")
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80
+def group_rows(
+    docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, row_col: str | None = None
 ) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+    """doc_id, row_id (of `row_col`), text_md5, n_shingles, digest, root and component_id of every row.
 
-    Documents are linked when their shingle sets of `size` words have a Jaccard similarity of `percent` / 100 or more;
-    component_id is the smallest id that links lead to, and kept is true for the document that has it. A text that is
-    null or has no words is linked with nothing. Rows that repeat an id count as one document: each is returned, and a
-    text that any of them has links it. A row without an id belongs to the class of its text; if no row of the class has
-    one, its component is null and it is kept. An empty table gives no rows. Columns other than the two are not read.
-    """
+    The digest is null for a text without words, the root for a text with no link to another one; the component is null
+    where no row of it has an id."""
     bands, rows = band_shape(percent / 100)
-    info = stored(describe(docs, id_col, text_col, size, bands, rows), "described")
+    info = stored(describe(docs, id_col, text_col, size, bands, rows, row_col or id_col), "described")
     classes = (
         info.where("digest is not null")
         .groupBy("digest")
@@ -260,16 +259,53 @@ def near_duplicates(
     nodes = stored(members.select("node").distinct(), "nodes")
     sets = stored(full_sets(docs, id_col, text_col, size, nodes), "sets")
     roots = link_classes(members, sets, percent)
+    roots = roots.union(roots.select("root", "root").distinct())
     groups = (
         info.where("digest is not null")
         .groupBy("digest")
         .agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"))
         .join(roots, "node", "left")
         .where("copies > 1 or root is not null")
-        .select("digest", F.coalesce("root", "node").alias("component"))
+        .select("digest", "root", F.coalesce("root", "node").alias("component"))
     )
-    out = info.select("doc_id", "n_shingles", "digest").join(groups, "digest", "left")
+    out = info.select("doc_id", "row_id", "text_md5", "n_shingles", "digest").join(groups, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return out.select("doc_id", "row_id", "text_md5", "n_shingles", "digest", "root", component.alias("component_id"))
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80
+) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept.
+
+    Documents are linked when their shingle sets of `size` words have a Jaccard similarity of `percent` / 100 or more;
+    component_id is the smallest id that links lead to, and kept is true for the document that has it. A text that is
+    null or has no words is linked with nothing. Rows that repeat an id count as one document: each is returned, and a
+    text that any of them has links it. A row without an id belongs to the class of its text; if no row of the class has
+    one, its component is null and it is kept. An empty table gives no rows. Columns other than the two are not read.
+    """
+    return group_rows(docs, id_col, text_col, size, percent).select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs without near duplicates: one row of each group, the one of the smallest id, then of the smallest
+    digest of its text. Groups are those of `near_duplicates`, row by row: of one id's texts only the copies go, and copies
+    without any id leave one. Rows that repeat in whole leave one too. Texts without words all stay.
+    """
+    # Texts are named by a hash of their own, so that ids that repeat do not tie them together.
+    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.md5(text_col)).alias("text_id"))
+    found = stored(group_rows(named, "text_id", "text", size, percent, "id").drop("doc_id").withColumnRenamed("row_id", "doc_id"), "grouped")
+    group = F.coalesce(F.col("root").cast("string"), F.hex("digest")).alias("group")
+    rows = found.where("digest is not null").groupBy(group, "doc_id", "text_md5").agg(F.count(F.lit(1)).alias("n"))
+    best = rows.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_md5", "n")).alias("row"))
+    wordless = found.where("digest is null").select("doc_id", "text_md5", F.lit(1).cast("bigint").alias("n")).distinct()
+    kept = stored(best.select("row.doc_id", "row.text_md5", "row.n").union(wordless), "kept")
+    names = ["__id", "__md5", "__n"]
+    marked = docs.withColumn("__text_md5", F.md5(F.col(text_col).cast("string")))
+    same = F.col(id_col).cast("bigint").eqNullSafe(F.col("__id")) & F.col("__text_md5").eqNullSafe(F.col("__md5"))
+    out = marked.join(kept.toDF(*names), same)
+    if not kept.where("n > 1").isEmpty():
+        out = out.where("__n = 1").union(out.where("__n > 1").dropDuplicates([id_col, "__text_md5"]))
+    return out.select(*docs.columns)

@@ -1,9 +1,11 @@
+import hashlib
 import random
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import quern.llm.neardup as neardup
 from quern.llm.components import components
@@ -143,3 +145,20 @@ def test_components(spark):
     want = {k: 0 for k in range(1, 41)} | {k: 100 for k in range(101, 140)} | {51: 50}
     assert got == want
     assert components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_one_of_each_judges_rows_by_their_own_text(spark):
+    a, b, c, d, e = (prose(90, seed) for seed in (41, 42, 43, 44, 45))
+    rows = [
+        (1, a), (2, a), (2, b), (2, e),  # a copy of a smaller id, and two texts of its own under one id
+        (None, a), (None, a), (None, c), (None, c), (None, c + " more"),  # copies without an id
+        (3, d), (3, d), (3, d + " more"), (4, None), (4, None), (None, None), (5, ""), (6, " \n"),
+    ]
+    df = documents(spark, rows, "'x' AS component_id").withColumn("digest", F.lit(1))
+    out = neardup.one_of_each(df, size=5, percent=80)
+    assert out.columns == df.columns
+    got = sorted((str(r.doc_id), str(r.text)) for r in out.collect())
+    first_c, first_d = (min((t, t + " more"), key=lambda x: hashlib.md5(x.encode()).hexdigest()) for t in (c, d))
+    want = [(1, a), (2, b), (2, e), (None, first_c), (3, first_d), (4, None), (4, None), (None, None), (5, ""), (6, " \n")]
+    assert got == sorted((str(i), str(t)) for i, t in want)
+    assert neardup.one_of_each(df.limit(0)).count() == 0
