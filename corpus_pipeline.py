@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.neardup import near_duplicates
+from quern.llm.neardup import one_of_each
 from quern.llm.packing import pack_documents, word_count
 from quern.llm.quality import fit_quality, judge_quality
 from quern.llm.secrets import BASE_RULES, MORE_RULES, redact, scan_secrets
@@ -24,10 +24,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares 80 % of its five-word shingles: the one of the smallest id."""
-    found = near_duplicates(docs, size=5, percent=80)
-    dropped = stored(found.where("not kept").select("doc_id"), "dropped")
-    return docs.select(*COLUMNS).join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    """One document of each group that shares 80 % of its five-word shingles: the one of the smallest id. A row is judged
+    by its own text, also where ids repeat or are missing."""
+    return one_of_each(docs.select(*COLUMNS), size=5, percent=80)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
