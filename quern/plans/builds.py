@@ -3,16 +3,23 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Callable, Mapping, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern.operators.quality import verdict
-from quern.operators.skew import parts_for
+from quern.operators.skew import null_safe, parts_for
 from quern.operators.windows import latest_per_key
 from quern.plans import versions
-from quern.session import new_folder
+from quern.plans.versions import enforce
+from quern.session import cut_lineage, new_folder
+from quern.sources.rows import add_row, logged_rows, start_log
+from quern.sources.writers import read_partitioned
 
 
 def build_view(df: DataFrame, name: str) -> DataFrame:
@@ -102,62 +109,143 @@ def merge(
     return delete_insert(target, batch, keys, target_predicate)
 
 
-def merge_parts(
-    root: str,
-    batch: DataFrame,
-    keys: Sequence[str],
-    label: Column,
-    window: Sequence[str | None],
+# Tables that loads change in place
+
+
+def replace_parts(rows: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Put the rows in place of the partitions that they fall into; the other partitions are neither read nor written."""
+    rows.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
+def merge_window(
+    path: str, schema: T.StructType, batch: DataFrame, keys: Sequence[str], by: Sequence[str], window: Column | str,
     order: Sequence[str] | None = None,
-    now: dt.datetime | None = None,
-) -> DataFrame:
-    """Merge into a versioned table kept by parts, reading and replacing only the parts in `window`, in one commit.
+) -> DataFrame:
+    """Merge into a table partitioned by the columns `by`, reading and replacing only the partitions inside `window`, a
+    predicate on these columns. Batch rows of other partitions are added to them, even where their key exists there.
 
-    `label` gives the part of a row. Batch rows of other parts are added to those, even where their key exists there.
+    A partition that loses all its rows, since they moved to another one, is left empty. Returns the table. One load at a
+    time; run again after a lost driver, it does what is left to do for rows inside the window.
     """
     spark = batch.sparkSession
-    merged = merge(versions.parts(spark, root, window), batch, keys, order)
-    versions.commit_parts(merged, root, label, window, now)
-    return versions.as_of_version(spark, root)
+    inside = F.coalesce(F.expr(window) if isinstance(window, str) else window, F.lit(False))
+    former = read_partitioned(spark, path, schema).where(inside)
+    rows = cut_lineage(merge(former, batch.select(*schema.names), keys, order))
+    # One row per partition of the window.
+    place = F.min("_metadata.file_path").alias("file")
+    held = spark.read.schema(schema).parquet(path).where(inside).groupBy(*by).agg(place)
+    left = rows.select(*by).distinct()
+    emptied = [r.file for r in held.join(left, null_safe(held, left, by), "left_anti").collect()]
+    replace_parts(rows.where(inside), path, by)
+    rows.where(~inside).write.mode("append").partitionBy(*by).parquet(path)
+    none = spark.createDataFrame([], T.StructType([f for f in schema if f.name not in by]))
+    for file in emptied:
+        none.write.mode("overwrite").parquet(unquote(file.rpartition("/")[0]))
+    return read_partitioned(spark, path, schema)
 
 
 #: Rows that a key part holds, on average, when a table is first written.
 PART_ROWS = 5_000_000
+PART, LOAD = "__part", "__load"
+LOADS = (
+    "load bigint, loaded_at timestamp_ntz, strategy string, row_count bigint, watermark string, keys array<string>, parts int, "
+    "folder string, schema_json string"
+)
+
+
+def loads(spark: SparkSession, root: str) -> DataFrame:
+    """One row per load of a table: what was done, the newest value of its watermark column, and how the table is laid out."""
+    return logged_rows(spark, f"{root}/loads", LOADS)
 
 
-def _key_parts(keys: Sequence[str], n: int) -> Column:
-    """The part of a row: a hash of its key, so that a key is in the same part at every load."""
-    return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("string")
+def last_load(spark: SparkSession, root: str) -> Row | None:
+    return loads(spark, root).orderBy(F.desc("load")).first()
+
+
+def read_table(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of a table that `build_incremental` or `load_by_key` keeps."""
+    past = last_load(spark, root)
+    if past is None:
+        raise LookupError(f"{root} has not been loaded")
+    return _rows(spark, root, past)
+
+
+def _rows(spark: SparkSession, root: str, past: Row, touched: Sequence[int] | None = None) -> DataFrame:
+    """A table's rows; with `touched` only those of these key parts."""
+    schema, column = T.StructType.fromJson(json.loads(past.schema_json)), PART if past.keys else LOAD
+    rows = spark.read.schema(T.StructType(schema.fields).add(column, T.LongType())).parquet(f"{root}/{past.folder}")
+    if not past.keys:
+        # Rows of a load that did not finish are not in the table.
+        rows = rows.where(F.col(LOAD) <= past.load)
+    elif touched is not None:
+        rows = rows.where(F.col(PART).isin(list(touched)))
+    return rows.select(*schema.names)
+
+
+def _counted(rows: DataFrame, ts_col: str | None) -> tuple[DataFrame, Observation]:
+    """The rows, counted and with the newest watermark while they are written."""
+    seen = Observation(f"load-{uuid.uuid4().hex}")
+    newest = (F.max(ts_col).cast("string") if ts_col else F.lit(None).cast("string")).alias("newest")
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows"), newest), seen
 
 
 def load_by_key(
     root: str,
     batch: DataFrame,
     keys: Sequence[str],
-    combine: Callable[[DataFrame, DataFrame], DataFrame],
+    combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
     now: dt.datetime | None = None,
-    watermark: str | None = None,
-    micro: versions.Batch | None = None,
+    ts_col: str | None = None,
+    strategy: str = "merge",
+    afresh: bool = False,
     part_rows: int = PART_ROWS,
 ) -> None:
-    """Combine a batch with the target's rows in the key parts that the batch touches; other parts are not opened.
+    """Combine a batch with the target's rows in the key parts that the batch touches, and replace these parts.
 
-    How many parts there are is fixed by the first load and kept in the history, with the keys. A table that was written
-    otherwise is divided once.
+    A key part is a partition of the table, numbered by a hash of the key, so a key is in the same part at every load. How
+    many there are is fixed by the first load. A table that has no key parts, or parts of another key, is written anew with
+    them once; so it is with `afresh`, which leaves out the former rows. Loading the same batch again changes nothing.
     """
     spark = batch.sparkSession
-    past = versions.latest(spark, root)
-    layout = past.layout if past else None
-    made_by = f"{','.join(keys)}:"
-    if past and layout and layout.startswith(made_by):
-        label = _key_parts(keys, int(layout.removeprefix(made_by)))
-        touched = [r[0] for r in batch.select(label).distinct().collect()]
-        rows = combine(versions.parts(spark, root, touched), batch)
-        versions.commit_parts(rows, root, label, touched, now, micro, watermark)
-        return
-    rows = combine(versions.as_of_version(spark, root), batch) if past else batch
-    n = parts_for(rows, part_rows, 8)
-    versions.commit_parts(rows, root, _key_parts(keys, n), None, now, micro, watermark, f"{made_by}{n}")
+    start_log(spark, f"{root}/loads", LOADS)
+    past = last_load(spark, root)
+    number = past.load + 1 if past else 0
+    if past and not afresh and past.keys == list(keys):
+        n, folder = past.parts, past.folder
+        enforce(batch, T.StructType.fromJson(json.loads(past.schema_json)))
+        touched = [r[0] for r in batch.select(_key_part(keys, n)).distinct().collect()]
+        rows = combine(_rows(spark, root, past, touched), batch) if combine else batch
+    else:
+        rows = combine(_rows(spark, root, past), batch) if past and combine and not afresh else batch
+        n, folder = parts_for(rows, part_rows, 8), f"data-{number}"
+    rows, seen = _counted(rows, ts_col)
+    replace_parts(rows.withColumn(PART, _key_part(keys, n)), f"{root}/{folder}", [PART])
+    newest = max(filter(None, [seen.get["newest"], past.watermark if past and not afresh else None]), default=None)
+    schema = batch.schema.json() if not past or afresh else past.schema_json
+    _log(spark, root, (number, now, strategy, seen.get["rows"], newest, list(keys), n, folder, schema))
+
+
+def _key_part(keys: Sequence[str], n: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("bigint")
+
+
+def _log(spark: SparkSession, root: str, row: tuple) -> None:
+    at = row[1] or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    add_row(spark, f"{root}/loads", LOADS, (row[0], at, *row[2:]))
+
+
+def _add(root: str, batch: DataFrame, past: Row | None, now: dt.datetime | None, ts_col: str | None, strategy: str) -> None:
+    """Write the batch as the partition of its load, which readers see once the load is in the log."""
+    spark, number = batch.sparkSession, past.load + 1 if past else 0
+    adds = strategy == "append" and past is not None
+    schema = T.StructType.fromJson(json.loads(past.schema_json)) if adds else batch.schema
+    if adds:
+        enforce(batch, schema)
+    rows, seen = _counted(batch.select(*schema.names), ts_col)
+    folder = past.folder if adds else f"data-{number}"
+    rows.write.mode("overwrite").parquet(f"{root}/{folder}/{LOAD}={number}")
+    newest = seen.get["newest"] or (past.watermark if adds else None)
+    _log(spark, root, (number, now, strategy, seen.get["rows"], newest, None, None, folder, schema.json()))
 
 
 def build_incremental(
@@ -170,28 +258,33 @@ def build_incremental(
     full_refresh: bool = False,
     now: dt.datetime | None = None,
 ) -> DataFrame:
-    """Load a batch into a versioned table.
+    """Load a batch into a table and return it.
 
-    First run and full refresh write the whole batch. Later runs take the rows past the watermark (`ts_col`) and
-    append, merge or delete-and-insert them; the last two read and replace only the parts that hold the batch's keys.
+    First run and full refresh write the whole batch, laid out by key if the strategy needs keys. Later runs take the rows
+    past the watermark (`ts_col`) and append, merge or delete-and-insert them; the last two read and replace only the key
+    parts that the batch touches. A full refresh goes to a folder of its own, which readers see when it is complete.
     """
     spark = batch.sparkSession
     if strategy not in ("append", "merge", "delete+insert"):
         raise ValueError(f"strategy {strategy!r} is not append, merge or delete+insert")
-    versions.create(spark, root)
-    past = None if full_refresh else versions.latest(spark, root)
-    if past is None:
-        versions.commit(batch, root, "overwrite", now, watermark=ts_col)
-        return versions.as_of_version(spark, root)
-    target = versions.as_of_version(spark, root)
-    fresh = new_rows(batch, target, ts_col, past.watermark) if ts_col else batch
-    if strategy == "append":
-        versions.commit(fresh, root, "append", now, watermark=ts_col)
-    elif strategy == "merge":
+    start_log(spark, f"{root}/loads", LOADS)
+    past = last_load(spark, root)
+    if past is None or full_refresh:
+        if keys:
+            load_by_key(root, batch, keys, None, now, ts_col, "full", afresh=True)
+        else:
+            _add(root, batch, past, now, ts_col, "full")
+        return read_table(spark, root)
+    fresh = new_rows(batch, _rows(spark, root, past), ts_col, past.watermark) if ts_col else batch
+    if strategy == "merge":
         load_by_key(root, fresh, keys, lambda old, new: merge(old, new, keys, order), now, ts_col)
+    elif strategy == "delete+insert":
+        load_by_key(root, fresh, keys, lambda old, new: delete_insert(old, new, keys), now, ts_col, strategy)
+    elif past.keys:
+        load_by_key(root, fresh, past.keys, append, now, ts_col, strategy)
     else:
-        load_by_key(root, fresh, keys, lambda old, new: delete_insert(old, new, keys), now, ts_col)
-    return versions.as_of_version(spark, root)
+        _add(root, fresh, past, now, ts_col, strategy)
+    return read_table(spark, root)
 
 
 # Gates
@@ -232,8 +325,9 @@ def publish(df: DataFrame, checks: Mapping[str, tuple], root: str, now: dt.datet
     The rows are written once, where no reader looks yet. They become the next version only if no check ends in an
     error; readers of `versions.as_of_version(spark, root)` see the former one until then.
     """
-    staged = versions.stage(df, root, "overwrite", now)
-    return _publish_if_good(staged.rows(), checks, staged.finish)
+    spark, entry = df.sparkSession, versions.write_next(df, root, "overwrite", now)
+    staged = versions.partitions(spark, root, entry).drop(versions.VERSION)
+    return _publish_if_good(staged, checks, lambda: versions.record(spark, root, entry))
 
 
 # Audit
@@ -250,8 +344,7 @@ def audited(
     )
 
     def log(rows: int | None, status: str) -> None:
-        row = spark.createDataFrame([(run_id, name, rows, status, started, now())], schema)
-        row.coalesce(1).write.mode("append").parquet(audit_path)
+        add_row(spark, audit_path, schema, (run_id, name, rows, status, started, now()))
 
     try:
         built = write_fn()

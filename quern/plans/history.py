@@ -10,7 +10,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.plans import versions
@@ -93,8 +93,8 @@ def snapshot_check(
     return _advance(prev, new, key, differs, F.lit(run_at) if close_deleted else None)
 
 
-# Parts of a stored history.
-OPEN, CLOSED = "open", "closed"
+#: Folder column of a stored history, in the folder of each run: open versions as of the run, or versions that it closed.
+STATE, OPEN, CLOSED = "__state", "open", "closed"
 
 
 def store_history(
@@ -106,21 +106,33 @@ def store_history(
     run_at: dt.datetime | None = None,
     close_deleted: bool = False,
 ) -> DataFrame:
-    """Bring a history kept as a versioned table up to date, by timestamp (`updated_at`) or by compared `cols`.
+    """Bring a stored history up to date, by timestamp (`updated_at`) or by compared `cols`, and return it.
 
-    Open and closed versions are separate parts. A run reads and replaces the open part and adds what it closed; the
-    closed part, which only grows, is neither read nor written again.
+    A run reads the open versions of the run before and writes those that are open now next to those that it closed, as one
+    version of a table; what earlier runs closed is neither read nor written again.
     """
     spark = cur.sparkSession
-    versions.create(spark, root)
-    prev = versions.parts(spark, root, [OPEN]) if versions.latest(spark, root) else None
+    versions.start_log(spark, f"{root}/history", versions.HISTORY)
+    past = versions.entry_of(spark, root)
+    prev = None
+    if past:
+        prev = versions.partitions(spark, root, past, past.version).where(F.col(STATE) == OPEN).drop(STATE, versions.VERSION)
     if updated_at:
         moved = snapshot_timestamp(prev, cur, key, updated_at, close_deleted, run_at)
     else:
         moved = snapshot_check(prev, cur, key, cols, run_at, close_deleted)
-    state = F.when(F.col(VALID_TO).isNull(), F.lit(OPEN)).otherwise(F.lit(CLOSED))
-    versions.commit_parts(moved, root, state, (OPEN,), run_at)
-    return versions.as_of_version(spark, root)
+    moved = moved.withColumn(STATE, F.when(F.col(VALID_TO).isNull(), F.lit(OPEN)).otherwise(F.lit(CLOSED)))
+    versions.commit(moved.hint("rebalance", STATE), root, "append", run_at, by=[STATE])
+    return stored_history(spark, root)
+
+
+def stored_history(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """A stored history as of a run, of the last without one: its open versions, and what it and earlier runs closed."""
+    entry = versions.entry_of(spark, root, version)
+    if entry is None:
+        raise LookupError(f"{root} holds no such history")
+    now = (F.col(STATE) == CLOSED) | (F.col(versions.VERSION) == entry.version)
+    return versions.partitions(spark, root, entry).where(now).drop(STATE, versions.VERSION)
 
 
 def moved_back(prev: DataFrame, cur: DataFrame, key: str, updated_at: str) -> DataFrame:

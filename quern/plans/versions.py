@@ -1,115 +1,46 @@
-"""Versioned tables on Parquet: numbered commits, time travel, change feed.
+"""Versioned tables: numbered commits, time travel, change feed.
 
-A commit writes one immutable data folder and then one history row. Readers go by the history, so a folder whose
-commit did not finish is never seen and is overwritten by the next try. A version is a set of folders: an append adds
-one, an overwrite leaves only its own, and a commit by parts replaces the parts it names and carries the others over
-without touching them. Every history row lists the folders of its version, so reading or committing opens the latest row
-only, however long the history is; `compact` gathers many small folders into one. One writer at a time.
+The rows of a commit are one partition of a plain Parquet table, and a small table beside it has a row per commit. An append
+adds its partition to what was there; an overwrite starts anew. So a version is the partitions from its last overwrite
+(`base`) up to its own number, which is a filter on the partition column. A partition without a history row is a commit that
+did not finish: no reader sees it, and the next commit writes over it. One writer at a time.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
 import json
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.operators.quality import contract
 from quern.operators.skew import null_safe
+from quern.sources.rows import add_row, logged_rows, start_log
 
 HISTORY = (
-    "version bigint, committed_at timestamp_ntz, operation string, row_count bigint, schema_json string, "
-    "batch_id bigint, writer string, watermark string, layout string, "
-    "live array<struct<version: bigint, part: string>>, batches map<string, bigint>"
+    "version bigint, base bigint, committed_at timestamp_ntz, operation string, row_count bigint, schema_json string, "
+    "writer string, batch_id bigint"
 )
-WHOLE = "*"  # the part of a commit that is not divided
-PART = "__part"  # the folder column of a divided commit
-# Longer labels are kept by their hash, as folder names have a limit.
-LABEL_BYTES = 100
+VERSION = "__version"  # the partition column
 
 # Column names of the change feed.
 CHANGE_TYPE, CHANGE_VERSION, CHANGE_TIME = "_change_type", "_commit_version", "_commit_timestamp"
 
 
-def _folder(root: str, version: int, part: str = WHOLE) -> str:
-    folder = f"{root}/data/version-{version:09d}"
-    return folder if part == WHOLE else f"{folder}/{PART}={part}"
-
-
-def part_name(label: str | None) -> str:
-    """The folder name of a label: letters and digits only, whatever the label holds; null has a folder of its own."""
-    if label is None:
-        return "null"
-    raw = label.encode("utf-8")
-    return f"x{raw.hex().upper()}" if len(raw) <= LABEL_BYTES else f"h{hashlib.sha256(raw).hexdigest()}"
-
-
-def _part_column(label: Column) -> Column:
-    """`part_name` as a column."""
-    text = label.cast("string")
-    short = F.concat(F.lit("x"), F.hex(F.encode(text, "utf-8")))
-    named = F.when(F.octet_length(text) <= LABEL_BYTES, short).otherwise(F.concat(F.lit("h"), F.sha2(text, 256)))
-    return F.when(text.isNull(), F.lit("null")).otherwise(named)
-
-
-def _names(spark: SparkSession, path: str) -> list[str]:
-    """Names in a folder, through Spark's own file systems."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [s.getPath().getName() for s in system.listStatus(folder)] if system.exists(folder) else []
-
-
-def create(spark: SparkSession, root: str) -> None:
-    """Make an empty history, unless there is one."""
-    spark.createDataFrame([], HISTORY).write.mode("ignore").parquet(f"{root}/history/start")
-
-
 def history(spark: SparkSession, root: str) -> DataFrame:
-    """One row per commit: version, time, operation, rows."""
-    return spark.read.schema(HISTORY).parquet(f"{root}/history/*")
-
-
-def commits(spark: SparkSession, root: str) -> list:
-    """The whole history as rows in version order; reading and committing do without it."""
-    return sorted(history(spark, root).collect(), key=lambda r: r.version)
-
+    """One row per commit; none for a table that is not there."""
+    return logged_rows(spark, f"{root}/history", HISTORY)
 
-def entry_of(spark: SparkSession, root: str, version: int):
-    """The history row of a version, or None."""
-    name = f"version-{version:09d}"
-    if name not in _names(spark, f"{root}/history"):
-        return None
-    return spark.read.schema(HISTORY).parquet(f"{root}/history/{name}").first()
 
-
-def latest(spark: SparkSession, root: str):
-    """The history row of the newest version, or None. One listing of names, one small file."""
-    for name in sorted((n for n in _names(spark, f"{root}/history") if n.startswith("version-")), reverse=True):
-        # A folder without a row is a commit that did not finish.
-        if row := spark.read.schema(HISTORY).parquet(f"{root}/history/{name}").first():
-            return row
-    return None
-
-
-def _schema(entry) -> T.StructType:
-    return T.StructType.fromJson(json.loads(entry.schema_json))
-
-
-def _live(entry) -> set[tuple[int, str]]:
-    return {(item.version, item.part) for item in entry.live} if entry else set()
-
-
-def _read(spark: SparkSession, root: str, entry, live: set[tuple[int, str]]) -> DataFrame:
-    """Rows of folders under the schema of a commit."""
-    schema = _schema(entry)
-    if not live:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*[_folder(root, version, part) for version, part in sorted(live)])
+def entry_of(spark: SparkSession, root: str, version: int | None = None) -> Row | None:
+    """The history row of a version, of the newest without one; None if there is none."""
+    known = history(spark, root)
+    if version is not None:
+        known = known.where(F.col("version") == version)
+    return known.orderBy(F.desc("version")).first()
 
 
 def enforce(df: DataFrame, schema: T.StructType, merge_schema: bool = False) -> T.StructType:
@@ -125,186 +56,60 @@ def enforce(df: DataFrame, schema: T.StructType, merge_schema: bool = False) ->
     return T.StructType(schema.fields + [f for f in df.schema if f.name not in schema.names])
 
 
-@dataclass(frozen=True)
-class Batch:
-    """A micro-batch: its number, and who numbers it. Numbers of different writers have nothing to do with each other."""
-
-    writer: str
-    number: int
-
-
-@dataclass(frozen=True)
-class Staged:
-    """Rows written for the next version that no reader sees yet."""
-
-    spark: SparkSession
-    root: str
-    entry: tuple
-
-    def rows(self) -> DataFrame:
-        version, schema = self.entry[0], T.StructType.fromJson(json.loads(self.entry[4]))
-        return self.spark.read.schema(schema).parquet(_folder(self.root, version))
-
-    def finish(self) -> int:
-        """Make the rows the latest version and return its number."""
-        _record(self.spark, self.root, self.entry)
-        return self.entry[0]
+def write_next(
+    df: DataFrame, root: str, mode: str = "append", now: dt.datetime | None = None, merge_schema: bool = False,
+    writer: str | None = None, batch_id: int | None = None, by: Sequence[str] = (),
+) -> Row:
+    """Write the rows of the next version, which no reader sees until its history row, returned here, is recorded.
 
-
-def _time(past, now: dt.datetime | None) -> dt.datetime:
-    """The time of the next commit; one before the last commit would make reading by time ambiguous."""
+    `by` divides the version's folder further, for readers that want some of its rows.
+    """
+    if mode not in ("append", "overwrite"):
+        raise ValueError(f"mode {mode!r} is neither append nor overwrite")
+    spark = df.sparkSession
+    start_log(spark, f"{root}/history", HISTORY)
+    past = entry_of(spark, root)
     at = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     if past and at < past.committed_at:
+        # A time before the last commit would make reading by time ambiguous.
         if now:
             raise ValueError(f"{now} lies before the last commit, {past.committed_at}")
         at = past.committed_at
-    return at
-
+    version, schema = past.version + 1 if past else 0, df.schema
+    adds = mode == "append" and past is not None
+    if adds:
+        schema = enforce(df, T.StructType.fromJson(json.loads(past.schema_json)), merge_schema)
+    counted = Observation(f"commit-{version}")
+    writer_of = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    (writer_of.partitionBy(*by) if by else writer_of).parquet(f"{root}/data/{VERSION}={version}")
+    values = (version, past.base if adds else version, at, mode, counted.get["rows"], schema.json(), writer, batch_id)
+    return Row(*spark.createDataFrame([], HISTORY).columns)(*values)
 
-def _newest(watermark: str | None) -> list[Column]:
-    return [F.max(watermark).cast("string").alias("newest")] if watermark else [F.lit(None).cast("string").alias("newest")]
 
+def record(spark: SparkSession, root: str, entry: Row) -> int:
+    """Add the history row, which makes a version visible."""
+    add_row(spark, f"{root}/history", HISTORY, tuple(entry))
+    return entry.version
 
-def _batches(past, batch: Batch | None) -> dict[str, int]:
-    done = dict(past.batches or {}) if past else {}
-    return done | ({batch.writer: batch.number} if batch else {})
 
+def commit(df: DataFrame, root: str, *args, **options) -> int:
+    """Write the rows as the next version and return its number; the arguments are those of `write_next`."""
+    return record(df.sparkSession, root, write_next(df, root, *args, **options))
 
-def done_before(spark: SparkSession, root: str, batch: Batch) -> bool:
-    """Whether this writer's batch is in the table already."""
-    past = latest(spark, root)
-    return bool(past) and batch.number <= (past.batches or {}).get(batch.writer, -1)
 
-
-def stage(
-    df: DataFrame,
-    root: str,
-    mode: str = "append",
-    now: dt.datetime | None = None,
-    merge_schema: bool = False,
-    batch: Batch | None = None,
-    watermark: str | None = None,
-) -> Staged:
-    """Write the rows of the next version. Staging again before `finish` replaces what was staged.
-
-    The greatest value of the column `watermark` goes into the history, so the next load need not look for it.
-    """
-    if mode not in ("append", "overwrite"):
-        raise ValueError(f"mode {mode!r} is neither append nor overwrite")
-    spark = df.sparkSession
-    create(spark, root)
-    past = latest(spark, root)
-    at = _time(past, now)
-    version = past.version + 1 if past else 0
-    if mode == "append" and past:
-        schema = enforce(df, _schema(past), merge_schema)
-        df = df.select(*[c for c in schema.names if c in df.columns])
-    else:
-        schema = df.schema
-    written = Observation(f"commit-{version}")
-    counted = df.observe(written, F.count(F.lit(1)).alias("rows"), *_newest(watermark))
-    counted.write.mode("overwrite").parquet(_folder(root, version))
-    kept = sorted(_live(past)) if mode == "append" else []
-    newest = written.get["newest"] or (past.watermark if past and mode == "append" else None)
-    entry = (
-        version, at, mode, written.get["rows"], schema.json(), batch.number if batch else None,
-        batch.writer if batch else None, newest, None, [*kept, (version, WHOLE)], _batches(past, batch),
-    )
-    return Staged(spark, root, entry)
-
-
-def commit(
-    df: DataFrame,
-    root: str,
-    mode: str = "append",
-    now: dt.datetime | None = None,
-    merge_schema: bool = False,
-    batch: Batch | None = None,
-    watermark: str | None = None,
-) -> int:
-    """Write the rows as the next version and return its number."""
-    return stage(df, root, mode, now, merge_schema, batch, watermark).finish()
-
-
-def commit_parts(
-    df: DataFrame,
-    root: str,
-    label: Column,
-    replaces: Sequence[str | None] | None = (),
-    now: dt.datetime | None = None,
-    batch: Batch | None = None,
-    watermark: str | None = None,
-    layout: str | None = None,
-) -> int:
-    """Write rows divided by a label as the next version, in place of the parts in `replaces` (None: of everything).
-
-    Parts of earlier versions that are not replaced stay in the table as they are, so a commit costs what it writes. A
-    label may be any text, or null, which is a part of its own. `layout` says how labels are made, for the next commit.
-    """
-    spark = df.sparkSession
-    if any(c.lower() == PART for c in df.columns):
-        raise ValueError(f"the column name {PART} is reserved")
-    create(spark, root)
-    past = latest(spark, root)
-    at = _time(past, now)
-    version = past.version + 1 if past else 0
-    if past and replaces is not None:
-        enforce(df, _schema(past))
-        df = df.select(*_schema(past).names)
-    written = Observation(f"commit-{version}")
-    divided = df.withColumn(PART, _part_column(label)).observe(
-        written, F.count(F.lit(1)).alias("rows"), F.collect_set(PART).alias("parts"), *_newest(watermark)
-    )
-    divided.write.mode("overwrite").partitionBy(PART).parquet(_folder(root, version))
-    gone = {part_name(name) for name in replaces or ()}
-    kept = [] if replaces is None else sorted(item for item in _live(past) if item[1] not in gone)
-    entry = (
-        version, at, "replace", written.get["rows"], df.schema.json(), batch.number if batch else None,
-        batch.writer if batch else None, written.get["newest"] or (past.watermark if past else None),
-        layout or (past.layout if past else None),
-        [*kept, *((version, part) for part in sorted(written.get["parts"]))], _batches(past, batch),
-    )
-    _record(spark, root, entry)
-    return version
-
-
-def compact(spark: SparkSession, root: str, now: dt.datetime | None = None) -> int:
-    """Gather the folders of every part into one, as a version with the same rows; earlier versions stay readable."""
-    past = latest(spark, root)
-    live = _live(past)
-    crowded = sorted({part for _, part in live if sum(p == part for _, p in live) > 1})
-    version = past.version + 1
-    for part in crowded:
-        rows = _read(spark, root, past, {item for item in live if item[1] == part})
-        rows.hint("rebalance").write.mode("overwrite").parquet(_folder(root, version, part))
-    kept = sorted(item for item in live if item[1] not in crowded)
-    entry = (
-        version, _time(past, now), "compact", 0, past.schema_json, None, None, past.watermark, past.layout,
-        [*kept, *((version, part) for part in crowded)], dict(past.batches or {}),
-    )
-    _record(spark, root, entry)
-    return version
-
-
-def _record(spark: SparkSession, root: str, entry: tuple) -> None:
-    """The history row, which makes a commit visible."""
-    row = spark.createDataFrame([entry], HISTORY).coalesce(1)
-    row.write.mode("overwrite").parquet(f"{root}/history/version-{entry[0]:09d}")
+def partitions(spark: SparkSession, root: str, entry: Row, first: int | None = None) -> DataFrame:
+    """Rows of the partitions from `first` (the version's base) to a version, with their number."""
+    schema = T.StructType.fromJson(json.loads(entry.schema_json)).add(VERSION, T.LongType())
+    rows = spark.read.schema(schema).parquet(f"{root}/data").select(*schema.names)
+    return rows.where(F.col(VERSION).between(entry.base if first is None else first, entry.version))
 
 
 def as_of_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     """Rows as of a version; of the latest without one."""
-    entry = latest(spark, root) if version is None else entry_of(spark, root, version)
+    entry = entry_of(spark, root, version)
     if entry is None:
         raise LookupError(f"{root} has no versions" if version is None else f"{root} has no version {version}")
-    return _read(spark, root, entry, _live(entry))
-
-
-def parts(spark: SparkSession, root: str, labels: Sequence[str | None]) -> DataFrame:
-    """Rows of some parts of the latest version; no other folder is opened."""
-    past = latest(spark, root)
-    wanted = {part_name(label) for label in labels}
-    return _read(spark, root, past, {item for item in _live(past) if item[1] in wanted})
+    return partitions(spark, root, entry).drop(VERSION)
 
 
 def as_of_time(spark: SparkSession, root: str, at: dt.datetime) -> DataFrame:
@@ -317,7 +122,7 @@ def as_of_time(spark: SparkSession, root: str, at: dt.datetime) -> DataFrame:
 
 
 def compare(before: DataFrame, after: DataFrame, key: list[str]) -> DataFrame:
-    """Row changes between two states that are unique on `key`."""
+    """Row changes between two states that are unique on `key`, by one null-safe full join."""
     cols = after.columns
     before = before.select(*[F.col(c) if c in before.columns else F.lit(None).alias(c) for c in cols])
     b = before.select(F.struct(*cols).alias("b"), *[F.col(k).alias(f"__b_{i}") for i, k in enumerate(key)])
@@ -341,66 +146,50 @@ def compare(before: DataFrame, after: DataFrame, key: list[str]) -> DataFrame:
 
 
 def change_feed(spark: SparkSession, root: str, key: list[str], start: int = 0, end: int | None = None) -> DataFrame:
-    """Row changes made by the commits start … end, both included.
-
-    Only folders that a commit added or dropped are read; an append is a list of inserts and is compared with nothing.
-    """
-    last = latest(spark, root).version if end is None else end
-    asked = history(spark, root).where(F.col("version").between(start - 1, last)).collect()
-    past = {r.version: r for r in asked}
-    if last not in past:
+    """Row changes made by the commits start … end, both included. Appends are inserts, read from their own partitions;
+    an overwrite is compared with the version before it."""
+    asked = history(spark, root).where(F.col("version") >= start)
+    asked = sorted((asked if end is None else asked.where(F.col("version") <= end)).collect(), key=lambda r: r.version)
+    if not asked or end not in (None, asked[-1].version):
         raise LookupError(f"{root} has no versions from {start} to {end}")
-    cols = _schema(past[last]).names
-    out = None
-    for number in sorted(n for n in past if n >= start):
-        entry, former = past[number], past.get(number - 1)
-        if entry.operation == "compact":
+    known = spark.createDataFrame(
+        [(e.version, e.committed_at) for e in asked], f"{CHANGE_VERSION} bigint, {CHANGE_TIME} timestamp_ntz"
+    )
+    out, adding = None, {}
+    for e in asked:
+        if e.operation == "append" or e.version == 0:
+            adding.setdefault(e.schema_json, []).append(e)
             continue
-        after, before = _live(entry), _live(former)
-        # Folders in both versions are not read: nothing in them changed.
-        come = _read(spark, root, entry, after - before)
-        gone = before - after
-        if gone:
-            rows = compare(_read(spark, root, former, gone), come, key)
-        else:
-            rows = come.withColumn(CHANGE_TYPE, F.lit("insert"))
-        rows = rows.withColumn(CHANGE_VERSION, F.lit(entry.version).cast("bigint")).withColumn(
-            CHANGE_TIME, F.lit(entry.committed_at).cast("timestamp_ntz")
-        )
+        rows = compare(as_of_version(spark, root, e.version - 1), as_of_version(spark, root, e.version), key)
+        rows = rows.withColumn(CHANGE_VERSION, F.lit(e.version).cast("bigint"))
         out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
-    if out is None:
-        raise LookupError(f"{root} has no versions from {start} to {end}")
-    return out.select(*cols, CHANGE_TYPE, CHANGE_VERSION, CHANGE_TIME)
+    for entries in adding.values():
+        rows = partitions(spark, root, entries[-1], entries[0].version)
+        rows = rows.where(F.col(VERSION).isin([e.version for e in entries])).withColumn(CHANGE_TYPE, F.lit("insert"))
+        rows = rows.withColumnRenamed(VERSION, CHANGE_VERSION)
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    cols = [c for c in out.columns if c not in (CHANGE_TYPE, CHANGE_VERSION)]
+    return out.join(F.broadcast(known), CHANGE_VERSION).select(*cols, CHANGE_TYPE, CHANGE_VERSION, CHANGE_TIME)
 
 
 def apply_changes(state: DataFrame, changes: DataFrame, key: list[str]) -> DataFrame:
     """Apply the changes of one commit to the state before it."""
-    cols = state.columns
     gone = changes.where(F.col(CHANGE_TYPE).isin("delete", "update_preimage")).select(
         *[F.col(k).alias(f"__g_{i}") for i, k in enumerate(key)]
     )
     kept = state.join(gone, null_safe(state, gone, key, [f"__g_{i}" for i in range(len(key))]), "left_anti")
-    come = changes.where(F.col(CHANGE_TYPE).isin("insert", "update_postimage")).select(*cols)
+    come = changes.where(F.col(CHANGE_TYPE).isin("insert", "update_postimage")).select(*state.columns)
     return kept.unionByName(come)
 
 
-def commit_batch(
-    root: str, writer: str, mode: str = "append", now: Callable[[int], dt.datetime] | None = None, crowded: int = 200
-):
-    """A `foreachBatch` function that commits each micro-batch exactly once.
-
-    `writer` names the stream, best by its checkpoint folder: a batch that this writer committed before a restart is
-    skipped, while another stream, or the same one begun anew, has numbers of its own. A table of more than `crowded`
-    folders is compacted.
-    """
+def commit_batch(root: str, writer: str, mode: str = "append", now: Callable[[int], dt.datetime] | None = None):
+    """A `foreachBatch` function that commits each micro-batch exactly once: a batch whose number this writer (best named by
+    its checkpoint folder) has in the history already is skipped."""
 
     def write(rows: DataFrame, number: int) -> None:
-        spark, batch = rows.sparkSession, Batch(writer, number)
-        create(spark, root)
-        if done_before(spark, root, batch):
-            return
-        commit(rows, root, mode, now(number) if now else None, batch=batch)
-        if len(latest(spark, root).live) > crowded:
-            compact(spark, root)
+        start_log(rows.sparkSession, f"{root}/history", HISTORY)
+        own = history(rows.sparkSession, root).where(F.col("writer") == writer)
+        if own.where(F.col("batch_id") >= number).isEmpty():
+            commit(rows, root, mode, now(number) if now else None, writer=writer, batch_id=number)
 
     return write

@@ -15,6 +15,7 @@ from quern.queries import frames
 from quern.queries.registry import plain, query
 from quern.session import new_folder, new_name
 from quern.sources.tables import table
+from quern.sources.writers import write_partitioned
 
 NOON = dt.datetime(2024, 4, 1, 12, 0)
 
@@ -101,7 +102,7 @@ def upsert_batch(df):
 def incr_merge(spark, sf):
     start = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice").withColumn("seq", F.lit(0))
     root = new_folder(spark, "merge")
-    builds.build_incremental(root, start)
+    builds.build_incremental(root, start, None, ["o_orderkey"], "merge")
     merged = builds.build_incremental(root, upsert_batch(start), None, ["o_orderkey"], "merge", ["seq"])
     return merged.drop("seq")
 
@@ -115,7 +116,7 @@ def incr_merge(spark, sf):
 def incr_delete_insert(spark, sf):
     start = table(spark, sf, "orders").select("o_orderkey", "o_totalprice").withColumn("seq", F.lit(0))
     root = new_folder(spark, "delete_insert")
-    builds.build_incremental(root, start)
+    builds.build_incremental(root, start, None, ["o_orderkey"], "delete+insert")
     return builds.build_incremental(root, upsert_batch(start), None, ["o_orderkey"], "delete+insert").drop("seq")
 
 
@@ -127,10 +128,10 @@ def incr_delete_insert(spark, sf):
 )
 def incr_predicates(spark, sf):
     dated = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("o_year"))
-    label, root = F.col("o_year"), new_folder(spark, "by_year")
-    versions.commit_parts(dated, root, label, now=NOON)
+    path = new_folder(spark, "by_year")
+    write_partitioned(dated, path, ["o_year"])
     batch = dated.where("o_orderkey % 8 = 0").withColumn("o_totalprice", F.lit(0.0))
-    return builds.merge_parts(root, batch, ["o_orderkey"], label, [str(year) for year in range(2000, 2010)], now=NOON)
+    return builds.merge_window(path, dated.schema, batch, ["o_orderkey"], ["o_year"], "o_year >= 2000")
 
 
 @query(
@@ -143,12 +144,12 @@ def incr_predicates_parts(spark, sf):
     dated = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("o_year"))
     # Labels with characters that file systems and folder names know otherwise, and null for the years before 1996.
     year = F.col("o_year")
-    label = F.when(year >= 1996, F.concat(F.lit("y/"), year, F.lit("=10:30 %")))
-    root = new_folder(spark, "year_parts")
-    versions.commit_parts(dated, root, label, now=NOON)
-    batch = dated.where("o_orderkey % 8 = 0").withColumn("o_totalprice", F.lit(0.0))
-    window = [f"y/{year}=10:30 %" for year in range(2000, 2010)]
-    return builds.merge_parts(root, batch, ["o_orderkey"], label, window, now=NOON)
+    labelled = dated.withColumn("label", F.when(year >= 1996, F.concat(F.lit("y/"), year, F.lit("=10:30 %"))))
+    path = new_folder(spark, "year_parts")
+    write_partitioned(labelled, path, ["label"])
+    batch = labelled.where("o_orderkey % 8 = 0").withColumn("o_totalprice", F.lit(0.0))
+    window = F.col("label").isin([f"y/{year}=10:30 %" for year in range(2000, 2010)])
+    return builds.merge_window(path, labelled.schema, batch, ["o_orderkey"], ["label"], window).drop("label")
 
 
 @query(

@@ -16,7 +16,7 @@ from quern.functions.expressions import default_to
 from quern.operators.joins import time_bucket
 from quern.operators.skew import broadcast_if_small
 from quern.plans import versions
-from quern.plans.builds import load_by_key, merge
+from quern.plans.builds import load_by_key, merge, read_table
 
 # Fixed values of the risk rules.
 DEFAULT_RISK = 0.1
@@ -186,19 +186,16 @@ def stream_complete(stream: DataFrame, root: str, checkpoint: str) -> DataFrame:
 
 
 def stream_upsert(stream: DataFrame, keys: Sequence[str], root: str, checkpoint: str) -> DataFrame:
-    """Every trigger gives the changed rows only; they replace their keys in the target, of which only the parts that
-    hold these keys are read and written. The micro-batch is kept while it is used, so its state stage runs once."""
+    """Every trigger gives the changed rows only; they replace their keys in the target, of which only the key parts that
+    hold them are read and written. A batch that is run again after a lost driver writes the same rows again. The micro-batch
+    is kept while it is used, so its state stage runs once."""
 
     def write(rows: DataFrame, number: int) -> None:
-        spark, batch = rows.sparkSession, versions.Batch(checkpoint, number)
-        versions.create(spark, root)
-        if versions.done_before(spark, root, batch):
-            return
         kept = rows.persist()
         try:
-            load_by_key(root, kept, keys, lambda old, new: merge(old, new, keys), micro=batch)
+            load_by_key(root, kept, keys, lambda old, new: merge(old, new, keys))
         finally:
             kept.unpersist()
 
     run_batches(stream, write, checkpoint, "update")
-    return versions.as_of_version(stream.sparkSession, root)
+    return read_table(stream.sparkSession, root)

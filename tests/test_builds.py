@@ -1,4 +1,7 @@
 import datetime as dt
+import os
+import re
+from urllib.parse import unquote, urlparse
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +9,7 @@ from pyspark.sql import functions as F
 from quern.operators.quality import is_positive, not_null
 from quern.plans import builds as B
 from quern.plans import versions as V
+from quern.sources.writers import write_partitioned
 from tests.conftest import rows_of
 
 SCHEMA = "id bigint, v string, seq int"
@@ -73,70 +77,102 @@ def test_incremental_runs(spark, folder):
     assert rows_of(out, "id", "v") == [(1, "A"), (2, "b"), (3, "c")]
     refreshed = B.build_incremental(root, df(spark, (7, "z", 1)).withColumn("extra", F.lit(1)), full_refresh=True)
     assert rows_of(refreshed) == [(7, "z", 1, 1)]
-    assert [r.operation for r in V.commits(spark, root)] == ["overwrite", "append", "replace", "overwrite"]
+    assert [r.strategy for r in B.loads(spark, root).orderBy("load").collect()] == ["full", "append", "merge", "full"]
 
 
 PARTS = "id bigint, v string, p int"
 
 
-def folders(out):
-    return {f.rpartition("/")[0].rpartition("data/")[2] for f in out.inputFiles()}
+def written(out):
+    """{folder: times of its files} of a frame read from files."""
+    found = {}
+    for f in out.inputFiles():
+        file = unquote(urlparse(f).path)
+        found.setdefault(os.path.dirname(file), set()).add((file, os.stat(file).st_mtime_ns))
+    return found
 
 
-def test_merge_into_parts(spark, folder):
-    root, label = folder(), F.col("p").cast("string")
+def untouched(before, after):
+    return {os.path.basename(folder) for folder, files in before.items() if after.get(folder) == files}
+
+
+def test_merge_inside_a_window_of_partitions(spark, folder):
+    path = folder()
     rows = [(i, f"v{i}", p) for p in (1, 2, 3) for i in range(p * 10, p * 10 + 3)]
-    V.commit_parts(df(spark, *rows, schema=PARTS), root, label)
+    first = write_partitioned(df(spark, *rows, schema=PARTS), path, ["p"])
+    before = written(first)
     batch = df(spark, (30, "moved", 2), (31, "moved", 2), (32, "moved", 4), (10, "again", 1), schema=PARTS)
-    out = B.merge_parts(root, batch, ["id"], label, ["2", "3"])
+    out = B.merge_window(path, first.schema, batch, ["id"], ["p"], "p in (2, 3)")
     got = rows_of(out, "id", "v", "p")
-    # Part 3 lost all its rows; outside the window nothing is matched.
+    # Partition 3 lost all its rows; outside the window nothing is matched.
     assert [r for r in got if r[0] >= 30] == [(30, "moved", 2), (31, "moved", 2), (32, "moved", 4)]
     assert [r for r in got if r[0] == 10] == [(10, "again", 1), (10, "v10", 1)] and len(got) == 10
-    assert f"version-000000000/__part={V.part_name('1')}" in folders(out)
-    assert f"version-000000000/__part={V.part_name('2')}" not in folders(out)
-    assert rows_of(V.as_of_version(spark, root, 0)) == rows_of(df(spark, *rows, schema=PARTS))
+    after = written(out)
+    # The files of partition 1 are as they were, next to one more.
+    (one,) = [f for f in before if f.endswith("p=1")]
+    assert before[one] < after[one] and not untouched(before, after)
+    again = B.merge_window(path, first.schema, df(spark, (20, "x", 2), schema=PARTS), ["id"], ["p"], "p = 2")
+    assert {"p=1", "p=3", "p=4"} <= untouched(after, written(again)) and rows_of(again.where("id = 20"), "v") == [("x",)]
 
 
-def test_any_label_is_a_part(spark, folder):
-    root, names = folder(), ["10:30", "a/b", None, "", "__HIVE_DEFAULT_PARTITION__", "%3A", "x" * 300, "\u00e9 =", "*", "null"]
+def test_windows_of_any_labels(spark, folder):
+    path, names = folder(), ["10:30", "a/b", None, "%3A", "x" * 200, "\u00e9 =", "*", "null"]
     rows = [(i, name, i) for i, name in enumerate(names)]
-    V.commit_parts(df(spark, *rows, schema=PARTS), root, F.col("v"))
-    assert rows_of(V.as_of_version(spark, root), "id", "v") == [(i, name) for i, name in enumerate(names)]
-    for i, name in enumerate(names):
-        assert rows_of(V.parts(spark, root, [name]), "id") == [(i,)]
-    V.commit_parts(df(spark, (99, None, 0), schema=PARTS), root, F.col("v"), [None, "a/b"])
-    assert {r[0] for r in rows_of(V.as_of_version(spark, root), "id")} == set(range(len(names))) - {1, 2} | {99}
-
-
-def test_a_column_called_part_and_a_reserved_name(spark, folder):
-    root = folder()
-    V.commit_parts(df(spark, (1, "a"), (2, "b"), schema="id bigint, part string"), root, F.col("id"))
-    assert rows_of(V.as_of_version(spark, root)) == [(1, "a"), (2, "b")]
-    with pytest.raises(ValueError, match="reserved"):
-        V.commit_parts(df(spark, (1, "a"), schema="id bigint, __Part string"), folder(), F.col("id"))
-
-
-def test_thousands_of_labels(spark, folder):
-    root = folder()
-    V.commit_parts(spark.range(5000).coalesce(4), root, F.col("id"))
-    assert rows_of(V.parts(spark, root, ["4999", "17"])) == [(17,), (4999,)]
+    first = write_partitioned(df(spark, *rows, schema=PARTS), path, ["v"])
+    assert rows_of(first, "id", "v") == [(i, name) for i, name in enumerate(names)]
+    batch = df(spark, (1, "10:30", 9), (3, "*", 9), (2, None, 9), schema=PARTS)
+    out = B.merge_window(path, first.schema, batch, ["id"], ["v"], F.col("v").isin("a/b", "10:30", "%3A") | F.col("v").isNull())
+    want = [(0, "10:30", 0), (1, "10:30", 9), (2, None, 9), (3, "*", 9)] + [(i, n, i) for i, n in enumerate(names) if i > 3]
+    assert rows_of(out, "id", "v", "p") == rows_of(df(spark, *want, schema=PARTS))
 
 
 def test_merge_leaves_parts_it_does_not_touch(spark, folder):
     root = folder()
     rows = [(i, "old", 0) for i in range(200)]
-    B.build_incremental(root, df(spark, *rows), "seq", ["id"])
-    B.build_incremental(root, df(spark, *rows), None, ["id"], "merge")  # divided by key
-    before = folders(V.as_of_version(spark, root))
+    # The first load lays the table out by key.
+    first = B.build_incremental(root, df(spark, *rows), "seq", ["id"], "merge")
+    before = written(first)
+    assert len(before) == 8 and all(re.search("/__part=[0-7]$", f) for f in before)
     out = B.build_incremental(root, df(spark, (7, "new", 1), (500, "more", 1)), None, ["id"], "merge")
-    after = folders(out)
+    after = written(out)
     assert out.count() == 201 and rows_of(out.where("id = 7"), "v") == [("new",)]
-    assert len(before) == 8 and 6 <= len(before & after) < 8
-    feed = V.change_feed(spark, root, ["id"], 2, 2)
-    assert rows_of(feed, "id", "_change_type") == [(500, "insert"), (7, "update_postimage"), (7, "update_preimage")]
+    assert len(after) == 8 and 6 <= len(untouched(before, after)) < 8
+    # The same batch again changes no row.
+    again = B.build_incremental(root, df(spark, (7, "new", 1), (500, "more", 1)), None, ["id"], "merge")
+    assert rows_of(again) == rows_of(B.read_table(spark, root)) and again.count() == 201
     out = B.build_incremental(root, df(spark, (7, "x", 1), (7, "y", 1)), None, ["id"], "delete+insert")
     assert rows_of(out.where("id = 7"), "v") == [("x",), ("y",)] and out.count() == 202
+    out = B.build_incremental(root, df(spark, (7, "z", 1)), None, None, "append")
+    assert rows_of(out.where("id = 7"), "v") == [("x",), ("y",), ("z",)]
+
+
+def test_a_table_of_another_layout_is_divided_once(spark, folder):
+    root = folder()
+    B.build_incremental(root, df(spark, (1, "a", 1), (2, "b", 2)))
+    B.build_incremental(root, df(spark, (3, "c", 3)))
+    out = B.build_incremental(root, df(spark, (1, "A", 9)), None, ["id"], "merge")
+    assert rows_of(out, "id", "v") == [(1, "A"), (2, "b"), (3, "c")]
+    out = B.build_incremental(root, df(spark, (4, "b", 9)), None, ["v"], "merge")
+    assert rows_of(out, "id", "v") == [(1, "A"), (3, "c"), (4, "b")]
+    folders = [r.folder for r in B.loads(spark, root).orderBy("load").collect()]
+    assert folders == ["data-0", "data-0", "data-2", "data-3"]
+
+
+def test_a_load_that_did_not_finish_is_not_seen(spark, folder):
+    root = folder()
+    B.build_incremental(root, df(spark, (1, "a", 1)), "seq")
+    df(spark, (2, "half", 2)).write.parquet(f"{root}/data-0/__load=1")
+    assert B.read_table(spark, root).count() == 1
+    assert rows_of(B.build_incremental(root, df(spark, (2, "whole", 2)), "seq"), "id", "v") == [(1, "a"), (2, "whole")]
+    with pytest.raises(LookupError):
+        B.read_table(spark, folder())
+
+
+def test_columns_must_fit(spark, folder):
+    root = folder()
+    B.build_incremental(root, df(spark, (1, "a", 1)), None, ["id"], "merge")
+    with pytest.raises(ValueError, match="seq: missing"):
+        B.build_incremental(root, df(spark, (1, "a", 1)).drop("seq"), None, ["id"], "merge")
 
 
 def test_repeated_key_without_an_order_is_an_error(spark, folder):
@@ -151,11 +187,11 @@ def test_repeated_key_without_an_order_is_an_error(spark, folder):
 def test_watermark_comes_from_the_history(spark, folder):
     root = folder()
     B.build_incremental(root, df(spark, (1, "a", 5)), "seq")
-    assert V.latest(spark, root).watermark == "5"
+    assert B.last_load(spark, root).watermark == "5"
     B.build_incremental(root, df(spark, (2, "b", 4), (3, "c", 9)), "seq")
-    assert V.latest(spark, root).watermark == "9" and V.as_of_version(spark, root).count() == 2
+    assert B.last_load(spark, root).watermark == "9" and B.read_table(spark, root).count() == 2
     B.build_incremental(root, df(spark, (4, "d", 9)), "seq")
-    assert V.latest(spark, root).watermark == "9" and V.as_of_version(spark, root).count() == 2
+    assert B.last_load(spark, root).watermark == "9" and B.read_table(spark, root).count() == 2
 
 
 def test_gate_stops_errors_and_lets_warnings_pass(spark, folder):

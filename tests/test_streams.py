@@ -153,6 +153,6 @@ def test_stream_commits_every_batch_once(spark, feed, folder):
         return S.stream_commit(S.read_stream(spark, feed, SCHEMA, files_per_trigger=1), root, checkpoint)
 
     assert go().count() == 9 and go().count() == 9
-    from quern.plans.versions import commits
+    from quern.plans.versions import history
 
-    assert [r.batch_id for r in commits(spark, root)] == [0, 1]
+    assert rows_of(history(spark, root), "batch_id") == [(0,), (1,)]

@@ -58,7 +58,7 @@ def test_history(spark, root):
 
 
 def test_an_append_writes_its_own_rows_only(spark, root):
-    assert spark.read.parquet(f"{root}/data/version-000000003").count() == 1
+    assert spark.read.parquet(f"{root}/data/__version=3").count() == 1
 
 
 def test_change_feed(spark, root):
@@ -78,19 +78,19 @@ def test_feed_applied_to_a_version_gives_the_next(spark, root):
 
 
 def test_unfinished_commit_is_not_seen(spark, own_root):
-    df(spark, (9, "half")).write.parquet(f"{own_root}/data/version-000000004")
+    df(spark, (9, "half")).write.parquet(f"{own_root}/data/__version=4")
     assert V.as_of_version(spark, own_root).count() == 5
     V.commit(df(spark, (7, "g")), own_root, "append", day(5))
     assert rows_of(V.as_of_version(spark, own_root), "id")[-1] == (7,)
 
 
 def test_schema_is_enforced(spark, root):
-    before = len(V.commits(spark, root))
+    before = V.history(spark, root).count()
     with pytest.raises(ValueError, match="v: missing"):
         V.commit(df(spark, (8,), schema="id bigint"), root)
     with pytest.raises(ValueError, match="id: type"):
         V.commit(df(spark, ("8", "x"), schema="id string, v string"), root, merge_schema=True)
-    assert len(V.commits(spark, root)) == before
+    assert V.history(spark, root).count() == before
 
 
 def test_schema_widens_on_request(spark, own_root):
@@ -108,7 +108,7 @@ def test_batch_is_committed_once(spark, folder):
     for batch_id in (0, 1, 1, 0):
         write(df(spark, (batch_id, "x")), batch_id)
     assert rows_of(V.as_of_version(spark, path), "id") == [(0,), (1,)]
-    assert [r.batch_id for r in V.commits(spark, path)] == [0, 1]
+    assert rows_of(V.history(spark, path), "version", "batch_id") == [(0, 0), (1, 1)]
 
 
 def test_empty_commit(spark, folder):
@@ -133,26 +133,39 @@ def test_times_are_kept_to_the_microsecond_and_go_forward(spark, folder):
     path = folder()
     exact = dt.datetime(2024, 1, 1, 10, 0, 0, 123456)
     V.commit(df(spark, (1, "a")), path, "overwrite", exact)
-    assert V.latest(spark, path).committed_at == exact
+    assert V.entry_of(spark, path).committed_at == exact
     with pytest.raises(LookupError):
         V.as_of_time(spark, path, exact - dt.timedelta(microseconds=1))
-    for write in (lambda: V.commit(df(spark, (2, "b")), path, "append", day(1)),
-                  lambda: V.commit_parts(df(spark, (2, "b")), path, F.col("v"), now=day(1))):
-        with pytest.raises(ValueError, match="before"):
-            write()
+    with pytest.raises(ValueError, match="before"):
+        V.commit(df(spark, (2, "b")), path, "append", day(1))
     assert V.as_of_time(spark, path, exact).count() == 1
 
 
-def test_long_history_is_compacted(spark, folder):
+def test_many_commits_of_a_stream(spark, folder):
     path = folder()
-    write = V.commit_batch(path, "stream", crowded=20)
-    for number in range(60):
+    write = V.commit_batch(path, "stream")
+    for number in range(15):
         write(spark.range(number, number + 1).selectExpr("id", "'x' AS v").coalesce(1), number)
-    last = V.latest(spark, path)
-    assert len(last.live) <= 21 and last.version > 60
-    assert sorted(r.id for r in V.as_of_version(spark, path).collect()) == list(range(60))
-    feed = V.change_feed(spark, path, ["id"])
-    assert feed.count() == 60 and feed.where("_change_type <> 'insert'").isEmpty()
+    assert V.entry_of(spark, path).version == 14
+    assert sorted(r.id for r in V.as_of_version(spark, path).collect()) == list(range(15))
+    assert sorted(r.id for r in V.as_of_version(spark, path, 3).collect()) == [0, 1, 2, 3]
+    feed = V.change_feed(spark, path, ["id"], 4, 9)
+    assert rows_of(feed, V.CHANGE_VERSION, "id", V.CHANGE_TYPE) == rows_of(spark.range(4, 10).selectExpr("id", "id AS n", "'insert' AS t"))
+
+
+def test_a_version_reads_its_own_partitions(spark, root):
+    plan = V.as_of_version(spark, root, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "__version" in plan.split("PartitionFilters")[1]
+    assert {f.split("__version=")[1].split("/")[0] for f in V.as_of_version(spark, root, 3).inputFiles()} >= {"2", "3"}
+
+
+def test_an_overwrite_may_change_the_columns(spark, folder):
+    path = folder()
+    V.commit(df(spark, (1, "a")), path, "overwrite")
+    V.commit(df(spark, (2, 2.5), schema="id bigint, v double"), path, "overwrite")
+    V.commit(df(spark, (3, 3.5), schema="id bigint, v double"), path, "append")
+    assert rows_of(V.as_of_version(spark, path)) == [(2, 2.5), (3, 3.5)] and rows_of(V.as_of_version(spark, path, 0)) == [(1, "a")]
+    assert rows_of(V.change_feed(spark, path, ["id"], 2), "id", "v") == [(3, 3.5)]
 
 
 def test_compare_with_composite_and_null_keys(spark):
@@ -166,6 +179,7 @@ def test_compare_with_composite_and_null_keys(spark):
 def test_staged_rows_are_not_seen(spark, folder):
     path = folder()
     V.commit(df(spark, (1, "a")), path, "overwrite")
-    staged = V.stage(df(spark, (2, "b")), path, "overwrite")
-    assert rows_of(staged.rows(), "id") == [(2,)] and rows_of(V.as_of_version(spark, path), "id") == [(1,)]
-    assert staged.finish() == 1 and rows_of(V.as_of_version(spark, path), "id") == [(2,)]
+    entry = V.write_next(df(spark, (2, "b")), path, "overwrite")
+    assert rows_of(V.as_of_version(spark, path), "id") == [(1,)]
+    assert rows_of(V.partitions(spark, path, entry), "id") == [(2,)]
+    assert V.record(spark, path, entry) == 1 and rows_of(V.as_of_version(spark, path), "id") == [(2,)]
