@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from quern.llm.components import components
 from quern.llm.sketches import band_hashes, band_shape, common, set_digest, shingle_sets, sketch_sets
 from quern.llm.storage import stored
+from quern.operators.skew import broadcast_if_small
 
 #: Buckets up to this many classes are compared in full.
 SMALL = 12
@@ -294,8 +295,16 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     digest of its text. Groups are those of `near_duplicates`, row by row: of one id's texts only the copies go, and copies
     without any id leave one. Rows that repeat in whole leave one too. Texts without words all stay.
     """
-    # Texts are named by a hash of their own, so that ids that repeat do not tie them together.
-    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.md5(text_col)).alias("text_id"))
+    text = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    # An id with several texts, or none, does not name a text; a hash of the text does then.
+    by_id = text.groupBy("id").agg(F.min(F.md5("text")).alias("least"), F.max(F.md5("text")).alias("most"))
+    odd = stored(by_id.where("least <> most or id is null").select(F.col("id").alias("odd")), "odd-ids")
+    if odd.isEmpty():
+        named = text.withColumn("text_id", F.col("id"))
+    else:
+        marked = text.join(broadcast_if_small(odd.withColumn("is_odd", F.lit(True))), F.col("id").eqNullSafe(F.col("odd")), "left")
+        text_id = F.when(F.col("is_odd"), F.xxhash64(F.md5("text"))).otherwise(F.col("id")).alias("text_id")
+        named = marked.select("id", "text", text_id)
     found = stored(group_rows(named, "text_id", "text", size, percent, "id").drop("doc_id").withColumnRenamed("row_id", "doc_id"), "grouped")
     group = F.coalesce(F.col("root").cast("string"), F.hex("digest")).alias("group")
     rows = found.where("digest is not null").groupBy(group, "doc_id", "text_md5").agg(F.count(F.lit(1)).alias("n"))
