@@ -83,3 +83,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, label: str = "round") -> DataFrame:
+    """Write the rows as a table in the shared folder and go on from there.
+
+    A checkpoint keeps the optimizer's estimates, and a join multiplies those of its sides: after some rounds of joins of a
+    table with itself they are numbers of millions of digits. A table has the size of its files.
+    """
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

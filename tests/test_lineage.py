@@ -147,3 +147,53 @@ def test_a_node_with_most_edges(spark):
     pairs = [(0, i) for i in range(1, 400)] + [(i, 1000) for i in range(1, 400)] + [(1000, 1001)]
     found = G.downstream(edges(spark, pairs), nodes(spark, 0))
     assert rows_of(found.groupBy("distance").agg(F.count(F.lit(1)))) == [(0, 1), (1, 399), (2, 1), (3, 1)]
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    rounds = []
+    cut = G.cut_lineage
+    monkeypatch.setattr(G, "cut_lineage", lambda df: rounds.append(1) or cut(df))
+    chain = spark.range(10_000).selectExpr("id AS source", "id + 1 AS target")
+    found = G.downstream(chain, spark.range(1).selectExpr("id AS node"))
+    assert len(rounds) <= 20
+    assert found.count() == 10_001 and found.where("node <> distance").isEmpty()
+    # A start inside the chain, and one of another type than the edges.
+    found = G.downstream(chain.selectExpr("cast(source AS int) source", "cast(target AS int) target"), spark.range(5_000, 5_001).selectExpr("id AS node"))
+    assert found.count() == 5_001 and found.where("node - 5000 <> distance").isEmpty()
+    assert found.schema["node"].dataType.simpleString() == "bigint"
+
+
+def test_long_rings_with_tails_and_inner_ways(spark):
+    ring = [(i, (i + 1) % 300) for i in range(300)]
+    tails = [(1000 + i, 1001 + i) for i in range(40)] + [(1040, 5), (17, 2000)] + [(2000 + i, 2001 + i) for i in range(40)]
+    inner = [(10, 3000), (3000, 3001), (3001, 3002), (3002, 200), (10, 3100), (3100, 10), (50, 3200), (3200, 2010)]
+    apart = [(4000 + i, 4000 + (i + 1) % 7) for i in range(7)] + [(5000, 5001), (5001, 5000)]
+    pairs = ring + tails + inner + apart
+    got = [r[0] for r in rows_of(G.cycle_members(edges(spark, pairs)))]
+    assert sorted(got) == sorted(set(range(300)) | {3000, 3001, 3002, 3100} | set(range(4000, 4007)) | {5000, 5001})
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_random_graphs_of_many_makes(spark, seed):
+    """Sparse graphs with long ways, loops at one node, rings in rings, and many parts."""
+    rnd = random.Random(seed)
+    n = rnd.choice([12, 40, 90])
+    pairs = {(rnd.randrange(n), rnd.randrange(n)) for _ in range(int(n * rnd.choice([0.7, 1.0, 1.3])))}
+    for a, b in list(pairs)[: n // 4]:
+        way = [a, *[1000 * (a + 1) + 10 * b + k for k in range(rnd.randint(1, 6))], b]
+        pairs |= set(zip(way, way[1:]))
+    pairs = sorted(pairs)
+    assert sorted(r[0] for r in G.cycle_members(edges(spark, pairs)).collect()) == on_cycle(pairs)
+    start = [rnd.randrange(n) for _ in range(3)]
+    assert dict(rows_of(G.downstream(edges(spark, pairs), nodes(spark, *start)))) == reach(pairs, start)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_longest_ways_of_random_graphs(spark, seed):
+    rnd = random.Random(seed)
+    pairs = sorted({tuple(sorted(rnd.sample(range(40), 2))) for _ in range(50)} | {(k, k + 1) for k in range(50, 75)} | {(3, 50), (75, 90)})
+    level = dict.fromkeys({x for p in pairs for x in p}, 0)
+    for a, b in sorted(pairs, key=lambda p: p[0]):
+        level[b] = max(level[b], level[a] + 1)
+    got = {r.node: r.level for r in G.layers(nodes(spark, *level), edges(spark, pairs)).collect()}
+    assert got == level
