@@ -25,7 +25,7 @@ from quern.session import written as cut_lineage
 
 HOPS = 8
 # Doublings that one job does.
-DOUBLINGS = 2
+DOUBLINGS = 3
 # Edges in a partition of the layout.
 EDGE_ROWS = 1_000_000
 # Layers of end nodes that one job takes off.
@@ -122,16 +122,17 @@ def _walk(links: Links, layer: DataFrame, value: str, best: Callable, hops: int)
 def _spread(links: Links, start: DataFrame, value: str, best: Callable, hops: int) -> DataFrame:
     """The best value of every node that ways from the start nodes (node, value) lead to, these included."""
     frontier = cut_lineage(start.select("node", value))
-    reached = [frontier]
+    # Few hops first: with ways as single steps many walks end after one or two.
+    reached, ahead = [frontier], min(2, hops)
     while not frontier.isEmpty():
-        near = _walk(links, frontier, value, best, hops)
+        near = _walk(links, frontier, value, best, ahead)
         former = _union(reached).groupBy("node").agg(best(value).alias("__former"))
         better = F.col(value) > F.col("__former") if best is F.max else F.col(value) < F.col("__former")
         fresh = near.join(former, "node", "left").where(F.col("__former").isNull() | better)
         fresh = cut_lineage(fresh.select("node", value, "hop"))
         reached.append(fresh.select("node", value))
         # Nodes that an earlier hop gave their value were expanded in this round already.
-        frontier = fresh.where(F.col("hop") == hops).select("node", value)
+        frontier, ahead = fresh.where(F.col("hop") == ahead).select("node", value), min(2 * ahead, hops)
     return _union(reached).groupBy("node").agg(best(value).alias(value))
 
 

@@ -199,12 +199,12 @@ def load_by_key(
     strategy: str = "merge",
     afresh: bool = False,
     part_rows: int = PART_ROWS,
-) -> None:
+) -> DataFrame:
     """Combine a batch with the target's rows in the key parts that the batch touches, and replace these parts.
 
     A key part is a partition of the table, numbered by a hash of the key, so a key is in the same part at every load. How
     many there are is fixed by the first load. A table that has no key parts, or parts of another key, is written anew with
-    them once; so it is with `afresh`, which leaves out the former rows. Loading the same batch again changes nothing.
+    them once; so it is with `afresh`, which leaves out the former rows. Loading the same batch again changes nothing. Returns the table.
     """
     spark = batch.sparkSession
     start_log(spark, f"{root}/loads", LOADS)
@@ -222,20 +222,23 @@ def load_by_key(
     replace_parts(rows.withColumn(PART, _key_part(keys, n)), f"{root}/{folder}", [PART])
     newest = max(filter(None, [seen.get["newest"], past.watermark if past and not afresh else None]), default=None)
     schema = batch.schema.json() if not past or afresh else past.schema_json
-    _log(spark, root, (number, now, strategy, seen.get["rows"], newest, list(keys), n, folder, schema))
+    return _rows(spark, root, _log(spark, root, (number, now, strategy, seen.get["rows"], newest, list(keys), n, folder, schema)))
 
 
 def _key_part(keys: Sequence[str], n: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("bigint")
 
 
-def _log(spark: SparkSession, root: str, row: tuple) -> None:
+def _log(spark: SparkSession, root: str, row: tuple) -> Row:
+    """Add a load to the log, and return it by its columns' names."""
     at = row[1] or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    add_row(spark, f"{root}/loads", LOADS, (row[0], at, *row[2:]))
+    full = (row[0], at, *row[2:])
+    add_row(spark, f"{root}/loads", LOADS, full)
+    return Row(*[column.split()[0] for column in LOADS.split(", ")])(*full)
 
 
-def _add(root: str, batch: DataFrame, past: Row | None, now: dt.datetime | None, ts_col: str | None, strategy: str) -> None:
-    """Write the batch as the partition of its load, which readers see once the load is in the log."""
+def _add(root: str, batch: DataFrame, past: Row | None, now: dt.datetime | None, ts_col: str | None, strategy: str) -> DataFrame:
+    """Write the batch as the partition of its load, which readers see once the load is in the log. Returns the table."""
     spark, number = batch.sparkSession, past.load + 1 if past else 0
     adds = strategy == "append" and past is not None
     schema = T.StructType.fromJson(json.loads(past.schema_json)) if adds else batch.schema
@@ -245,7 +248,7 @@ def _add(root: str, batch: DataFrame, past: Row | None, now: dt.datetime | None,
     folder = past.folder if adds else f"data-{number}"
     rows.write.mode("overwrite").parquet(f"{root}/{folder}/{LOAD}={number}")
     newest = seen.get["newest"] or (past.watermark if adds else None)
-    _log(spark, root, (number, now, strategy, seen.get["rows"], newest, None, None, folder, schema.json()))
+    return _rows(spark, root, _log(spark, root, (number, now, strategy, seen.get["rows"], newest, None, None, folder, schema.json())))
 
 
 def build_incremental(
@@ -271,20 +274,16 @@ def build_incremental(
     past = last_load(spark, root)
     if past is None or full_refresh:
         if keys:
-            load_by_key(root, batch, keys, None, now, ts_col, "full", afresh=True)
-        else:
-            _add(root, batch, past, now, ts_col, "full")
-        return read_table(spark, root)
+            return load_by_key(root, batch, keys, None, now, ts_col, "full", afresh=True)
+        return _add(root, batch, past, now, ts_col, "full")
     fresh = new_rows(batch, _rows(spark, root, past), ts_col, past.watermark) if ts_col else batch
     if strategy == "merge":
-        load_by_key(root, fresh, keys, lambda old, new: merge(old, new, keys, order), now, ts_col)
-    elif strategy == "delete+insert":
-        load_by_key(root, fresh, keys, lambda old, new: delete_insert(old, new, keys), now, ts_col, strategy)
-    elif past.keys:
-        load_by_key(root, fresh, past.keys, append, now, ts_col, strategy)
-    else:
-        _add(root, fresh, past, now, ts_col, strategy)
-    return read_table(spark, root)
+        return load_by_key(root, fresh, keys, lambda old, new: merge(old, new, keys, order), now, ts_col)
+    if strategy == "delete+insert":
+        return load_by_key(root, fresh, keys, lambda old, new: delete_insert(old, new, keys), now, ts_col, strategy)
+    if past.keys:
+        return load_by_key(root, fresh, past.keys, append, now, ts_col, strategy)
+    return _add(root, fresh, past, now, ts_col, strategy)
 
 
 # Gates
