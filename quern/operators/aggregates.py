@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 
 from quern.operators.joins import join_on
 from quern.operators.rows import drop_null_keys, where_equal
+from quern.operators.skew import broadcast_if_small, null_safe
+from quern.session import cut_lineage
+
+#: Values of one map of `pivot_blocks`, on average.
+BLOCK_VALUES = 10_000
 
 
 def count_by(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -56,6 +61,32 @@ def pivot_map(df: DataFrame, by: Sequence[str], pivot_col: str, value_col: str,
     return sums.groupBy(*by).agg(F.map_from_entries(entries).alias(name))
 
 
+def pivot_blocks(
+    df: DataFrame, by: Sequence[str], pivot_col: str, value_col: str, size: int = BLOCK_VALUES, name: str = "amounts"
+) -> DataFrame:
+    """`pivot_map` in blocks of about `size` values: (by, block, map). A group of few values is one block, number 0; one of
+    many is spread over as many rows as it needs, and no task or row holds it whole.
+
+    The values of a block follow from their hash, so a value is looked up in one block: `block_of` gives its number from
+    `blocks`, the number of its group's blocks.
+    """
+    sums = df.where(F.col(pivot_col).isNotNull()).groupBy(*by, pivot_col).agg(F.sum(value_col).alias("__sum"))
+    sums = cut_lineage(sums)
+    blocks = F.ceil(F.col("__values") / F.lit(size)).cast("int").alias("blocks")
+    # Groups of more than `size` values: at most values / size of them.
+    wide = sums.groupBy(*by).agg(F.count(F.lit(1)).alias("__values")).where(F.col("__values") > size)
+    wide = broadcast_if_small(cut_lineage(wide.select(*[F.col(c).alias(f"__by_{i}") for i, c in enumerate(by)], blocks)))
+    near = sums.join(wide, null_safe(sums, wide, by, [f"__by_{i}" for i in range(len(by))]), "left")
+    near = near.withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", block_of(F.col(pivot_col), F.col("blocks")))
+    entries = F.sort_array(F.collect_list(F.struct(F.col(pivot_col), F.col("__sum"))))
+    return near.groupBy(*by, "block", "blocks").agg(F.map_from_entries(entries).alias(name))
+
+
+def block_of(value: Column, blocks: Column) -> Column:
+    """The block that `pivot_blocks` puts a value into."""
+    return F.pmod(F.xxhash64(value), blocks).cast("int")
+
+
 def high_watermark(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.max(col).alias("high_watermark"))
 

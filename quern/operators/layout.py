@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
@@ -52,6 +53,30 @@ def skew_report(df: DataFrame, key: str, factor: float) -> DataFrame:
     )
 
 
+#: Counters of the sketch per key that may be hot. Its counts are off by at most 3.5 / counters of all rows.
+COUNTERS = 16
+
+
+def hot_list(df: DataFrame, key: str, share: float) -> DataFrame:
+    """Keys with more than this share of all rows, null among them, with exact counts: (key, rows_per_key).
+
+    A sketch of frequent items, merged from all tasks, nominates at most 2 / share keys, and a second pass counts these
+    only. Keys are not shuffled: what moves is a sketch per task, and then a row per nominee and task. The report of all
+    keys is `skew_report`.
+    """
+    counters = 1 << math.ceil(math.log2(COUNTERS / share))
+    if not 0 < share < 1 or counters > 1_000_000:
+        raise ValueError(f"a share of {share} is outside what the sketch can tell")
+    sketch = F.call_function("approx_top_k", F.col(key), F.lit(math.ceil(2 / share)), F.lit(counters)).alias("top")
+    seen = cut_lineage(df.agg(F.count(F.lit(1)).alias("n"), sketch))
+    least = seen.first().n * share
+    nominees = seen.select(F.explode("top").alias("t")).select(F.col("t.item").alias("__item"))
+    nominees = nominees.unionByName(df.sparkSession.range(1).select(F.lit(None).cast(df.schema[key].dataType).alias("__item"))).distinct()
+    kept = df.select(key).join(F.broadcast(nominees), F.col(key).eqNullSafe(F.col("__item")), "left_semi")
+    counted = kept.groupBy(key).agg(F.count(F.lit(1)).alias("rows_per_key"))
+    return counted.where(F.col("rows_per_key") > F.lit(least))
+
+
 def region_buckets(value: Column | str, mapping: Mapping[int, Sequence[str]], default: int) -> Column:
     """Bucket number by key: {bucket: keys}."""
     key = F.upper(F.col(value) if isinstance(value, str) else value)

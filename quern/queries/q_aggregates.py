@@ -93,6 +93,20 @@ def pivot_discovered(spark, sf):
     return wide.select("order_id", F.array_join(entry, ";").alias("amounts"))
 
 
+@query(
+    "pivot_in_blocks",
+    """SELECT l_returnflag, l_suppkey, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity, true AS in_its_block
+    FROM lineitem GROUP BY 1, 2""",
+)
+def pivot_in_blocks(spark, sf):
+    """Quantities per supplier, three groups of very many values, read back from their blocks."""
+    lines = table(spark, sf, "lineitem").withColumn("quantity", F.col("l_quantity").cast("bigint"))
+    wide = A.pivot_blocks(lines, ["l_returnflag"], "l_suppkey", "quantity", size=25)
+    values = wide.select("l_returnflag", "block", "blocks", F.explode("amounts").alias("l_suppkey", "quantity"))
+    right = A.block_of(F.col("l_suppkey"), F.col("blocks")) == F.col("block")
+    return values.select("l_returnflag", "l_suppkey", "quantity", right.alias("in_its_block"))
+
+
 @query("agg_high_watermark", "SELECT max(ts) AS high_watermark FROM events")
 def agg_high_watermark(spark, sf):
     return A.high_watermark(table(spark, sf, "events"), "ts")

@@ -105,3 +105,12 @@ def reuse_cached(spark, sf):
 )
 def skew_report(spark, sf):
     return L.skew_report(table(spark, sf, "orders"), "o_custkey", 1.5)
+
+
+@query(
+    "skew_hot_list",
+    """SELECT l_quantity, count(*) AS rows_per_key FROM lineitem GROUP BY 1
+    HAVING count(*) > 0.02 * (SELECT count(*) FROM lineitem)""",
+)
+def skew_hot_list(spark, sf):
+    return L.hot_list(table(spark, sf, "lineitem"), "l_quantity", 0.02)

@@ -68,6 +68,19 @@ def stream_agg_update(spark, sf):
     return plain(out)
 
 
+@query("stream_state_totals", BY_USER)
+def stream_state_totals(spark, sf):
+    """As above with state of its own, which forgets a user after a day without events."""
+    feed, root, checkpoint = new_folder(spark, "feed"), new_folder(spark, "state"), new_folder(spark, "checkpoint")
+    out = None
+    for part in ("ts < timestamp_ntz'2024-01-29 00:00:00'", "ts >= timestamp_ntz'2024-01-29 00:00:00'"):
+        add_feed(spark, sf, feed, part)
+        events = S.read_stream(spark, feed, SCHEMAS["events"])
+        cents = {"cents": money("value") * 100}
+        out = S.stream_upsert(S.running_totals(events, ["user_id"], cents, ttl_seconds=86_400), ["user_id"], root, checkpoint, False)
+    return out.select("user_id", "events", (F.col("cents") / 100).alias("total"))
+
+
 @query(
     "stream_tumbling",
     """SELECT time_bucket(INTERVAL 5 MINUTE, ts, TIMESTAMP '1970-01-01 00:00:00') AS window_start,
@@ -117,6 +130,26 @@ def stream_late_data(spark, sf):
     return out
 
 
+@query(
+    "stream_late_aside",
+    """WITH mark AS (SELECT max(ts) - INTERVAL 1 DAY AS at FROM events WHERE event_type <> 'error'),
+    marked AS (SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type = 'error' AND
+    date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT at FROM mark) AS late FROM events)
+    SELECT window_start, count(*) FILTER (NOT late) AS kept, count(*) FILTER (late) AS late FROM marked GROUP BY 1""",
+)
+def stream_late_aside(spark, sf):
+    """The same late errors, put aside next to what was in time."""
+    feed, root, checkpoint = new_folder(spark, "feed"), new_folder(spark, "aside"), new_folder(spark, "checkpoint")
+    day = F.date_trunc("day", F.col("ts"))
+    for part in ("event_type <> 'error'", "event_type = 'error'"):
+        add_feed(spark, sf, feed, part)
+        source = S.read_stream(spark, feed, SCHEMAS["events"])
+        kept, late = S.set_late_aside(source, "ts", "1 day", root, checkpoint, S.window_end("ts", 86_400))
+    both = kept.select("ts", F.lit(False).alias("late")).unionByName(late.select("ts", F.lit(True).alias("late")))
+    counted = both.groupBy(day.alias("window_start")).agg(F.count_if(~F.col("late")).alias("kept"), F.count_if("late").alias("late"))
+    return back_to_ntz(counted, "window_start")
+
+
 @query(
     "stream_static_join",
     """SELECT event_id, event_type, risk_score, category AS threat_level FROM events JOIN (VALUES ('error', 0.98::DOUBLE,

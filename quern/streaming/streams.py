@@ -6,17 +6,23 @@ micro-batch.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable, Iterator, Mapping, Sequence
+
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from quern.functions.expressions import default_to
 from quern.operators.joins import time_bucket
 from quern.operators.skew import broadcast_if_small
 from quern.plans import versions
-from quern.plans.builds import load_by_key, merge, read_table
+from quern.plans.builds import load_by_key, merge, read_table, replace_parts
+from quern.sources.writers import read_partitioned
 
 # Fixed values of the risk rules.
 DEFAULT_RISK = 0.1
@@ -90,6 +96,60 @@ def sliding(
     )
 
 
+class _Totals(StatefulProcessor):
+    """One value per key: its sums so far. Emits the keys that a micro-batch changes."""
+
+    def __init__(self, keys: Sequence[str], sums: Sequence[str], ttl_ms: int | None):
+        self.keys, self.sums, self.ttl_ms = list(keys), list(sums), ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        schema = T.StructType([T.StructField(f"s{i}", T.LongType()) for i in range(len(self.sums))])
+        self.held = handle.getValueState("totals", schema, self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        totals = list(self.held.get()) if self.held.exists() else [0] * len(self.sums)
+        for part in rows:
+            totals = [t + int(part[name].sum()) for t, name in zip(totals, self.sums)]
+        self.held.update(tuple(totals))
+        yield pd.DataFrame({**{k: [v] for k, v in zip(self.keys, key)}, **{n: [t] for n, t in zip(self.sums, totals)}})
+
+    def close(self) -> None:
+        pass
+
+
+def running_totals(
+    stream: DataFrame, keys: Sequence[str], amounts: Mapping[str, Column], ttl_seconds: int | None = None, count: str = "events"
+) -> DataFrame:
+    """Rows and sums of whole numbers per key in state that may expire, as a stream for update mode: each trigger gives the
+    keys that it changes.
+
+    A key without rows for `ttl_seconds` is forgotten and begins at nothing when it comes again; None keeps every key, as
+    `stream_totals` does. Amounts are cast to bigint, null counts as 0. Tasks sum each Arrow batch by key before the
+    shuffle, so a frequent key sends one row for some thousands of its own. A null key is a key. Run it with `idle=False` where
+    the run is to end with what has arrived.
+    """
+    sums = [count, *amounts]
+    clash = set(keys) & set(sums)
+    if clash or len(set(sums)) < len(sums):
+        raise ValueError(f"names are used twice: {sorted(clash) or sums}")
+    one = F.lit(1).cast("bigint").alias(count)
+    rows = stream.select(*keys, one, *[F.coalesce(c.cast("bigint"), F.lit(0)).alias(n) for n, c in amounts.items()])
+
+    def by_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grouped = pa.Table.from_batches([batch]).group_by(list(keys)).aggregate([(n, "sum") for n in sums])
+            named = grouped.select([*keys, *[f"{n}_sum" for n in sums]]).rename_columns([*keys, *sums])
+            yield from named.to_batches()
+
+    return (
+        rows.mapInArrow(by_batch, rows.schema)
+        .groupBy(*keys)
+        .transformWithStateInPandas(
+            _Totals(keys, sums, ttl_seconds * 1000 if ttl_seconds else None), rows.schema, "Update", "ProcessingTime"
+        )
+    )
+
+
 def enrich(stream: DataFrame, static: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join a fixed table; no state. It is broadcast if it measures small enough."""
     return stream.join(broadcast_if_small(static), key, how)
@@ -160,16 +220,23 @@ def run_available(stream: DataFrame, sink: str, checkpoint: str) -> DataFrame:
 
 
 def run_batches(
-    stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+    stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append", idle: bool = True
 ) -> None:
-    """Process what has arrived, handing each micro-batch to `write`."""
-    query = (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .outputMode(mode)
-        .trigger(availableNow=True)
-        .start()
-    )
+    """Process what has arrived, handing each micro-batch to `write`. With `idle=False` batches without rows are not run: state
+    that expires by the clock asks for them without end."""
+    conf, setting = stream.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    former = conf.get(setting)
+    conf.set(setting, str(idle).lower())
+    try:
+        query = (
+            stream.writeStream.foreachBatch(write)
+            .option("checkpointLocation", checkpoint)
+            .outputMode(mode)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        conf.set(setting, former)
     query.awaitTermination()
 
 
@@ -185,7 +252,7 @@ def stream_complete(stream: DataFrame, root: str, checkpoint: str) -> DataFrame:
     return versions.as_of_version(stream.sparkSession, root)
 
 
-def stream_upsert(stream: DataFrame, keys: Sequence[str], root: str, checkpoint: str) -> DataFrame:
+def stream_upsert(stream: DataFrame, keys: Sequence[str], root: str, checkpoint: str, idle: bool = True) -> DataFrame:
     """Every trigger gives the changed rows only; they replace their keys in the target, of which only the key parts that
     hold them are read and written. A batch that is run again after a lost driver writes the same rows again. The micro-batch
     is kept while it is used, so its state stage runs once."""
@@ -197,5 +264,74 @@ def stream_upsert(stream: DataFrame, keys: Sequence[str], root: str, checkpoint:
         finally:
             kept.unpersist()
 
-    run_batches(stream, write, checkpoint, "update")
+    run_batches(stream, write, checkpoint, "update", idle)
     return read_table(stream.sparkSession, root)
+
+
+BATCH, LATE = "__batch", "__late"
+_PLACE = T.StructType([T.StructField(BATCH, T.LongType()), T.StructField(LATE, T.BooleanType())])
+_MARKS = "newest timestamp, kept bigint, late bigint, __batch bigint"
+
+
+def late_marks(spark: SparkSession, root: str) -> DataFrame:
+    """What `set_late_aside` did: batch, the newest event time in it, rows kept, rows late."""
+    marks = read_partitioned(spark, f"{root}/marks", T.StructType.fromDDL(_MARKS))
+    return marks.select(F.col(BATCH).alias("batch"), "newest", "kept", "late")
+
+
+def window_end(ts: Column | str, seconds: int) -> Column:
+    """The end of the fixed window of event time that a row falls into; null without a time."""
+    return F.timestamp_seconds((F.floor(F.unix_micros(ts) / (seconds * 1_000_000)) + 1) * seconds)
+
+
+def set_late_aside(
+    stream: DataFrame, ts: str, delay: str, root: str, checkpoint: str, closes: Column | str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(rows in time, late rows): together every row of the stream once, where a watermark would let the late ones vanish.
+
+    A row is late if what it belongs to, such as its window, closed (`closes`, by default its event time) at or before the
+    watermark, the newest event time of earlier micro-batches less the delay, which is when a windowed aggregate would
+    ignore it. Rows without a time are in time; `window` is no help for `closes`, as it drops them, `window_end` keeps them. A micro-batch is read once and nothing is shuffled; what is carried on is
+    one row per batch, with its newest time and both counts.
+
+    Batches are partitions: one that is run again after a lost driver replaces what it wrote, and rows count from the
+    moment in which their batch's mark is written.
+    """
+    spark = stream.sparkSession
+    timed = event_time(stream, ts)
+    end = F.col(ts) if closes is None else F.expr(closes) if isinstance(closes, str) else closes
+    marks = T.StructType.fromDDL(_MARKS)
+
+    def write(rows: DataFrame, number: int) -> None:
+        mark = None
+        if number > 0:
+            past = late_marks(spark, root).where(F.col("batch") < number)
+            mark = past.agg(F.unix_micros(F.max("newest") - F.expr(f"interval {delay}"))).first()[0]
+        late = F.coalesce(F.unix_micros(end.cast("timestamp")) <= F.lit(mark).cast("bigint"), F.lit(False))
+        seen = Observation(f"late-{uuid.uuid4().hex}")
+        marked = rows.withColumn(LATE, late).observe(
+            seen, F.unix_micros(F.max(ts)).alias("newest"), F.count_if(~F.col(LATE)).alias("kept"), F.count_if(LATE).alias("late")
+        )
+        marked.withColumn(BATCH, F.lit(number).cast("bigint")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy(BATCH, LATE).parquet(f"{root}/rows")
+        found = seen.get
+        values = F.lit(found["newest"]).cast("bigint"), F.lit(found["kept"]), F.lit(found["late"]), F.lit(number)
+        one = spark.range(1).select(F.timestamp_micros(values[0]).alias("newest"), *[
+            v.cast("bigint").alias(f.name) for v, f in zip(values[1:], marks.fields[1:])
+        ])
+        replace_parts(one, f"{root}/marks", [BATCH])
+
+    # Folders that a stream without rows can be read from.
+    nothing = spark.createDataFrame([], T.StructType([*timed.schema.fields, *_PLACE.fields]))
+    nothing.write.mode("append").partitionBy(BATCH, LATE).parquet(f"{root}/rows")
+    spark.createDataFrame([], marks).write.mode("append").partitionBy(BATCH).parquet(f"{root}/marks")
+    run_batches(timed, write, checkpoint)
+    return tuple(_aside(spark, root, timed.schema, late) for late in (False, True))
+
+
+def _aside(spark: SparkSession, root: str, schema: T.StructType, late: bool) -> DataFrame:
+    last = late_marks(spark, root).agg(F.max("batch")).first()[0]
+    stored = T.StructType([*schema.fields, *_PLACE.fields])
+    rows = read_partitioned(spark, f"{root}/rows", stored)
+    return rows.where((F.col(BATCH) <= F.lit(last)) & (F.col(LATE) == late)).select(*schema.names)

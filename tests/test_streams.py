@@ -156,3 +156,81 @@ def test_stream_commits_every_batch_once(spark, feed, folder):
     from quern.plans.versions import history
 
     assert rows_of(history(spark, root), "batch_id") == [(0,), (1,)]
+
+
+def state_totals(spark, feed, ttl_seconds=None, files_per_trigger=None):
+    source = S.read_stream(spark, feed, SCHEMA, files_per_trigger=files_per_trigger)
+    return S.running_totals(source, ["user_id"], {"cents": F.round(F.col("amount") * 100)}, ttl_seconds)
+
+
+def test_totals_in_state_equal_plain_totals_over_restarts(spark, feed, folder):
+    root, checkpoint = folder(), folder()
+    S.stream_upsert(state_totals(spark, feed, 3600), ["user_id"], root, checkpoint, False)
+    again = S.stream_upsert(state_totals(spark, feed, 3600), ["user_id"], root, checkpoint, False)
+    want = spark.read.schema(SCHEMA).parquet(feed).groupBy("user_id")
+    want = want.agg(F.count("*").alias("events"), F.sum(F.round(F.col("amount") * 100)).cast("bigint").alias("cents"))
+    assert rows_of(again, "user_id", "events", "cents") == rows_of(want)
+    feed_of(spark, feed, [("TX2000", "1", 100.0, "Later", at(30)), ("TX2001", "9", None, "Later", at(30))])
+    later = S.stream_upsert(state_totals(spark, feed, 3600), ["user_id"], root, checkpoint, False)
+    want = spark.read.schema(SCHEMA).parquet(feed).groupBy("user_id").agg(
+        F.count("*"), F.coalesce(F.sum(F.round(F.col("amount") * 100)), F.lit(0)).cast("bigint")
+    )
+    assert rows_of(later, "user_id", "events", "cents") == rows_of(want) and ("9", 1, 0) in rows_of(later, "user_id", "events", "cents")
+
+
+def test_only_changed_keys_are_emitted_and_idle_ones_forgotten(spark, feed, folder):
+    checkpoint, seen = folder(), []
+
+    def write(rows, number):
+        seen.append({r.user_id: r.events for r in rows.collect()})
+
+    S.run_batches(state_totals(spark, feed, 1), write, checkpoint, "update", False)
+    import time
+
+    time.sleep(2)
+    feed_of(spark, feed, [("TX2000", "1", 1.0, "Later", at(30)), ("TX2001", None, 1.0, "Later", at(30))])
+    S.run_batches(state_totals(spark, feed, 1), write, checkpoint, "update", False)
+    assert sum(seen[0].values()) == 8 and seen[0]["1"] > 1 and seen[-1] == {"1": 1, None: 1}
+    with pytest.raises(ValueError, match="twice"):
+        S.running_totals(S.read_stream(spark, feed, SCHEMA), ["user_id"], {"user_id": F.lit(1)})
+
+
+def test_late_rows_are_put_aside_once(spark, folder):
+    feed, root, checkpoint = folder(), folder(), folder()
+    closes = S.window_end("ts", 300)
+
+    def go():
+        return S.set_late_aside(S.read_stream(spark, feed, SCHEMA), "ts", "10 minutes", root, checkpoint, closes)
+
+    spark.createDataFrame([], SCHEMA).write.parquet(feed)
+    assert [side.count() for side in go()] == [0, 0]
+    feed_of(spark, feed, [("a", "1", 1.0, "m", at(0)), ("b", "1", 1.0, "m", at(20)), ("n", "1", 1.0, "m", None)])
+    go()
+    # The watermark is 12:10: the window that ends there has closed, the next has not.
+    feed_of(spark, feed, [("c", "1", 1.0, "m", at(9, 59)), ("d", "1", 1.0, "m", at(10)), ("c", "1", 1.0, "m", at(9, 59)), ("e", "1", 1.0, "m", at(45))])
+    for _ in range(2):
+        kept, late = go()
+        assert rows_of(kept, "tx_id") == [("a",), ("b",), ("d",), ("e",), ("n",)] and rows_of(late, "tx_id") == [("c",), ("c",)]
+        assert kept.schema["ts"].dataType.simpleString() == "timestamp"
+    marks = S.late_marks(spark, root).where("kept + late > 0")
+    assert rows_of(marks, "kept", "late") == [(3, 0), (2, 2)] or rows_of(marks, "kept", "late") == [(2, 2), (3, 0)]
+
+
+def test_a_batch_run_again_replaces_what_it_wrote(spark, feed, folder, monkeypatch):
+    root, checkpoint = folder(), folder()
+
+    def go():
+        return S.set_late_aside(S.read_stream(spark, feed, SCHEMA), "ts", "10 minutes", root, checkpoint)
+
+    real = S.replace_parts
+
+    def lost(*args):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(S, "replace_parts", lost)
+    with pytest.raises(Exception, match="driver lost"):
+        go()
+    assert S.late_marks(spark, root).isEmpty()
+    monkeypatch.setattr(S, "replace_parts", real)
+    kept, late = go()
+    assert kept.count() == 8 and late.count() == 0
