@@ -132,9 +132,9 @@ def stream_late_data(spark, sf):
 
 @query(
     "stream_late_aside",
-    """WITH mark AS (SELECT max(ts) - INTERVAL 1 DAY AS at FROM events WHERE event_type <> 'error'),
+    """WITH mark AS (SELECT max(ts) - INTERVAL 1 DAY AS ended FROM events WHERE event_type <> 'error'),
     marked AS (SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type = 'error' AND
-    date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT at FROM mark) AS late FROM events)
+    date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT ended FROM mark) AS late FROM events)
     SELECT window_start, count(*) FILTER (NOT late) AS kept, count(*) FILTER (late) AS late FROM marked GROUP BY 1""",
 )
 def stream_late_aside(spark, sf):
