@@ -3,8 +3,8 @@
 A text longer than the longest sequence fills whole sequences of its own, and only its rest is packed. Pieces are dealt
 by a hash to groups of bounded size, and each group is packed by one task: longest pieces first, each into the open bin
 that it leaves least room in; if none has room, a new bin is opened. That is tried once with every size as the one to open,
-every bin of a trial is cut down to the cheapest size that holds its contents, and the cheapest trial is kept: short
-sizes cost less a place, long ones lose fewer places.
+every bin of a trial is cut down to the cheapest size that holds its contents, and the cheapest trial is kept: long
+sizes have fewer sequences to pay for and lose fewer places, short ones cost less in attention.
 """
 
 from __future__ import annotations
@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from quern.llm.columns import without
 from quern.session import cut_lineage
 
-#: Permitted sequence lengths in words, and what each costs: its length, and a part that grows with its square.
-SIZES = {size: size * (1 + size / 16384) for size in (512, 1024, 2048, 4096)}
+#: What a sequence costs however short it is, in words: its start without context, and the work done once a sequence.
+PER_SEQUENCE = 256
+#: Permitted sequence lengths in words, and what each costs: the fixed part, its length, and a part that grows with its square.
+SIZES = {size: PER_SEQUENCE + size * (1 + size / 16384) for size in (512, 1024, 2048, 4096)}
 #: Pieces in a group, on average. Packing loses a part of a bin per group, so the groups are large.
 GROUP_PIECES = 50_000
 

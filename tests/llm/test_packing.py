@@ -1,9 +1,11 @@
 import random
 from collections import defaultdict
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
-from quern.llm.packing import SIZES, best_fit, cheapest, opened, pack, pack_documents, with_bins, word_count
+from quern.llm.packing import PER_SEQUENCE, SIZES, best_fit, cheapest, opened, pack, pack_documents, with_bins, word_count
 from tests.llm.data import TEXTS, documents
 from tests.llm.test_quality import counted
 
@@ -53,19 +55,46 @@ def test_joint_choice_is_the_cheapest_and_bins_are_cut_down():
         assert all(cheapest(SMALL, n) == final[b] for b, n in used.items())
 
 
-def test_trials_of_the_production_sizes_differ_and_bins_shrink():
-    lengths = [300] * 4999
-    costs = {}
-    for largest in SIZES:
-        _, contents = best_fit(lengths, SIZES, largest)
-        costs[largest] = sum(SIZES[cheapest(SIZES, c)] for c in contents)
-    assert len(set(costs.values())) == len(SIZES)
-    places, final = pack(lengths, SIZES)
-    assert sum(SIZES[s] for s in final) == min(costs.values()) == costs[1024]
+def costs_of(lengths, sizes):
+    """Cost and final sizes of every trial."""
+    out = {}
+    for largest in sizes:
+        _, contents = best_fit(lengths, sizes, largest)
+        final = [cheapest(sizes, c) for c in contents]
+        out[largest] = (sum(sizes[s] for s in final), sorted(final))
+    return out
+
+
+def test_trials_differ_and_bins_shrink_without_a_fixed_cost():
+    lengths, sizes = [300] * 4999, {size: cost - PER_SEQUENCE for size, cost in SIZES.items()}
+    trials = costs_of(lengths, sizes)
+    assert len({cost for cost, _ in trials.values()}) == len(sizes)
+    places, final = pack(lengths, sizes)
+    assert sum(sizes[s] for s in final) == min(cost for cost, _ in trials.values()) == trials[1024][0]
     assert sorted(final) == [512] + [1024] * 1666
-    for largest in (1024, 2048):
-        _, contents = best_fit(lengths, SIZES, largest)
-        assert [cheapest(SIZES, c) for c in contents].count(512) == 1
+    assert all(trials[largest][1].count(512) == 1 for largest in (1024, 2048))
+
+
+def test_production_sizes_choose_between_trials():
+    # 13 texts of 300 words fill the longest sequence best, the six left over are cut down to 2048; texts of 1000 go by twos.
+    trials = costs_of([300] * 4998, SIZES)
+    assert len({cost for cost, _ in trials.values()}) == len(SIZES)
+    _, final = pack([300] * 4998, SIZES)
+    assert sorted(final) == trials[4096][1] == [2048] + [4096] * 384
+    _, final = pack([1000] * 4001, SIZES)
+    assert sorted(final) == [1024] + [2048] * 2000
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_given_tables_cost_less_than_in_the_smallest_size_that_fits(sf):
+    """The trial of the smallest size opens for each piece the smallest size that holds it."""
+    texts = pd.read_parquet(f"/root/testdata/{sf}/documents.parquet", columns=["text"])["text"]
+    words = [counted(t)[0] for t in texts]
+    longest = max(SIZES)
+    lengths = sorted([longest] * sum(n // longest for n in words) + [n % longest for n in words if n % longest], reverse=True)
+    _, final = pack(lengths, SIZES)
+    cost, smallest = costs_of(lengths, SIZES)[min(SIZES)]
+    assert sum(SIZES[s] for s in final) < 0.95 * cost and sorted(final) != smallest
 
 
 def check(rows, lengths, sizes):
