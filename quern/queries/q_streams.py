@@ -70,15 +70,16 @@ def stream_agg_update(spark, sf):
 
 @query("stream_state_totals", BY_USER)
 def stream_state_totals(spark, sf):
-    """As above with state of its own, which forgets a user after a day without events."""
+    """As above with state of its own, which forgets a user after a day without events. Events without a time come last."""
     feed, root, checkpoint = new_folder(spark, "feed"), new_folder(spark, "state"), new_folder(spark, "checkpoint")
+    # Rounded as the SQL's cast does it: half cents of the double away from zero.
+    amounts = {"cents": F.round(F.col("value") * 100), "valued": F.col("value").isNotNull()}
     out = None
-    for part in ("ts < timestamp_ntz'2024-01-29 00:00:00'", "ts >= timestamp_ntz'2024-01-29 00:00:00'"):
+    for part in ("ts < timestamp_ntz'2024-01-29 00:00:00'", "ts >= timestamp_ntz'2024-01-29 00:00:00' OR ts IS NULL"):
         add_feed(spark, sf, feed, part)
         events = S.read_stream(spark, feed, SCHEMAS["events"])
-        cents = {"cents": money("value") * 100}
-        out = S.stream_upsert(S.running_totals(events, ["user_id"], cents, ttl_seconds=86_400), ["user_id"], root, checkpoint, False)
-    return out.select("user_id", "events", (F.col("cents") / 100).alias("total"))
+        out = S.stream_upsert(S.running_totals(events, ["user_id"], amounts, ttl_seconds=86_400), ["user_id"], root, checkpoint, False)
+    return out.select("user_id", "events", F.when(F.col("valued") > 0, F.col("cents") / 100).alias("total"))
 
 
 @query(

@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 #: Partitions that a shuffle starts with before AQE merges small ones.
 INITIAL_PARTITIONS = "4000"
 
+#: The setting that names the store of stream state, and the one of Spark's stores that takes `transformWithState`.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def build_session(app: str = "quern", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings this library is tuned for; `conf` overrides any of them.
@@ -27,9 +31,7 @@ def build_session(app: str = "quern", master: str | None = None, **conf) -> Spar
         "spark.checkpoint.compress": "true",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass": (
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-        ),
+        STATE_STORE: ROCKSDB,
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",

@@ -10,20 +10,21 @@ import uuid
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from quern.functions.expressions import default_to
 from quern.operators.joins import time_bucket
-from quern.operators.skew import broadcast_if_small
+from quern.operators.skew import broadcast_if_small, null_safe
 from quern.plans import versions
-from quern.plans.builds import load_by_key, merge, read_table, replace_parts
+from quern.plans.builds import load_by_key, read_table, replace_parts, require_unique
+from quern.session import ROCKSDB, STATE_STORE
 from quern.sources.writers import read_partitioned
 
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 # Fixed values of the risk rules.
 DEFAULT_RISK = 0.1
 DEFAULT_CATEGORY = "STANDARD"
@@ -96,25 +97,31 @@ def sliding(
     )
 
 
-class _Totals(StatefulProcessor):
-    """One value per key: its sums so far. Emits the keys that a micro-batch changes."""
+def _totals(keys: Sequence[str], sums: Sequence[str], ttl_ms: int | None) -> StatefulProcessor:
+    """One value per key: its sums so far. Emits the keys that a micro-batch changes.
 
-    def __init__(self, keys: Sequence[str], sums: Sequence[str], ttl_ms: int | None):
-        self.keys, self.sums, self.ttl_ms = list(keys), list(sums), ttl_ms
+    The class is made here, so that it is sent by value: Spark also loads it in a Python process beside the driver, which
+    need not find this library. It takes rows, not pandas frames, in which one null turns a batch's whole numbers into
+    floating point, and with them the keys that state is found by.
+    """
+    keys, sums = list(keys), list(sums)
+
+    class Totals(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            schema = T.StructType([T.StructField(f"s{i}", T.LongType()) for i in range(len(sums))])
+            self.held = handle.getValueState("totals", schema, ttl_ms)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField(f"s{i}", T.LongType()) for i in range(len(self.sums))])
-        self.held = handle.getValueState("totals", schema, self.ttl_ms)
+        def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+            totals = list(self.held.get()) if self.held.exists() else [0] * len(sums)
+            for row in rows:
+                totals = [t + row[name] for t, name in zip(totals, sums)]
+            self.held.update(tuple(totals))
+            yield Row(*keys, *sums)(*key, *totals)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        totals = list(self.held.get()) if self.held.exists() else [0] * len(self.sums)
-        for part in rows:
-            totals = [t + int(part[name].sum()) for t, name in zip(totals, self.sums)]
-        self.held.update(tuple(totals))
-        yield pd.DataFrame({**{k: [v] for k, v in zip(self.keys, key)}, **{n: [t] for n, t in zip(self.sums, totals)}})
+        def close(self) -> None:
+            pass
 
-    def close(self) -> None:
-        pass
+    return Totals()
 
 
 def running_totals(
@@ -125,8 +132,9 @@ def running_totals(
 
     A key without rows for `ttl_seconds` is forgotten and begins at nothing when it comes again; None keeps every key, as
     `stream_totals` does. Amounts are cast to bigint, null counts as 0. Tasks sum each Arrow batch by key before the
-    shuffle, so a frequent key sends one row for some thousands of its own. A null key is a key. Run it with `idle=False` where
-    the run is to end with what has arrived.
+    shuffle, so a frequent key sends one row for some thousands of its own. A null key is a key. Run it with `idle=False`, which
+    ends with what has arrived and keeps the state where it can be kept; a query started otherwise has to set RocksDB as its
+    state store.
     """
     sums = [count, *amounts]
     clash = set(keys) & set(sums)
@@ -144,8 +152,8 @@ def running_totals(
     return (
         rows.mapInArrow(by_batch, rows.schema)
         .groupBy(*keys)
-        .transformWithStateInPandas(
-            _Totals(keys, sums, ttl_seconds * 1000 if ttl_seconds else None), rows.schema, "Update", "ProcessingTime"
+        .transformWithState(
+            _totals(keys, sums, ttl_seconds * 1000 if ttl_seconds else None), rows.schema, "Update", "ProcessingTime"
         )
     )
 
@@ -222,11 +230,19 @@ def run_available(stream: DataFrame, sink: str, checkpoint: str) -> DataFrame:
 def run_batches(
     stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append", idle: bool = True
 ) -> None:
-    """Process what has arrived, handing each micro-batch to `write`. With `idle=False` batches without rows are not run: state
-    that expires by the clock asks for them without end."""
-    conf, setting = stream.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
-    former = conf.get(setting)
-    conf.set(setting, str(idle).lower())
+    """Process what has arrived, handing each micro-batch to `write`.
+
+    `idle=False` is for state of its own, such as that of `running_totals`. Batches without rows are not run: state that
+    expires by the clock asks for them without end. Where the session names no other store than Spark's default, which refuses
+    such state, this query keeps it in RocksDB. A checkpoint goes on with the store it began with.
+    """
+    conf = stream.sparkSession.conf
+    settings = {NO_DATA_BATCHES: str(idle).lower()}
+    if not idle and conf.get(STATE_STORE).endswith(".HDFSBackedStateStoreProvider"):
+        settings[STATE_STORE] = ROCKSDB
+    former = {name: conf.get(name) for name in settings}
+    for name, value in settings.items():
+        conf.set(name, value)
     try:
         query = (
             stream.writeStream.foreachBatch(write)
@@ -236,7 +252,8 @@ def run_batches(
             .start()
         )
     finally:
-        conf.set(setting, former)
+        for name, value in former.items():
+            conf.set(name, value)
     query.awaitTermination()
 
 
@@ -254,13 +271,17 @@ def stream_complete(stream: DataFrame, root: str, checkpoint: str) -> DataFrame:
 
 def stream_upsert(stream: DataFrame, keys: Sequence[str], root: str, checkpoint: str, idle: bool = True) -> DataFrame:
     """Every trigger gives the changed rows only; they replace their keys in the target, of which only the key parts that
-    hold them are read and written. A batch that is run again after a lost driver writes the same rows again. The micro-batch
-    is kept while it is used, so its state stage runs once."""
+    hold them are read and written. A null in a key equals a null, as the stream's grouping has it. A batch that is run again after
+    a lost driver writes the same rows again. The micro-batch is kept while it is used, so its state stage runs once."""
+
+    def replace(old: DataFrame, new: DataFrame) -> DataFrame:
+        require_unique(new, keys)
+        return old.join(new, null_safe(old, new, keys), "left_anti").unionByName(new)
 
     def write(rows: DataFrame, number: int) -> None:
         kept = rows.persist()
         try:
-            load_by_key(root, kept, keys, lambda old, new: merge(old, new, keys))
+            load_by_key(root, kept, keys, replace)
         finally:
             kept.unpersist()
 

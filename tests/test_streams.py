@@ -1,11 +1,19 @@
 import datetime as dt
+import subprocess
+import sys
 
+import duckdb
 import pytest
+from pyspark.serializers import CloudPickleSerializer
 from pyspark.sql import functions as F
 
+from __spark_entry__ import ORACLES, QUERIES
+from quern.session import STATE_STORE
+from quern.sources.tables import SCHEMAS
 from quern.streaming import streams as S
 from tests import data
 from tests.conftest import rows_of
+from tools.check import compare
 
 SCHEMA = data.TRANSACTIONS[0]
 
@@ -195,6 +203,50 @@ def test_only_changed_keys_are_emitted_and_idle_ones_forgotten(spark, feed, fold
         S.running_totals(S.read_stream(spark, feed, SCHEMA), ["user_id"], {"user_id": F.lit(1)})
 
 
+@pytest.fixture
+def default_store(spark):
+    """The state store of a session that names none."""
+    former = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, former.replace("RocksDB", "HDFSBacked"))
+    yield
+    spark.conf.set(STATE_STORE, former)
+
+
+def test_state_totals_equal_their_sql_on_odd_events_in_a_plain_session(spark, default_store, folder):
+    sf, db = folder("sf"), duckdb.connect()
+    early, late = dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 30)
+    rows = [
+        (1, early, 1, "view", 2.5, None), (2, late, 1, "view", 1.005, None), (3, None, 1, "view", -9.915, None),
+        (4, early, 2, "view", None, None), (5, early, 3, "view", None, None), (6, late, 3, "view", 0.1, None),
+        (7, early, None, "view", 1.0, None), (8, late, None, "view", 4.0, None), (9, None, None, "view", None, None),
+        (10, late, 2**53 + 1, "view", 7.0, None), (11, early, 2**53, "view", 8.0, None), (12, None, 4, "view", 5.0, None),
+    ]
+    spark.createDataFrame(rows, SCHEMAS["events"]).coalesce(1).write.parquet(f"{sf}/events.parquet")
+    db.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{sf}/events.parquet/*.parquet')")
+    store = spark.conf.get(STATE_STORE)
+    assert compare(QUERIES["stream_state_totals"](spark, sf), db, ORACLES["stream_state_totals"]) == ""
+    assert spark.conf.get(STATE_STORE) == store
+
+
+def test_upsert_replaces_the_null_key(spark, feed, folder):
+    root, checkpoint = folder(), folder()
+    for minute in (30, 31):
+        feed_of(spark, feed, [(f"TX{minute}", None, 1.0, "Later", at(minute))])
+        counted = S.stream_totals(S.read_stream(spark, feed, SCHEMA), ["user_id"], [F.count(F.lit(1)).alias("n")])
+        out = S.stream_upsert(counted, ["user_id"], root, checkpoint)
+    assert rows_of(out.where("user_id IS NULL"), "n") == [(2,)]
+
+
+def test_state_is_loaded_without_the_library(spark):
+    sent = S._totals(["k"], ["n"], None)
+    code = f"""
+import sys, pickle
+processor = pickle.loads({CloudPickleSerializer().dumps(sent)!r})
+assert 'quern' not in sys.modules and processor.close() is None
+"""
+    subprocess.run([sys.executable, "-I", "-c", code], check=True)
+
+
 def test_late_rows_are_put_aside_once(spark, folder):
     feed, root, checkpoint = folder(), folder(), folder()
     closes = S.window_end("ts", 300)
