@@ -13,37 +13,52 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.operators.rows import Order, sort_columns
-from quern.operators.skew import GROUP_LIMIT, null_safe, split_hot
+from quern.operators.skew import GROUP_LIMIT, null_safe, small_enough, split_hot
 from quern.session import cut_lineage
 
 RUNNING = (Window.unboundedPreceding, Window.currentRow)
 BEFORE = (Window.unboundedPreceding, -1)
 
+#: A range is a task and a file. A small limit makes no more of them than this, unless they would exceed GROUP_LIMIT rows.
+RANGES = 200
 
-def _ranges(hot: DataFrame, by: Sequence[str], order: Order, rows: int, limit: int) -> DataFrame:
+
+def _range_count(rows: int, limit: int) -> int:
+    """Ranges of `limit` rows; longer ones where these would be many tasks with little to do."""
+    return max(2, min(math.ceil(rows / limit), max(RANGES, math.ceil(rows / GROUP_LIMIT))))
+
+
+def _cut(hot: DataFrame, by: Sequence[str], order: Order, rows: int, limit: int) -> DataFrame:
     """Hot rows with `__block`, increasing along the order inside each group. Rows of one sort value go on by a hash of
     the row, so that any number of them can be cut.
 
-    The checkpoint fixes which row is in which range, so every later use agrees even after a lost executor.
+    Bounds of ranges are sampled anew by each job, so what is used twice is to be written once.
     """
-    parts = max(2, math.ceil(rows / limit))
     hashable = [f.name for f in hot.schema if not isinstance(f.dataType, T.MapType)]
     ties = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
-    placed = hot.repartitionByRange(parts, *[F.col(c) for c in by], *sort_columns(order), ties)
-    return cut_lineage(placed.withColumn("__block", F.spark_partition_id()))
+    placed = hot.repartitionByRange(_range_count(rows, limit), *[F.col(c) for c in by], *sort_columns(order), ties)
+    return placed.withColumn("__block", F.spark_partition_id())
+
+
+def _ranges(hot: DataFrame, by: Sequence[str], order: Order, rows: int, limit: int) -> DataFrame:
+    """The checkpoint fixes which row is in which range, so every later use agrees even after a lost executor."""
+    return cut_lineage(_cut(hot, by, order, rows, limit))
 
 
 def _with_carry(blocks: DataFrame, by: Sequence[str], totals: dict[str, Column], carry: dict[str, Column]) -> DataFrame:
     """Add per-range values combined over the earlier ranges of the same group.
 
-    `totals` are aggregates per range; `carry` are window expressions over them. The carried table has one row per
-    (group, range): at most the number of ranges plus the number of hot groups, hence safe to broadcast.
+    `totals` are aggregates per range; `carry` are window expressions over them. Only a group that goes on from one range
+    into the next has something to carry: at most one row per bound of ranges, however many groups there are, hence
+    safe to broadcast.
     """
     before = Window.partitionBy(*by).orderBy("__block").rowsBetween(*BEFORE)
     per_block = blocks.groupBy(*by, "__block").agg(*[v.alias(k) for k, v in totals.items()])
@@ -52,7 +67,7 @@ def _with_carry(blocks: DataFrame, by: Sequence[str], totals: dict[str, Column],
         *[F.col(c).alias(n) for c, n in zip(by, names)],
         F.col("__block").alias("__b"),
         *[v.over(before).alias(k) for k, v in carry.items()],
-    )
+    ).where(reduce(or_, [F.col(k).isNotNull() for k in carry]))
     same = null_safe(blocks, carried, by, names) & (F.col("__block") == F.col("__b"))
     return blocks.join(F.broadcast(carried), same, "left").drop(*names, "__b")
 
@@ -113,24 +128,49 @@ def add_neighbours(
 ) -> DataFrame:
     """Value n rows before and n rows after; null past either end.
 
-    In hot groups rows are numbered first and then matched by number, which spreads one group over all tasks.
+    In hot groups both are looked up inside each range. Only the n rows at either end of a range are numbered through
+    and matched by number, at most n pairs for each bound of ranges, which spreads one group over all tasks.
     """
     plain = Window.partitionBy(*by).orderBy(*sort_columns(order))
     cold, hot, rows = split_hot(df, by, limit)
     out = cold.withColumn(names[0], F.lag(col, n).over(plain)).withColumn(names[1], F.lead(col, n).over(plain))
     if hot is None:
         return out
-    numbered = cut_lineage(add_row_number(hot, by, order, "__pos", limit))
-    keys = [f"__by_{i}" for i in range(len(by))]
-    near = numbered
-    for name, step in zip(names, (n, -n)):
-        side = numbered.select(
+    local = Window.partitionBy(*by, "__block").orderBy(*sort_columns(order))
+    edge = F.lag(F.lit(1), n).over(local).isNull() | F.lead(F.lit(1), n).over(local).isNull()
+    near = cut_lineage(
+        _cut(hot, by, order, rows, limit)
+        .withColumn(names[0], F.lag(col, n).over(local))
+        .withColumn(names[1], F.lead(col, n).over(local))
+        .withColumn("__pos", F.row_number().over(local))
+        .withColumn("__edge", edge)
+    )
+    counted = _with_carry(near, by, {"__rows": F.count(F.lit(1))}, {"__before": F.sum("__rows")}).where("__edge")
+    at = F.coalesce(F.col("__before"), F.lit(0)) + F.col("__pos")
+    keys, places = [f"__by_{i}" for i in range(len(by))], ("__later", "__earlier")
+    later, earlier = (
+        counted.select(
             *[F.col(c).alias(k) for c, k in zip(by, keys)],
-            (F.col("__pos") + step).alias("__at"),
-            F.col(col).alias(name),
+            F.struct("__block", "__pos", F.col(col).alias("value")).alias(place),
+            (at + step).alias("__at"),
+        )
+        for place, step in zip(places, (0, n))
+    )
+    match = null_safe(later, earlier, keys) & (later["__at"] == earlier["__at"])
+    apart = F.col("__later.__block") != F.col("__earlier.__block")
+    pairs = cut_lineage(later.join(earlier, match & apart).select(*[later[k] for k in keys], *places))
+    small = small_enough(pairs)
+    for name, here, there in zip(names, places, reversed(places)):
+        side = pairs.select(
+            *keys,
+            F.col(f"{here}.__block").alias("__b"),
+            F.col(f"{here}.__pos").alias("__p"),
+            F.col(f"{there}.value").alias("__value"),
         )
-        match = null_safe(near, side, by, keys) & (F.col("__pos") == F.col("__at"))
-        near = near.join(side, match, "left").drop(*keys, "__at")
+        side = F.broadcast(side) if small else side
+        same = null_safe(near, side, by, keys) & (F.col("__block") == F.col("__b")) & (F.col("__pos") == F.col("__p"))
+        found = F.coalesce(F.col(name), F.col("__value"))
+        near = near.join(side, same, "left").withColumn(name, found).drop(*keys, "__b", "__p", "__value")
     return out.unionByName(near.select(*out.columns))
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import uuid
 
 import pytest
 from pyspark.sql import Window
@@ -154,3 +155,44 @@ def test_broadcast_needs_a_small_side(spark):
     assert not small_enough(spark.range(100).select(F.repeat(F.lit("x"), 100).alias("s")), size=5000)
     plan = spark.range(5).join(broadcast_if_small(spark.range(1000), rows=10), "id")
     assert "ResolvedHint" not in plan._jdf.queryExecution().analyzed().toString()
+
+
+def many_groups(spark, n=400, each=15):
+    """Groups just over a limit of 10, with rows that come twice, null keys and null values."""
+    rows = [(i % n or None, i // n % 5, i // 2, None if i % 7 == 0 else i) for i in range(n * each)]
+    return spark.createDataFrame(rows + rows[:40], "k int, t int, id int, v bigint").repartition(4, "id")
+
+
+def most_tasks(spark, work):
+    """The result of `work` and the largest number of tasks in one of its stages."""
+    context, group = spark.sparkContext, uuid.uuid4().hex
+    context.setJobGroup(group, group)
+    out = work()
+    context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    return out, max(info.numTasks for info in map(tracker.getStageInfo, stages) if info)
+
+
+def test_neighbours_of_many_groups_over_a_small_limit_make_few_tasks(spark):
+    df = many_groups(spark)
+    w = Window.partitionBy("k").orderBy("t", "id", "v")
+    want = df.withColumn("p", F.lag("v").over(w)).withColumn("q", F.lead("v").over(w))
+    got, tasks = most_tasks(spark, lambda: rows_of(W.add_neighbours(df, ["k"], ["t", "id", "v"], "v", 1, ("p", "q"), 10)))
+    assert got == rows_of(want) and tasks <= 200
+
+
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("n", [0, 2, 60, 1000])
+def test_neighbours_some_ranges_away(spark, skewed, monkeypatch, n, small):
+    if not small:
+        monkeypatch.setattr(W, "small_enough", lambda df: False)
+    w = plain_window()
+    want = skewed.withColumn("p", F.lag("v", n).over(w)).withColumn("q", F.lead("v", n).over(w))
+    assert rows_of(W.add_neighbours(skewed, ["k"], order(), "v", n, ("p", "q"), LIMIT)) == rows_of(want)
+
+
+def test_ranges_stay_within_the_limit_of_a_task():
+    assert W._range_count(600, LIMIT) == 24 and W._range_count(1, LIMIT) == 2
+    assert W._range_count(9_000_000, 10) == W.RANGES
+    assert W._range_count(3_000 * W.GROUP_LIMIT, 10) == 3_000 == W._range_count(3_000 * W.GROUP_LIMIT, W.GROUP_LIMIT)
