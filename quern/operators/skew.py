@@ -64,7 +64,10 @@ def hot_keys(df: DataFrame, by: Sequence[str], limit: int = GROUP_LIMIT) -> Data
 def split_hot(
     df: DataFrame, by: Sequence[str], limit: int | None = GROUP_LIMIT
 ) -> tuple[DataFrame, DataFrame | None, int]:
-    """(rows of ordinary groups, rows of hot groups or None, number of hot rows)."""
+    """(rows of ordinary groups, rows of hot groups or None, number of hot rows).
+
+    With a small limit there can be many hot groups, so their list is measured before it is broadcast.
+    """
     if limit is None:
         return df, None, 0
     hot = cut_lineage(hot_keys(df, by, limit))
@@ -72,7 +75,7 @@ def split_hot(
     if not total:
         return df, None, 0
     names = [f"__hot_{i}" for i in range(len(by))]
-    marks = F.broadcast(hot.select(*[F.col(c).alias(n) for c, n in zip(by, names)]))
+    marks = broadcast_if_small(hot.select(*[F.col(c).alias(n) for c, n in zip(by, names)]))
     same = null_safe(df, marks, by, names)
     return df.join(marks, same, "left_anti"), df.join(marks, same, "left_semi"), total
 

@@ -85,13 +85,16 @@ def _add_sums(
         out = out.withColumn(name, running.over(plain).cast(types[name].dataType))
     if hot is None:
         return out
-    blocks = _ranges(hot, by, order, rows, limit)
     local = Window.partitionBy(*by, "__block").orderBy(*sort_columns(order)).rowsBetween(*RUNNING)
     names = list(sums)
+    blocks = _cut(hot, by, order, rows, limit)
+    for i, name in enumerate(names):
+        blocks = blocks.withColumn(f"__here_{i}", sums[name][0].over(local))
+    blocks = cut_lineage(blocks)
     totals = {f"__total_{i}": sums[n][1] for i, n in enumerate(names)}
     carried = _with_carry(blocks, by, totals, {f"__before_{i}": F.sum(f"__total_{i}") for i in range(len(names))})
     for i, name in enumerate(names):
-        here, before = sums[name][0].over(local), F.col(f"__before_{i}")
+        here, before = F.col(f"__here_{i}"), F.col(f"__before_{i}")
         # Null until the first value, as a plain running sum is.
         total = F.coalesce(before + here, before, here)
         carried = carried.withColumn(name, total.cast(types[name].dataType))

@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quern.operators import joins as J
+from quern.operators import skew
 from quern.operators import windows as W
 from quern.operators.skew import broadcast_if_small, small_enough, split_hot
 from tests.conftest import rows_of
@@ -182,6 +183,34 @@ def test_neighbours_of_many_groups_over_a_small_limit_make_few_tasks(spark):
     assert got == rows_of(want) and tasks <= 200
 
 
+def test_row_numbers_of_many_groups_over_a_small_limit_make_few_tasks(spark):
+    df = many_groups(spark)
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("t", "id", "v")).cast("bigint"))
+    got, tasks = most_tasks(spark, lambda: rows_of(W.add_row_number(df, ["k"], ["t", "id", "v"], "n", 10)))
+    assert got == rows_of(want) and tasks <= 200
+
+
+def test_only_groups_that_go_on_into_a_range_are_carried(spark):
+    # Three ranges cut at most two of the 400 groups.
+    carried = []
+    broadcast = F.broadcast
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(W.F, "broadcast", lambda df: carried.append(df) or broadcast(df))
+        patch.setattr(W, "RANGES", 3, raising=False)
+        df = many_groups(spark)
+        got = rows_of(W.add_row_number(df, ["k"], ["t", "id", "v"], "n", 10))
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("t", "id", "v")).cast("bigint"))
+    assert got == rows_of(want) and 0 < carried[-1].count() <= 2
+
+
+def test_a_long_list_of_hot_keys_is_not_broadcast(spark, skewed, monkeypatch):
+    monkeypatch.setattr(skew, "small_enough", lambda df, rows, size: False)
+    cold, hot, n = split_hot(skewed, ["k"], LIMIT)
+    assert n == 600 and hot.count() == 600 and cold.count() == 300
+    for part in (cold, hot):
+        assert "ResolvedHint" not in part._jdf.queryExecution().analyzed().toString()
+
+
 @pytest.mark.parametrize("small", [True, False])
 @pytest.mark.parametrize("n", [0, 2, 60, 1000])
 def test_neighbours_some_ranges_away(spark, skewed, monkeypatch, n, small):
